@@ -20,7 +20,7 @@ def magnitude_bin(value: Column) -> Column:
     octave = F.log2(F.abs(value)) * BINS_PER_OCTAVE
     size = F.floor(F.greatest(octave, F.lit(-1100.0 * BINS_PER_OCTAVE))) + 1101 * BINS_PER_OCTAVE
     far = 4000 * BINS_PER_OCTAVE
-    return (
+    number = (
         F.when(F.isnan(value), 2 * far)
         .when(value == float("inf"), far)
         .when(value == float("-inf"), -far)
@@ -29,6 +29,8 @@ def magnitude_bin(value: Column) -> Column:
         .otherwise(-size)
         .cast("bigint")
     )
+    # Never NULL, so the join on it adds no filter and both sides share a shuffle.
+    return F.coalesce(number, F.lit(0).cast("bigint"))
 
 
 def linear_slice(value: Column, low: Column, high: Column) -> Column:

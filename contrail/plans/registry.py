@@ -30,7 +30,7 @@ from contrail.schemas import (
     PREDICTION_UPDATES,
     SILVER,
 )
-from contrail.session import scratch_path
+from contrail.session import scratch_path, settle
 from contrail.sources import tables
 from contrail.sources.derived import raw_documents, rule_predictions, valid_reports
 from contrail.sources.events import event_reports
@@ -54,6 +54,11 @@ def silver(spark: SparkSession, root: str) -> DataFrame:
     return clean_silver(event_reports(spark, root), tie=["event_id"])
 
 
+def stored_silver(spark: SparkSession, root: str) -> DataFrame:
+    """Cleaned silver written once, for queries that read it more than once."""
+    return settle(silver(spark, root), "silver")
+
+
 # Silver -------------------------------------------------------------------------
 
 
@@ -114,7 +119,7 @@ def country_totals(spark: SparkSession, root: str) -> DataFrame:
 @query
 def flight_aggregations(spark: SparkSession, root: str) -> DataFrame:
     return rounded(
-        gold.gold_flight_aggregations(silver(spark, root)),
+        gold.gold_flight_aggregations(stored_silver(spark, root)),
         "avg_velocity",
         "median_velocity",
         "avg_baro_altitude",
@@ -151,13 +156,13 @@ def country_daily_summary(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def flight_trajectories(spark: SparkSession, root: str) -> DataFrame:
-    return gold.gold_flight_trajectories(silver(spark, root))
+    return gold.gold_flight_trajectories(stored_silver(spark, root))
 
 
 @query
 def speed_anomalies(spark: SparkSession, root: str) -> DataFrame:
     return rounded(
-        gold.gold_speed_anomalies(silver(spark, root)),
+        gold.gold_speed_anomalies(stored_silver(spark, root)),
         "hourly_mean_velocity",
         "hourly_stddev_velocity",
         "z_score",
@@ -174,7 +179,7 @@ def top_busiest_countries(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def busiest_countries_latest(spark: SparkSession, root: str) -> DataFrame:
-    return serving.busiest_countries_latest(gold.gold_top_busiest_countries(silver(spark, root)))
+    return serving.busiest_countries_latest(gold.gold_top_busiest_countries(stored_silver(spark, root)))
 
 
 @query
@@ -185,13 +190,13 @@ def velocity_trend(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def density_latest(spark: SparkSession, root: str) -> DataFrame:
-    return serving.density_latest(gold.gold_flight_density_heatmap(silver(spark, root)))
+    return serving.density_latest(gold.gold_flight_density_heatmap(stored_silver(spark, root)))
 
 
 @query
 def anomalies_by_country(spark: SparkSession, root: str) -> DataFrame:
     return rounded(
-        serving.anomalies_by_country(gold.gold_speed_anomalies(silver(spark, root))), "avg_z_score"
+        serving.anomalies_by_country(gold.gold_speed_anomalies(stored_silver(spark, root))), "avg_z_score"
     )
 
 
@@ -222,17 +227,17 @@ def available_countries(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def altitude_latest(spark: SparkSession, root: str) -> DataFrame:
-    return serving.altitude_latest(gold.gold_altitude_distribution(silver(spark, root)))
+    return serving.altitude_latest(gold.gold_altitude_distribution(stored_silver(spark, root)))
 
 
 @query
 def altitude_top_countries(spark: SparkSession, root: str) -> DataFrame:
-    return serving.altitude_top_countries(gold.gold_altitude_distribution(silver(spark, root)))
+    return serving.altitude_top_countries(gold.gold_altitude_distribution(stored_silver(spark, root)))
 
 
 @query
 def kpi_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    cleaned = silver(spark, root)
+    cleaned = stored_silver(spark, root)
     tiles = serving.kpi_snapshot(
         gold.gold_top_busiest_countries(cleaned),
         gold.gold_flight_aggregations(cleaned),
