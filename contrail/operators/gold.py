@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -164,15 +166,22 @@ def gold_country_daily_summary(aggregations: DataFrame) -> DataFrame:
     )
 
 
-def gold_flight_trajectories(silver: DataFrame, gap_seconds: int = 3600) -> DataFrame:
+def gold_flight_trajectories(
+    silver: DataFrame, gap_seconds: int = 3600, since: date | None = None
+) -> DataFrame:
     """Link every point of an aircraft to the one before it.
 
     Points are shuffled by aircraft and day, which after de-duplication to
     whole seconds holds at most 86,400 rows. The last point of each day is
     added to the aircraft's next active day as a marker, so that links across
     midnight come out of the same window; markers are dropped afterwards.
+
+    With `since`, only points from that day on are given. Of the time before,
+    each aircraft's last point is still found, as the start of its first link.
     """
-    points = _placed(silver).select(
+    placed = _placed(silver)
+    points = placed if since is None else placed.where(F.col("time_position") >= F.lit(since))
+    points = points.select(
         "icao24",
         F.to_date("time_position").alias("_day"),
         "time_position",
@@ -185,11 +194,15 @@ def gold_flight_trajectories(silver: DataFrame, gap_seconds: int = 3600) -> Data
         "on_ground",
         F.lit(False).alias("_marker"),
     )
-    closing = points.groupBy("icao24", "_day").agg(
+    last_point = [
         F.max("time_position").alias("time_position"),
         F.max_by("latitude", "time_position").alias("latitude"),
         F.max_by("longitude", "time_position").alias("longitude"),
-    )
+    ]
+    closing = points.groupBy("icao24", "_day").agg(*last_point)
+    if since is not None:
+        earlier = placed.where(F.col("time_position") < F.lit(since)).groupBy("icao24").agg(*last_point)
+        closing = closing.unionByName(earlier.withColumn("_day", F.to_date("time_position")))
     next_day = F.lead("_day").over(Window.partitionBy("icao24").orderBy("_day"))
     markers = (
         closing.withColumn("_day", next_day)

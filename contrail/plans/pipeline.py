@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +24,11 @@ from contrail.sources.tables import (
     upsert_table,
 )
 
-# Gold models that read cleaned silver, by table name.
-SILVER_MODELS: dict[str, Callable[[DataFrame], DataFrame]] = {
+# Gold models whose rows depend on the reports of their own window only.
+RECENT_MODELS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "gold_flight_aggregations": gold.gold_flight_aggregations,
-    "gold_aircraft_activity": gold.gold_aircraft_activity,
     "gold_altitude_distribution": gold.gold_altitude_distribution,
     "gold_flight_density_heatmap": gold.gold_flight_density_heatmap,
-    "gold_flight_trajectories": gold.gold_flight_trajectories,
     "gold_speed_anomalies": gold.gold_speed_anomalies,
     "gold_top_busiest_countries": gold.gold_top_busiest_countries,
 }
@@ -91,22 +89,42 @@ def refresh_models(
     source: str = "silver",
     layout: str = "legacy_sql",
     now: datetime | None = None,
+    since: date | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild cleaned silver and the gold tables in dependency order.
 
     `source="silver"` reads the typed batches; `"bronze"` reads the raw
     documents through the SQL view. Cleaned silver is written once and read by
     the seven models on it, so its shuffle is not repeated.
+
+    With `since`, only the dates from that day on are rebuilt: a report repeated
+    later carries the same position time, so earlier dates cannot change unless
+    reports that old arrive. Rows without a position time, which no gold model
+    reads, and the lifetime figures per aircraft need the full rebuild of their
+    table; the latter is always done, from pre-aggregated rows.
     """
     if source == "silver":
-        view = with_event_times(read_table(spark, root, "silver_flights"))
+        batches = read_table(spark, root, "silver_flights")
+        if since is not None:
+            midnight = datetime(since.year, since.month, since.day, tzinfo=timezone.utc)
+            batches = batches.where(F.col("time_position") >= int(midnight.timestamp()))
+        view = with_event_times(batches)
     else:
         view = bronze_view(read_table(spark, root, "bronze_flights"), layout)
         materialize(view, root, "bronze_flights_raw", kind="view")
-    cleaned = materialize(clean_silver(view), root, "silver_flights_cleaned", now=now)
+        if since is not None:
+            view = view.where(F.col("time_position") >= F.lit(since))
+    cleaned = materialize(clean_silver(view), root, "silver_flights_cleaned", now=now, since=since)
     built = {"silver_flights_cleaned": cleaned}
-    for name, model in SILVER_MODELS.items():
-        built[name] = materialize(model(cleaned), root, name, now=now)
+    recent = cleaned if since is None else cleaned.where(F.col("window_date") >= F.lit(since))
+    for name, model in RECENT_MODELS.items():
+        built[name] = materialize(model(recent), root, name, now=now, since=since)
+    links = gold.gold_flight_trajectories(cleaned, since=since)
+    built["gold_flight_trajectories"] = materialize(links, root, "gold_flight_trajectories", now=now, since=since)
+    activity = gold.gold_aircraft_activity(cleaned)
+    built["gold_aircraft_activity"] = materialize(activity, root, "gold_aircraft_activity", now=now)
     daily = gold.gold_country_daily_summary(built["gold_flight_aggregations"])
-    built["gold_country_daily_summary"] = materialize(daily, root, "gold_country_daily_summary", now=now)
+    built["gold_country_daily_summary"] = materialize(
+        daily, root, "gold_country_daily_summary", now=now, since=since
+    )
     return built

@@ -7,7 +7,7 @@ each load rewrites only the partitions it touches.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from contrail.session import SkipBatch, path_exists, prepare, settle
 
 # Table -> (time column that dates its partitions, columns rows are sorted by).
 LAYOUT: dict[str, tuple[str | None, list[str]]] = {
-    "silver_flights_cleaned": ("ingestion_time", ["ingestion_time", "origin_country"]),
+    "silver_flights_cleaned": ("time_position", ["ingestion_time", "origin_country"]),
     "gold_flight_agg": ("window_start", ["window_start", "origin_country"]),
     "gold_flight_aggregations": ("window_start", ["window_start", "origin_country"]),
     "gold_aircraft_activity": (None, ["icao24"]),
@@ -86,7 +86,7 @@ def land_bronze(documents: DataFrame, root: str, batch: str) -> str:
     states = parse_payload(documents).where("payload.states IS NOT NULL")
     if states.isEmpty():
         raise SkipBatch(f"batch {batch} has no states")
-    documents.select("raw_data").write.mode("overwrite").text(path)
+    documents.select("raw_data").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -123,8 +123,7 @@ def append_silver(silver: DataFrame, root: str, batch: str, now: datetime | None
 def _dated(df: DataFrame, ts: str | None) -> tuple[DataFrame, str | None]:
     if ts is None:
         return df, None
-    day = "ingestion_date" if ts == "ingestion_time" else "window_date"
-    return df.withColumn(day, F.to_date(ts)), day
+    return df.withColumn("window_date", F.to_date(ts)), "window_date"
 
 
 def _write_dated(df: DataFrame, path: str, day: str | None, sort: Sequence[str], **options: str) -> None:
@@ -141,9 +140,18 @@ def _write_dated(df: DataFrame, path: str, day: str | None, sort: Sequence[str],
 
 
 def materialize(
-    df: DataFrame, root: str, name: str, kind: str = "table", now: datetime | None = None
+    df: DataFrame,
+    root: str,
+    name: str,
+    kind: str = "table",
+    now: datetime | None = None,
+    since: date | None = None,
 ) -> DataFrame:
-    """Publish a model as a view, or as a table that is written in full."""
+    """Publish a model as a view, or as a table.
+
+    A table is written in full, or with `since` only its dates from that day on,
+    which `df` must then hold completely.
+    """
     spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
@@ -152,7 +160,12 @@ def materialize(
         raise ValueError(f"unknown kind of model: {kind}")
     ts, sort = LAYOUT[name]
     dated, day = _dated(stamp(df, now), ts)
-    _write_dated(dated, f"{root}/{name}", day, sort, partitionOverwriteMode="static")
+    if since is not None and day:
+        dated = dated.where(F.col(day) >= F.lit(since))
+        mode = "dynamic"
+    else:
+        mode = "static"
+    _write_dated(dated, f"{root}/{name}", day, sort, partitionOverwriteMode=mode)
     return read_table(spark, root, name)
 
 
@@ -213,7 +226,7 @@ def prepare_predictions(predictions: DataFrame) -> DataFrame:
 
 def _copy(spark: SparkSession, source: str, target: str, mode: str) -> None:
     df = spark.read.parquet(source)
-    partitioned = [c for c in ("ingestion_batch", "ingestion_date", "window_date") if c in df.columns]
+    partitioned = [c for c in ("ingestion_batch", "window_date") if c in df.columns]
     if "ingestion_batch" in partitioned:
         root, name = source.rsplit("/", 1)
         df = read_table(spark, root, name)

@@ -89,6 +89,16 @@ def test_trajectories_link_across_days_like_one_long_window(reports, at):
         assert r.is_new_segment == (seconds is None or seconds > 3600)
 
 
+def test_trajectories_since_a_day_are_the_tail_of_all(reports, at):
+    moments = [at(1), at(23), at(5, day=4), at(5, 10, day=4), at(0, day=7), at(12, day=9)]
+    rows = clean_silver(reports(*[{"icao24": k, "time_position": m} for k in "ab" for m in moments], {"icao24": "c", "time_position": at(3, day=7)}))
+    for day in (1, 4, 5, 7, 10):
+        since = at(day=day).date()
+        tail = gold.gold_flight_trajectories(rows).where(F.col("end_time") >= F.lit(since))
+        part = gold.gold_flight_trajectories(rows, since=since)
+        assert sorted(map(str, part.collect())) == sorted(map(str, tail.collect()))
+
+
 def test_trajectory_gap_edge_and_invalid_points(reports, at):
     rows = clean_silver(
         reports(

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 
@@ -63,21 +63,45 @@ def test_broken_rules_stop_before_gold(spark, tmp_path, at):
     assert not (tmp_path / "wh" / "gold_flight_agg").exists()
 
 
-@pytest.mark.parametrize("source", ["silver", "bronze"])
-def test_refresh_builds_every_model(spark, tmp_path, at, source):
-    root = str(tmp_path / "wh")
+def two_batches(spark, tmp_path, root, at):
     for n, hour in enumerate((1, 2)):
         path = write_payload(tmp_path / f"in{n}", "a.json", [state(i, 1800 * n * (i % 2)) for i in range(5)])
         run_batch(spark, path, root, f"run-{n}", at(hour), at(hour))
-    built = refresh_models(spark, root, source, layout="api", now=at(3))
+
+
+def contents(built):
+    """Rows of every table without the load time."""
+    return {
+        name: sorted((tuple(r) for r in df.drop("load_time").collect()), key=str) for name, df in built.items()
+    }
+
+
+def test_refresh_from_bronze(spark, tmp_path, at):
+    root = str(tmp_path / "wh")
+    two_batches(spark, tmp_path, root, at)
+    built = refresh_models(spark, root, "bronze", layout="api", now=at(3))
+    assert built["silver_flights_cleaned"].count() == built["gold_flight_trajectories"].count() == 7
+    assert spark.table("bronze_flights_raw").count() == 10
+
+
+def test_refresh_in_full_and_of_recent_dates(spark, tmp_path, at):
+    root = str(tmp_path / "wh")
+    two_batches(spark, tmp_path, root, at)
+    built = refresh_models(spark, root, now=at(3))
     assert built["silver_flights_cleaned"].count() == 7  # three of the second batch repeat the first
     assert {name: df.count() > 0 for name, df in built.items()} == dict.fromkeys(built, True)
     assert set(built) == set(tables.LAYOUT) - {"gold_flight_agg", "gold_ml_predictions"}
     assert {r.ingestion_time for r in built["silver_flights_cleaned"].where("icao24 = 'abc000'").collect()} == {at(2)}
     assert all("load_time" in df.columns for df in built.values())
-    assert built["gold_flight_trajectories"].count() == 7
-    again = refresh_models(spark, root, source, layout="api", now=at(3))
-    assert again["gold_flight_trajectories"].count() == 7
+
+    later = [state(i, 86400 * 2, _9=100.0) for i in range(4)] + [state(0, 86400 * 2 + 60)]
+    run_batch(spark, write_payload(tmp_path / "in3", "a.json", later), root, "run-3", at(4), at(4))
+    since = date(2023, 11, 15)
+    recent = contents(refresh_models(spark, root, now=at(5), since=since))
+    first_day = tables.read_table(spark, root, "gold_speed_anomalies").where("window_date = DATE'2023-11-14'")
+    assert {r.load_time for r in first_day.collect()} == {at(3)}
+    assert len(recent["gold_flight_trajectories"]) == 12
+    assert recent == contents(refresh_models(spark, root, now=at(5)))
 
 
 def test_stream_picks_up_each_file_once(spark, tmp_path, at):
