@@ -15,7 +15,7 @@ from contrail.functions.columns import (
     half_hour_start,
     hour_start,
 )
-from contrail.operators.quantiles import exact_quantile
+from contrail.operators.quantiles import LARGE_GROUP, exact_quantile
 from contrail.session import settle
 
 
@@ -48,30 +48,48 @@ def gold_country_totals(silver: DataFrame) -> DataFrame:
     )
 
 
-def gold_flight_aggregations(silver: DataFrame) -> DataFrame:
-    """Hourly figures per country.
+HOURLY = ["window_start", "origin_country"]
 
-    The distinct count is spread over aircraft before it is summed, and the
-    median comes from `exact_quantile`, so a dominant country or hour is never
-    gathered in one task.
+
+def _hourly(silver: DataFrame) -> DataFrame:
+    return _timed(silver).withColumn("window_start", hour_start(F.col("time_position")))
+
+
+def hourly_figures(silver: DataFrame) -> DataFrame:
+    """Hourly figures per country that need one aggregation: all but the median.
+
+    The distinct count is spread over aircraft before it is summed, so a
+    dominant country or hour is never gathered in one task.
+    """
+    return (
+        _hourly(silver)
+        .groupBy(*HOURLY)
+        .agg(
+            F.countDistinct("icao24").alias("unique_flights"),
+            F.count(F.lit(1)).alias("total_flights"),
+            F.avg("velocity_validated").alias("avg_velocity"),
+            F.max("velocity_validated").alias("max_velocity"),
+            _count_true(F.col("on_ground")).alias("on_ground_count"),
+            _count_true(~F.col("on_ground")).alias("airborne_count"),
+            F.avg("baro_altitude").alias("avg_baro_altitude"),
+            F.avg("geo_altitude").alias("avg_geo_altitude"),
+            (F.avg(F.col("lat_valid") * F.col("lon_valid")) * 100).alias("position_validity_pct"),
+            _count_true(F.col("airborne_position_valid") == 1).alias("valid_airborne_positions"),
+        )
+    )
+
+
+def gold_flight_aggregations(silver: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
+    """Hourly figures per country of cleaned silver, with the exact median.
+
+    Groups above `large_group` rows are ranked by counting instead of being
+    held in one task.
     """
-    keys = ["window_start", "origin_country"]
-    rows = _timed(silver).withColumn("window_start", hour_start(F.col("time_position")))
-    figures = rows.groupBy(*keys).agg(
-        F.countDistinct("icao24").alias("unique_flights"),
-        F.count(F.lit(1)).alias("total_flights"),
-        F.avg("velocity_validated").alias("avg_velocity"),
-        F.max("velocity_validated").alias("max_velocity"),
-        _count_true(F.col("on_ground")).alias("on_ground_count"),
-        _count_true(~F.col("on_ground")).alias("airborne_count"),
-        F.avg("baro_altitude").alias("avg_baro_altitude"),
-        F.avg("geo_altitude").alias("avg_geo_altitude"),
-        (F.avg(F.col("lat_valid") * F.col("lon_valid")) * 100).alias("position_validity_pct"),
-        _count_true(F.col("airborne_position_valid") == 1).alias("valid_airborne_positions"),
+    medians = exact_quantile(
+        _hourly(silver), "velocity_validated", 0.5, HOURLY, "median_velocity", large_group=large_group
     )
-    medians = exact_quantile(rows, "velocity_validated", 0.5, keys, "median_velocity")
-    return figures.join(medians, keys, "left").select(
-        *keys,
+    return hourly_figures(silver).join(medians, HOURLY, "left").select(
+        *HOURLY,
         "unique_flights",
         "total_flights",
         "avg_velocity",
@@ -140,7 +158,7 @@ def gold_flight_density_heatmap(silver: DataFrame) -> DataFrame:
 
 
 def gold_country_daily_summary(aggregations: DataFrame) -> DataFrame:
-    """Daily roll-up of the hourly table.
+    """Daily roll-up of the hourly table (or of `hourly_figures`).
 
     The moving average spans the last seven rows of the country, whether or
     not days are missing. A country has one row per day here, so its window

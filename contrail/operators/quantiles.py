@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contrail.session import settle
+
 BINS_PER_OCTAVE = 4096
 SLICES = 4096
+LARGE_GROUP = 100_000
 
 
 def magnitude_bin(value: Column) -> Column:
@@ -46,23 +49,44 @@ def exact_quantile(
     keys: Sequence[str] = (),
     name: str = "median",
     rounds: int = 1,
+    large_group: int = LARGE_GROUP,
 ) -> DataFrame:
     """Interpolated quantile of the non-NULL values, one row per key.
 
+    Groups are sized first, with map-side combine. Those of at most
+    `large_group` rows go through Spark's own `percentile`, which holds the
+    distinct values of a group in memory; larger ones, and input without keys,
+    are answered by `quantile_by_rank`. The keys of large groups are settled,
+    so their real number decides how they are joined. Without keys the answer
+    is a single row, NULL on empty input.
+    """
+    keys = list(keys)
+    rows = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+    if not keys:
+        return quantile_by_rank(rows, q, [], name, rounds)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    large = settle(sizes.where(F.col("_size") > large_group).select(*keys), "large-groups")
+    held = F.percentile("_v", q).alias(name)
+    if large.isEmpty():
+        return rows.groupBy(*keys).agg(held)
+    small = rows.join(large, keys, "left_anti").groupBy(*keys).agg(held)
+    return small.unionByName(
+        quantile_by_rank(rows.join(large, keys, "left_semi"), q, keys, name, rounds)
+    )
+
+
+def quantile_by_rank(
+    rows: DataFrame, q: float, keys: Sequence[str], name: str, rounds: int
+) -> DataFrame:
+    """Quantile of `_v` by counting, without holding a group in one task.
+
     Equal values are counted before the first shuffle. A histogram then shows
     which bin holds the wanted rank, and only the values of that bin are
     ranked. Each of the `rounds` cuts that candidate set some thousandfold:
     one does for measurements of limited precision, two for arbitrary doubles.
-    Without keys the answer is a single row, NULL on empty input.
     """
-    keys = list(keys)
     v, n = F.col("_v"), F.col("_n")
-    candidates = (
-        df.select(*keys, F.col(value).alias("_v"))
-        .where(v.isNotNull())
-        .groupBy(*keys, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    candidates = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     path, carried = keys, []
     for i in range(rounds):
         step = f"_bin{i}"
@@ -101,6 +125,6 @@ def exact_quantile(
     return ends.select(
         *keys,
         F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
-        .otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * share)
+        .otherwise((1 - share) * F.col("_lo") + share * F.col("_hi"))
         .alias(name),
     )

@@ -146,7 +146,7 @@ def density_heatmap(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _daily(spark: SparkSession, root: str) -> DataFrame:
-    return gold.gold_country_daily_summary(gold.gold_flight_aggregations(silver(spark, root)))
+    return gold.gold_country_daily_summary(gold.hourly_figures(silver(spark, root)))
 
 
 @query
@@ -184,7 +184,7 @@ def busiest_countries_latest(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def velocity_trend(spark: SparkSession, root: str) -> DataFrame:
-    trend = serving.velocity_trend(gold.gold_flight_aggregations(silver(spark, root)))
+    trend = serving.velocity_trend(gold.hourly_figures(silver(spark, root)))
     return rounded(trend, "global_avg_velocity")
 
 
@@ -240,7 +240,7 @@ def kpi_snapshot(spark: SparkSession, root: str) -> DataFrame:
     cleaned = stored_silver(spark, root)
     tiles = serving.kpi_snapshot(
         gold.gold_top_busiest_countries(cleaned),
-        gold.gold_flight_aggregations(cleaned),
+        gold.hourly_figures(cleaned),
         gold.gold_speed_anomalies(cleaned),
     )
     return rounded(tiles, "latest_velocity")

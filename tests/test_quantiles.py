@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from contrail.operators.quantiles import exact_quantile, magnitude_bin
 
 
-@pytest.mark.parametrize("rounds", [1, 2])
-@pytest.mark.parametrize("q", [0.05, 0.5, 0.9])
-def test_matches_sorting_everything(spark, rounds, q):
+@pytest.mark.parametrize("q, rounds, large_group", [(0.05, 1, 0), (0.5, 1, 0), (0.5, 2, 0), (0.9, 2, 50), (0.5, 1, 10**6)])
+def test_matches_sorting_everything(spark, q, rounds, large_group):
     rng = np.random.default_rng(7)
     groups = {
         "wide": np.concatenate([rng.normal(0, 1e6, 301), [0.0] * 40]),
@@ -21,7 +20,7 @@ def test_matches_sorting_everything(spark, rounds, q):
     }
     rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("wide", None), ("none", None)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r.k: r.m for r in exact_quantile(df, "v", q, ["k"], "m", rounds).collect()}
+    got = {r.k: r.m for r in exact_quantile(df, "v", q, ["k"], "m", rounds, large_group).collect()}
     assert set(got) == set(groups)
     for k, values in groups.items():
         assert got[k] == pytest.approx(float(np.quantile(values, q)), rel=1e-12, abs=1e-20)
