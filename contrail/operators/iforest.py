@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -64,28 +64,30 @@ def grow_tree(points: np.ndarray, tree: int, seed: int, max_depth: int) -> list[
     return nodes
 
 
-def sample_per_tree(
-    matrix: DataFrame, n: int, keys: Sequence[str], trees: int, size: int, seed: int
-) -> DataFrame:
-    """Up to `size` distinct rows for every tree: (tree, signals).
+def sample_per_tree(matrix: DataFrame, n: int, trees: int, size: int, seed: int) -> DataFrame:
+    """Up to `size` rows for every tree: (tree, signals).
 
-    Row keys decide. Plenty of rows: each is kept with a probability that
-    yields twice the rows needed, and goes to one tree. Few rows: each goes to
-    several trees. The row number keeps `size` of them in the map tasks.
+    Each row draws on its own, by its place in the stored input, so that equal
+    rows appear as often as their share asks for; the same files give the same
+    sample. Plenty of rows: each is kept with a probability that yields twice
+    the rows needed, and goes to one tree. Few rows: each goes to several
+    trees. The row number keeps `size` of them in the map tasks already.
     """
     wanted = 2 * trees * size
-    row = F.xxhash64(F.lit(seed), *keys)
     copies = min(trees, max(1, math.ceil(wanted / n)))
-    keep = F.pmod(row, F.lit(1_000_000)) < math.ceil(min(1.0, wanted / n) * 1_000_000)
+    keep = F.pmod("_row", F.lit(1_000_000)) < math.ceil(min(1.0, wanted / n) * 1_000_000)
     if copies == trees:
         chosen = F.sequence(F.lit(0), F.lit(trees - 1))
     else:
-        pick = lambda i: F.pmod(F.xxhash64(F.lit(seed), *keys, i), F.lit(trees)).cast("int")
-        chosen = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(copies)), pick))
-    order = Window.partitionBy("tree").orderBy(F.xxhash64("tree", *keys), *keys)
+        draws = F.sequence(F.lit(1), F.lit(copies))
+        chosen = F.array_distinct(
+            F.transform(draws, lambda i: F.pmod(F.xxhash64("_row", i), F.lit(trees)).cast("int"))
+        )
+    order = Window.partitionBy("tree").orderBy(F.xxhash64("_row", "tree"))
     return (
-        matrix.where(keep)
-        .select(*keys, *SIGNALS, F.explode(chosen).alias("tree"))
+        matrix.select(*SIGNALS, F.xxhash64(F.lit(seed), F.monotonically_increasing_id()).alias("_row"))
+        .where(keep)
+        .withColumn("tree", F.explode(chosen))
         .withColumn("_rn", F.row_number().over(order))
         .where(F.col("_rn") <= size)
         .select("tree", *SIGNALS)
@@ -136,12 +138,14 @@ class IsolationForest:
 
 def train_iforest(
     matrix: DataFrame,
-    keys: Sequence[str] = ("icao24", "time_position"),
     trees: int = TREES,
     contamination: float = CONTAMINATION,
     seed: int = SEED,
 ) -> IsolationForest:
-    """Fit on the three signals; the offset puts `contamination` of the rows below zero."""
+    """Fit on the three signals; the offset puts `contamination` of the rows below zero.
+
+    `matrix` should be stored rows, as it is read three times.
+    """
     n = matrix.count()
     size = min(SAMPLE, n)
     max_depth = math.ceil(math.log2(max(size, 2)))
@@ -151,7 +155,7 @@ def train_iforest(
         return pd.DataFrame(grown, columns=["tree", "node", "feature", "threshold", "low", "high", "path"])
 
     # A tree gets at most `size` rows, so a group is small whatever the data.
-    samples = sample_per_tree(matrix, n, list(keys), trees, size, seed)
+    samples = sample_per_tree(matrix, n, trees, size, seed)
     nodes = settle(samples.groupBy("tree").applyInPandas(build, NODE), "trees")
     # At most trees * (2 * size - 1) nodes come to the driver.
     forest = IsolationForest(nodes.toPandas(), size, 0.0)

@@ -22,9 +22,14 @@ def parse_payload(bronze: DataFrame, raw: str = "raw_data", on_bad: str = "raise
 
 
 def flatten_states(parsed: DataFrame) -> DataFrame:
-    """One row per state vector; NULL and empty `states` give no rows."""
+    """One row per state vector; NULL and empty `states` give no rows.
+
+    A plain explode would have Spark filter on the size of the array first,
+    and parse every document once more for it; the outer form does not.
+    """
     kept = [c for c in parsed.columns if c not in ("payload", "raw_data")]
-    return parsed.select(*kept, F.explode("payload.states").alias("state"))
+    exploded = parsed.select(*kept, F.posexplode_outer("payload.states").alias("_pos", "state"))
+    return exploded.where(F.col("_pos").isNotNull()).drop("_pos")
 
 
 def project_states(flat: DataFrame, layout: str = "api") -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from contrail.operators import features
 from contrail.operators.classifier import classification_report
-from contrail.operators.iforest import average_path, grow_tree, train_iforest
+from contrail.operators.iforest import SIGNALS, average_path, grow_tree, sample_per_tree, train_iforest
 from contrail.operators.ordinal import sorted_positions
 from contrail.operators.sampling import sample_n, stratified_split
 from contrail.plans import models
 from contrail.plans.pipeline import load_predictions
+from contrail.session import settle
 from contrail.sources.files import write_layer
 from contrail.sources.tables import read_table
 
@@ -158,7 +159,7 @@ def test_outliers_score_lowest(spark, n):
     )
     odd = spark.createDataFrame([(-1, 900.0, -50.0, 400.0), (-2, -300.0, 800.0, 0.0)], base.schema)
     rows = base.unionByName(odd).cache()
-    forest = train_iforest(rows, keys=["key"], trees=40)
+    forest = train_iforest(rows, trees=40)
     scored = forest.score(rows).cache()
     assert {r.key for r in scored.orderBy("anomaly_score").limit(2).collect()} == {-1, -2}
     share = scored.where("anomaly_score < 0").count() / rows.count()
@@ -166,6 +167,21 @@ def test_outliers_score_lowest(spark, n):
     assert len(forest.nodes["tree"].unique()) == 40
 
 
+def test_equal_rows_keep_their_share(spark):
+    """A third of the rows are copies of one row; every tree sees about a third of them."""
+    n = 30000
+    rows = settle(
+        spark.range(n).select(
+            *[F.when(F.col("id") % 3 == 0, 1.0).otherwise(F.rand(i)).alias(c) for i, c in enumerate(SIGNALS)]
+        )
+    )
+    sample = sample_per_tree(rows, n, 10, 256, 42)
+    per_tree = sample.groupBy("tree").agg(F.count("*").alias("n"), F.count_if(F.col("velocity") == 1).alias("copies")).collect()
+    assert [r.n for r in per_tree] == [256] * 10
+    assert all(0.2 < r.copies / r.n < 0.47 for r in per_tree)
+    assert sorted(sample.collect()) == sorted(sample_per_tree(rows, n, 10, 256, 42).collect())
+
+
 def test_scoring(spark, silver, trained, tmp_path):
     fitted, _, _ = trained
     stamp = "2026-05-14T12:00:00+00:00"

@@ -67,6 +67,16 @@ def test_empty_null_and_missing_states_give_no_rows(spark):
     assert to_silver(docs).count() == 1
 
 
+def test_a_null_state_is_still_a_row(spark):
+    rows = to_silver(documents(spark, payload(STATE, None))).collect()
+    assert len(rows) == 2 and [r.icao24 for r in rows].count(None) == 1
+
+
+def test_documents_are_parsed_once(spark):
+    plan = to_silver(documents(spark, payload(STATE)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_short_and_long_vectors(spark):
     rows = to_silver(documents(spark, payload(STATE[:10], [*STATE, 3]))).orderBy("geo_altitude").collect()
     assert [r.geo_altitude for r in rows] == [None, 9800.0]
