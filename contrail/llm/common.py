@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +33,16 @@ def slices(batches: Iterator[pa.RecordBatch], chars: int = 8_000_000) -> Iterato
                 yield ids[a:b], column.slice(a, b - a).to_pylist()
 
 
-def ascii_words(text: str) -> list[bytes]:
-    """Maximal runs of anything but ASCII white space, as UTF-8."""
-    return text.encode("utf-8", "surrogatepass").split()
+def utf8(text: str) -> bytes:
+    """UTF-8 of a text. `lower()` and `split()` of bytes know ASCII letters and white space only."""
+    return text.encode("utf-8", "surrogatepass")
 
 
 def numbered(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """All words of some documents as numbers, the first position of each document, and the distinct words."""
-    number: dict[bytes, int] = {}
-    put = number.setdefault
-    flat = np.fromiter((put(w, len(number)) for ws in words for w in ws), dtype=np.int64)
+    every = list(chain.from_iterable(words))
+    number = {w: i for i, w in enumerate(dict.fromkeys(every))}
+    flat = np.fromiter(map(number.__getitem__, every), dtype=np.int64, count=len(every))
     bounds = np.zeros(len(words) + 1, dtype=np.int64)
     np.cumsum([len(ws) for ws in words], out=bounds[1:])
     return flat, bounds, list(number)

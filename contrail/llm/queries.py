@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contrail.llm.chunk_dedup import exact_duplicates
 from contrail.llm.common import table
+from contrail.llm.minhash import near_duplicates
 from contrail.llm.packing import pack
 
 
@@ -17,7 +18,15 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_exact_dedup": op3_exact_dedup}
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op5_minhash": op5_minhash,
+}
 
 ORACLES = {
     "op3_exact_dedup": """
