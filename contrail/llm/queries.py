@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contrail.llm.chunk_dedup import exact_duplicates
 from contrail.llm.common import table
+from contrail.llm.decontaminate import contamination
 from contrail.llm.minhash import near_duplicates
 from contrail.llm.packing import pack
 
@@ -22,10 +23,15 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_minhash": op5_minhash,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLES = {
