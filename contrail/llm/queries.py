@@ -9,6 +9,7 @@ from contrail.llm.common import table
 from contrail.llm.decontaminate import contamination
 from contrail.llm.minhash import near_duplicates
 from contrail.llm.packing import pack
+from contrail.llm.pii import personal_spans
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_spans(table(spark, sf_dir, "documents")).drop("span_list", "row_hash")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,6 +36,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_minhash": op5_minhash,
+    "op7_pii": op7_pii,
     "op9_decontamination": op9_decontamination,
 }
 
