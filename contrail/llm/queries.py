@@ -10,6 +10,7 @@ from contrail.llm.decontaminate import contamination
 from contrail.llm.minhash import near_duplicates
 from contrail.llm.packing import pack
 from contrail.llm.pii import personal_spans
+from contrail.llm.toxicity import toxicity
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,12 +33,17 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_minhash": op5_minhash,
     "op7_pii": op7_pii,
     "op9_decontamination": op9_decontamination,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {
