@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import os
 from functools import cache
+from itertools import chain
 
 import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Words kept at most; a full cache is emptied before the next batch.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
+#: Fixed value: how the vocabulary writes a leading blank.
+_BLANK = "\u0120"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -34,6 +37,9 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        names = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(names.values()) + 1, dtype=bool)  # ids that begin with a blank
+        self.opens[[i for name, i in names.items() if name.startswith(_BLANK)]] = True
         self.limit = cache_words
         self._empty()
 
@@ -42,56 +48,51 @@ class WordTokenizer:
         self.ids, self.used = np.empty(1 << 16, dtype=np.uint32), 0
         self.first, self.length = np.empty(1 << 14, dtype=np.int64), np.empty(1 << 14, dtype=np.int64)
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
-            encoded = [e.ids for e in self.tokenizer.encode_batch([" " + w for w in part], add_special_tokens=False)]
-            known, sizes = len(self.index), np.asarray([len(x) for x in encoded], dtype=np.int64)
-            flat = np.fromiter((i for x in encoded for i in x), dtype=np.uint32, count=int(sizes.sum()))
-            self.ids = _grown(self.ids, self.used + len(flat))
-            self.first, self.length = _grown(self.first, known + len(part)), _grown(self.length, known + len(part))
-            self.ids[self.used : self.used + len(flat)] = flat
-            self.length[known : known + len(part)] = sizes
-            self.first[known : known + len(part)] = self.used + np.cumsum(sizes) - sizes
-            self.used += len(flat)
+        """Encode words a thousand to a text, cut again where an id begins with a blank. Irregular ones get length -1."""
+        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
+        odd = set(words).difference(plain)
+        self._grow(0, len(odd))
+        self.length[len(self.index) : len(self.index) + len(odd)] = -1
+        self.index.update(zip(odd, range(len(self.index), len(self.index) + len(odd)), strict=True))
+        for at in range(0, len(plain), 1000):
+            part = plain[at : at + 1000]
+            ids = self._ids(" " + " ".join(part))
+            starts, known = np.flatnonzero(self.opens[ids]), len(self.index)
+            self._grow(len(ids), len(part))
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.first[known : known + len(part)] = self.used + starts
+            self.length[known : known + len(part)] = np.diff(starts, append=len(ids))
+            self.used += len(ids)
             self.index.update(zip(part, range(known, known + len(part)), strict=True))
 
+    def _grow(self, ids: int, words: int) -> None:
+        self.ids = _grown(self.ids, self.used + ids)
+        self.first, self.length = _grown(self.first, len(self.index) + words), _grown(self.length, len(self.index) + words)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit numbers."""
         if len(self.index) > self.limit:
             self._empty()
-        out: list[np.ndarray | None] = [None] * len(texts)
-        whole, regular, rest, heads = [], [], [], []
-        for i, text in enumerate(texts):
-            words = text.split(" ")
-            if any(s in text for s in self.special) or _irregular(words):
-                whole.append(i)
-            else:
-                regular.append(i)
-                heads.append(words[0])
-                rest.append(words[1:])
-        for i, e in zip(whole, self.tokenizer.encode_batch([texts[i] for i in whole], add_special_tokens=False), strict=True):
-            out[i] = np.asarray(e.ids, dtype=np.uint32)
-        index = self.index
-        self._learn(list({w for words in rest for w in words if w not in index}))
-        starts = self.tokenizer.encode_batch(heads, add_special_tokens=False)
-        for i, head, words in zip(regular, starts, rest, strict=True):
-            at = np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))
+        split = [text.split(" ") for text in texts]
+        self._learn(list(set(chain.from_iterable(split)).difference(self.index)))
+        find, out = self.index.__getitem__, []
+        for text, words in zip(texts, split, strict=True):
+            at = np.fromiter(map(find, words), dtype=np.int64, count=len(words))
             sizes = self.length[at]
+            if len(words) == 1 or sizes.min() < 0 or any(s in text for s in self.special):
+                out.append(self._ids(text))
+                continue
+            at, sizes = at[1:], sizes[1:]
             ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            source = np.repeat(self.first[at] - ends + sizes, sizes) + np.arange(total)
-            out[i] = np.concatenate([np.asarray(head.ids, dtype=np.uint32), self.ids[source]])
+            source = np.repeat(self.first[at] - ends + sizes, sizes) + np.arange(ends[-1])
+            out.append(np.concatenate([self._ids(words[0]), self.ids[source]]))
         return out
 
 
-def _irregular(words: list[str]) -> bool:
-    """Whether a blank touches other white space or an end of the text."""
-    if len(words) == 1:
-        return False
-    return "" in words or any(w[0].isspace() or w[-1].isspace() for w in words)
-
-
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return array if size <= len(array) else np.concatenate([array, np.empty(max(size, 2 * len(array)) - len(array), dtype=array.dtype)])
 
