@@ -7,6 +7,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ def slices(batches: Iterator[pa.RecordBatch], chars: int = 8_000_000) -> Iterato
     """Lists of ids and texts, cut so that each holds about `chars` bytes, or one longer text."""
     for batch in batches:
         ids, column = batch.column("doc_id").to_pylist(), batch.column("text")
-        sizes = np.asarray([len(x) if x is not None else 0 for x in column.to_pylist()], dtype=np.int64)
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         group = np.cumsum(sizes) // chars
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(ids)]
         for a, b in zip(cuts, cuts[1:], strict=False):

@@ -8,8 +8,9 @@ soon as all its slots hold a lower rank than the next one: large sets after one
 draw for each element.
 
 Documents with the same set are one class. Classes that agree on a band are
-candidates. In each bucket all are first compared with one hub of the bucket;
-only classes that this leaves in different groups are then compared in pairs.
+candidates. Where buckets are large, all members are first compared with one hub
+of the bucket, in rounds with other hubs, and linked ones are merged; only
+classes that this leaves in different groups are then compared in pairs.
 Every link is confirmed on the full sets of the texts.
 """
 
@@ -31,8 +32,9 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: 40 bands of 5 slots: a pair of similarity 0.8 is missed by all bands with probability 1.3e-7.
 BANDS, ROWS = 40, 5
-#: Rounds of comparing with a hub before pairs are formed.
-HUB_ROUNDS = 2
+#: Rounds of comparing with a hub end when the pairs left are at most so many times the bucket members,
+#: or after so many rounds. What is left is compared in pairs, whatever its number.
+PAIRS_PER_MEMBER, HUB_ROUNDS = 1, 10
 #: A pair goes on to its texts if so many standard deviations below the expected number of equal slots.
 DEVIATIONS = 7
 
@@ -107,7 +109,7 @@ def sketches(docs: DataFrame, size: int = SHINGLE_WORDS, bands: int = BANDS, row
     """Set size, set fingerprint, band keys and one byte per slot for each row of `doc_id`, `text`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, bodies in slices(batches, 2_000_000):
+        for ids, bodies in slices(batches, 1_000_000):
             sets = shingle_hashes([words(t) for t in bodies], size)
             signature = superminhash(sets, bands * rows)
             cut = signature.reshape(len(sets), bands, rows)
@@ -161,30 +163,31 @@ def near_duplicates(
         .join(classes.select(F.col("class_id").alias("doc"), F.col("n_shingles").alias("n"), "slots"), "doc"),
         "candidate-texts",
     )
-    labels, links = involved.select("doc", F.col("doc").alias("label")), []
+    labels, links = involved.select("doc", F.col("doc").alias("label")), None
     for turn in range(hub_rounds):
-        named = members.join(labels, "doc")
+        named = settle(members.join(labels, "doc"), "named")
+        if pairs_left(named) <= PAIRS_PER_MEMBER * named.count():
+            break
         hubs = (
             named.groupBy("band")
             .agg(F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("order"), F.col("doc").alias("hub"), F.col("label").alias("hub_label"))).alias("h"), F.min("label").alias("low"), F.max("label").alias("high"))
             .where("low < high")
             .select("band", "h.*")
         )
-        chosen = named.join(hubs, "band").where("label <> hub_label").groupBy("doc").agg(F.min(F.struct("order", "hub", "hub_label")).alias("h"))
-        pairs = chosen.select(F.col("doc").alias("a"), F.col("h.hub").alias("b"), F.col("h.hub_label").alias("hub_label"))
-        found = settle(confirmed(pairs, facts, size, percent, bands * rows, "hub_label"), "links")
-        links.append(found.select("a", "b"))
-        moved = found.select(F.col("a").alias("doc"), "hub_label")
-        labels = settle(labels.join(moved, "doc", "left").select("doc", F.coalesce("hub_label", "label").alias("label")), "labels")
-    left = members.join(labels, "doc").join(members.join(labels, "doc").groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band"), "band")
-    left = settle(left.join(facts.select("doc", "n"), "doc"), "apart")
+        chosen = named.join(hubs, "band").where("label <> hub_label").groupBy("doc").agg(F.min(F.struct("order", "hub")).alias("h"))
+        found = settle(confirmed(chosen.select(F.col("doc").alias("a"), F.col("h.hub").alias("b")), facts, size, percent, bands * rows), "links")
+        links = found if links is None else settle(links.unionByName(found), "links")
+        labels = settle(
+            involved.join(components(links).toDF("doc", "component"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("label")), "labels"
+        )
+    named = settle(members.join(labels, "doc").join(facts.select("doc", "n"), "doc"), "named")
+    mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
+    left = settle(named.join(mixed, "band"), "apart")
     other = left.select("band", *(F.col(c).alias(f"{c}_b") for c in ("doc", "label", "n")))
     pairs = left.join(other, "band").where(f"doc < doc_b and label <> label_b and 100 * least(n, n_b) >= {percent} * greatest(n, n_b)")
     pairs = pairs.select(F.col("doc").alias("a"), F.col("doc_b").alias("b")).distinct()
-    links.append(confirmed(pairs, facts, size, percent, bands * rows).select("a", "b"))
-    every = links[0]
-    for more in links[1:]:
-        every = every.unionByName(more)
+    found = confirmed(pairs, facts, size, percent, bands * rows)
+    every = found if links is None else links.unionByName(found)
     grouped = components(every).select(F.col("node").alias("class_id"), "component")
     classes = classes.select("set_key", "class_id").join(grouped, "class_id", "left")
     return (
@@ -194,8 +197,14 @@ def near_duplicates(
     )
 
 
-def confirmed(pairs: DataFrame, facts: DataFrame, size: int, percent: int, slots: int, *carry: str) -> DataFrame:
-    """The pairs `a`, `b` (and columns `carry`) whose full sets are similar enough.
+def pairs_left(named: DataFrame) -> int:
+    """Pairs of a bucket under different labels, over all buckets."""
+    each = named.groupBy("band", "label").agg(F.count("*").cast("double").alias("n")).groupBy("band")
+    return each.agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs")).agg(F.coalesce(F.sum("pairs") / 2, F.lit(0.0))).first()[0]
+
+
+def confirmed(pairs: DataFrame, facts: DataFrame, size: int, percent: int, slots: int) -> DataFrame:
+    """The pairs `a`, `b` whose full sets are similar enough.
 
     Set sizes and signature bytes rule out most of the others before any text moves.
     """
@@ -206,7 +215,7 @@ def confirmed(pairs: DataFrame, facts: DataFrame, size: int, percent: int, slots
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, slots) for c in ("slots_a", "slots_b"))
             near = (a == b).sum(axis=1) >= least
-            yield batch.select(["a", "b", *carry]).filter(pa.array(near))
+            yield batch.select(["a", "b"]).filter(pa.array(near))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, set()
@@ -218,13 +227,13 @@ def confirmed(pairs: DataFrame, facts: DataFrame, size: int, percent: int, slots
                 other = shingle_set(x.as_py(), size)
                 common = len(own & other)
                 found.append(100 * common >= percent * (len(own) + len(other) - common))
-            yield batch.select(["a", "b", *carry]).filter(pa.array(found, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
 
     a = facts.select(*(F.col(c).alias(f"{c}_a") for c in ("doc", "n", "slots")))
     b = facts.select(*(F.col(c).alias(f"{c}_b") for c in ("doc", "n", "slots")))
-    schema = ", ".join(f"{c} long" for c in ("a", "b", *carry))
+    schema = ", ".join(f"{c} long" for c in ("a", "b"))
     sized = pairs.join(a, pairs.a == F.col("doc_a")).join(b, pairs.b == F.col("doc_b")).where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    near = settle(sized.select("a", "b", *carry, "slots_a", "slots_b").mapInArrow(close, schema), "close")
+    near = settle(sized.select("a", "b", "slots_a", "slots_b").mapInArrow(close, schema), "close")
     first = facts.select(F.col("doc").alias("a"), F.col("text").alias("text_a"))
     second = facts.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
-    return near.join(first, "a").join(second, "b").select("a", "b", *carry, "text_a", "text_b").mapInArrow(check, schema)
+    return near.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, schema)
