@@ -10,6 +10,7 @@ from contrail.llm.decontaminate import contamination
 from contrail.llm.minhash import near_duplicates
 from contrail.llm.packing import pack
 from contrail.llm.pii import personal_spans
+from contrail.llm.substring import remove_repeats
 from contrail.llm.toxicity import toxicity
 
 
@@ -25,6 +26,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_spans(table(spark, sf_dir, "documents")).drop("span_list", "row_hash")
 
@@ -41,6 +46,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_minhash": op5_minhash,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_pii": op7_pii,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
