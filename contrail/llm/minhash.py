@@ -25,16 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import fmix, numbered, slices, texts, utf8
-from contrail.llm.components import components
+from contrail.llm.grouping import HUB_ROUNDS, linked_groups
 from contrail.session import settle
 
 SHINGLE_WORDS = 5
 PERCENT = 80
 #: 40 bands of 5 slots: a pair of similarity 0.8 is missed by all bands with probability 1.3e-7.
 BANDS, ROWS = 40, 5
-#: Rounds of comparing with a hub end when the pairs left are at most so many times the bucket members,
-#: or after so many rounds. What is left is compared in pairs, whatever its number.
-PAIRS_PER_MEMBER, HUB_ROUNDS = 1, 10
 #: A pair goes on to its texts if so many standard deviations below the expected number of equal slots.
 DEVIATIONS = 7
 
@@ -163,32 +160,14 @@ def near_duplicates(
         .join(classes.select(F.col("class_id").alias("doc"), F.col("n_shingles").alias("n"), "slots"), "doc"),
         "candidate-texts",
     )
-    labels, links = involved.select("doc", F.col("doc").alias("label")), None
-    for turn in range(hub_rounds):
-        named = settle(members.join(labels, "doc"), "named")
-        if pairs_left(named) <= PAIRS_PER_MEMBER * named.count():
-            break
-        hubs = (
-            named.groupBy("band")
-            .agg(F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("order"), F.col("doc").alias("hub"), F.col("label").alias("hub_label"))).alias("h"), F.min("label").alias("low"), F.max("label").alias("high"))
-            .where("low < high")
-            .select("band", "h.*")
-        )
-        chosen = named.join(hubs, "band").where("label <> hub_label").groupBy("doc").agg(F.min(F.struct("order", "hub")).alias("h"))
-        found = settle(confirmed(chosen.select(F.col("doc").alias("a"), F.col("h.hub").alias("b")), facts, size, percent, bands * rows), "links")
-        links = found if links is None else settle(links.unionByName(found), "links")
-        labels = settle(
-            involved.join(components(links).toDF("doc", "component"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("label")), "labels"
-        )
-    named = settle(members.join(labels, "doc").join(facts.select("doc", "n"), "doc"), "named")
-    mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
-    left = settle(named.join(mixed, "band"), "apart")
-    other = left.select("band", *(F.col(c).alias(f"{c}_b") for c in ("doc", "label", "n")))
-    pairs = left.join(other, "band").where(f"doc < doc_b and label <> label_b and 100 * least(n, n_b) >= {percent} * greatest(n, n_b)")
-    pairs = pairs.select(F.col("doc").alias("a"), F.col("doc_b").alias("b")).distinct()
-    found = confirmed(pairs, facts, size, percent, bands * rows)
-    every = found if links is None else links.unionByName(found)
-    grouped = components(every).select(F.col("node").alias("class_id"), "component")
+    _, grouped = linked_groups(
+        members,
+        facts.select("doc", "n"),
+        f"100 * least(n, n_b) >= {percent} * greatest(n, n_b)",
+        lambda pairs: confirmed(pairs, facts, size, percent, bands * rows),
+        hub_rounds,
+    )
+    grouped = grouped.select(F.col("node").alias("class_id"), "component")
     classes = classes.select("set_key", "class_id").join(grouped, "class_id", "left")
     return (
         sketched.join(classes, "set_key", "left")
@@ -197,12 +176,6 @@ def near_duplicates(
     )
 
 
-def pairs_left(named: DataFrame) -> int:
-    """Pairs of a bucket under different labels, over all buckets."""
-    each = named.groupBy("band", "label").agg(F.count("*").cast("double").alias("n")).groupBy("band")
-    return each.agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs")).agg(F.coalesce(F.sum("pairs") / 2, F.lit(0.0))).first()[0]
-
-
 def confirmed(pairs: DataFrame, facts: DataFrame, size: int, percent: int, slots: int) -> DataFrame:
     """The pairs `a`, `b` whose full sets are similar enough.
 

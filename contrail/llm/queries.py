@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from contrail.llm.chunk_dedup import exact_duplicates
 from contrail.llm.common import table
 from contrail.llm.decontaminate import contamination
+from contrail.llm.line_dedup import line_duplicates
 from contrail.llm.minhash import near_duplicates
 from contrail.llm.packing import pack
 from contrail.llm.pii import personal_spans
@@ -18,6 +19,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_line_dedup": op2_line_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_minhash": op5_minhash,
     "op6_substring_dedup": op6_substring_dedup,
