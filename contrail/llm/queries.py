@@ -12,7 +12,9 @@ from contrail.llm.minhash import near_duplicates
 from contrail.llm.packing import pack
 from contrail.llm.pii import personal_spans
 from contrail.llm.substring import remove_repeats
+from contrail.llm.token_scan import document_tokens, token_stream
 from contrail.llm.toxicity import toxicity
+from contrail.llm.training_order import training_order
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +29,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
@@ -39,6 +45,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_spans(table(spark, sf_dir, "documents")).drop("span_list", "row_hash")
 
 
+def op8_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_tokens(token_stream(table(spark, sf_dir, "documents")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,9 +61,11 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_line_dedup": op2_line_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_training_order": op4_training_order,
     "op5_minhash": op5_minhash,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_pii": op7_pii,
+    "op8_token_scan": op8_token_scan,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
 }
