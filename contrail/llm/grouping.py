@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from contrail.llm.components import components
 from contrail.session import settle
 
-#: Rounds of comparing with a hub end when the pairs left are at most so many times the bucket members,
-#: or after so many rounds. What is left is compared in pairs, whatever its number.
-PAIRS_PER_MEMBER, HUB_ROUNDS = 1, 10
+#: Rounds of comparing with a hub end when a round leaves more than this share of the pairs, or at most so many
+#: times the bucket members, or after so many rounds. What is left is compared in pairs, whatever its number.
+PROGRESS, PAIRS_PER_MEMBER, HUB_ROUNDS = 0.5, 1, 10
 
 
 def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm: Callable[[DataFrame], DataFrame], hub_rounds: int = HUB_ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -23,20 +23,21 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
     Links between members that others connect may be missing, no connection is.
     """
     docs = sizes.select("doc")
-    labels, links = docs.select("doc", F.col("doc").alias("label")), None
-    for turn in range(hub_rounds):
-        named = settle(members.join(labels, "doc"), "named")
-        if pairs_left(named) <= PAIRS_PER_MEMBER * named.count():
+    labels, links, before = docs.select("doc", F.col("doc").alias("label")), None, None
+    for turn in range(hub_rounds + 1):
+        named = settle(mixed(members.select("band", "doc").join(labels, "doc")), "named")
+        members = named
+        left = pairs_left(named)
+        if turn == hub_rounds or left <= PAIRS_PER_MEMBER * named.count() or (before is not None and left > PROGRESS * before):
             break
+        before = left
         order = F.struct(F.xxhash64("doc", F.lit(turn)).alias("order"), F.col("doc").alias("hub"), F.col("label").alias("hub_label"))
-        hubs = named.groupBy("band").agg(F.min(order).alias("h"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band", "h.*")
+        hubs = named.groupBy("band").agg(F.min(order).alias("h")).select("band", "h.*")
         chosen = named.join(hubs, "band").where("label <> hub_label").groupBy("doc").agg(F.min(F.struct("order", "hub")).alias("h"))
         found = settle(confirm(chosen.select(F.col("doc").alias("a"), F.col("h.hub").alias("b"))), "links")
         links = found if links is None else settle(links.unionByName(found), "links")
         labels = settle(docs.join(components(links).toDF("doc", "component"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("label")), "labels")
-    named = settle(members.join(labels, "doc").join(sizes, "doc"), "named")
-    mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
-    left = settle(named.join(mixed, "band"), "apart")
+    left = settle(members.join(sizes, "doc"), "apart")
     other = left.select("band", *(F.col(c).alias(f"{c}_b") for c in ("doc", "label", "n")))
     pairs = left.join(other, "band").where(f"doc < doc_b and label <> label_b and {compatible}")
     found = confirm(pairs.select(F.col("doc").alias("a"), F.col("doc_b").alias("b")).distinct())
@@ -44,6 +45,12 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
     return links, components(links)
 
 
+def mixed(named: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one label."""
+    bands = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
+    return named.join(bands, "band")
+
+
 def pairs_left(named: DataFrame) -> float:
     """Pairs of a bucket under different labels, over all buckets."""
     each = named.groupBy("band", "label").agg(F.count("*").cast("double").alias("n")).groupBy("band")
