@@ -77,4 +77,69 @@ ORACLES = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.body) AS text_sha256
         FROM d JOIN g ON d.body = g.body
     """,
+    "op5_minhash": r"""
+        WITH RECURSIVE d AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ),
+        starts AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws), 2))) AS s FROM d WHERE len(ws) > 0),
+        sets AS (SELECT DISTINCT doc_id, array_to_string(ws[s:s + 1], ' ') AS w FROM starts),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.w = b.w AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+          SELECT x, y FROM common JOIN sizes m ON m.doc_id = x JOIN sizes n ON n.doc_id = y WHERE 100 * c >= 80 * (m.n + n.n - c)
+        ),
+        reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+        least_of AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(coalesce(y, d.doc_id), d.doc_id) AS component_id,
+          least(coalesce(y, d.doc_id), d.doc_id) = d.doc_id AS kept
+        FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON x = d.doc_id
+    """,
+    "op6_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM d),
+        windows AS (SELECT doc_id, s, array_to_string(ws[s:s + 19], ' ') AS w FROM starts),
+        marked AS (SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) > 1 AS repeated FROM windows),
+        hit AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM marked WHERE repeated),
+        words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d),
+        kept AS (
+          SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.p) AS body, count(*) AS n
+          FROM words w LEFT JOIN hit h ON h.doc_id = w.doc_id AND h.p = w.p WHERE h.p IS NULL GROUP BY w.doc_id
+        )
+        SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+          sha256(coalesce(k.body, '')) AS kept_sha256
+        FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id
+    """,
+    "op9_decontamination": r"""
+        WITH source AS (
+          SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, text FROM documents
+          UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), text FROM benchmark
+        ),
+        split AS (
+          SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM source
+        ),
+        items AS (
+          SELECT id, ws, least(10, len(ws)) AS size, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS s
+          FROM split WHERE kind = 'b' AND len(ws) > 0
+        ),
+        keys AS (SELECT DISTINCT id AS item_id, size, array_to_string(ws[s:s + size - 1], ' ') AS w FROM items),
+        sizes AS (SELECT DISTINCT size FROM keys),
+        places AS (
+          SELECT d.id, d.ws, z.size, unnest(range(1, len(d.ws) - z.size + 2)) AS s
+          FROM split d, sizes z WHERE d.kind = 'd' AND len(d.ws) >= z.size
+        ),
+        found AS (
+          SELECT p.id, p.s, p.size, k.item_id
+          FROM places p JOIN keys k ON k.size = p.size AND k.w = array_to_string(p.ws[p.s:p.s + p.size - 1], ' ')
+        ),
+        hits AS (SELECT id, count(DISTINCT q) AS n_hit FROM (SELECT id, unnest(range(s, s + size)) AS q FROM found) x GROUP BY id),
+        named AS (
+          SELECT id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS list
+          FROM (SELECT DISTINCT id, item_id FROM found) x GROUP BY id
+        )
+        SELECT CAST(d.id AS BIGINT) AS doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+          coalesce(n.n_items, 0) AS n_items, sha256(coalesce(n.list, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
+        FROM split d LEFT JOIN hits h ON h.id = d.id LEFT JOIN named n ON n.id = d.id WHERE d.kind = 'd'
+    """,
 }

@@ -1,0 +1,7 @@
+from __future__ import annotations
+
+import os
+from pathlib import Path
+
+# Python workers import the package too
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(Path(__file__).resolve().parents[2]), os.environ.get("PYTHONPATH")]))
