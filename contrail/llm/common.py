@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +19,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; clusters need no installed copy."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    home = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="contrail-")) / "contrail.zip"  # read by the driver's file server only
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(home.rglob("*.py")):
+            out.write(file, file.relative_to(home.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", null: str | None = "") -> DataFrame:
     """The two columns the operators read, as `doc_id` and `text`; NULL text reads as `null`."""
+    ship(docs.sparkSession)
     body = F.col(text) if null is None else F.coalesce(F.col(text), F.lit(null))
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"))
 

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.common import ship
 from contrail.session import settle
 
 
@@ -22,6 +23,7 @@ def components(links: DataFrame) -> DataFrame:
     Links with a NULL end and links of a node to itself are ignored; repeated
     links count once; no links give no rows. Eager: the rounds run when called.
     """
+    ship(links.sparkSession)
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
     edges, seen = settle(links.mapInPandas(_forest, "a long, b long"), "forest"), None
     while True:

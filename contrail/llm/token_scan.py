@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import slices, texts
+from contrail.llm.common import ship, slices, texts
 from contrail.llm.tokens import RANKS, tokenizer, tokenizer_path
 
 #: Identifiers in a block.
@@ -72,6 +72,7 @@ def read_token_files(spark: SparkSession, path: str, width: int = 2, block_ids:
                     arrays = [pa.array([file.as_py()]), pa.array([block], pa.int64()), pa.array([part], pa.binary()), pa.array([None], pa.list_(pa.int64()))]
                     yield pa.RecordBatch.from_arrays(arrays, ["file", "block", "ids", "labels"])
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, BLOCKS)
 
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.common import fmix, slices, texts
+from contrail.llm.common import fmix, ship, slices, texts
 from contrail.llm.tokens import RANKS, tokenizer, tokenizer_path
 from contrail.session import scratch_path
 
@@ -146,6 +146,7 @@ def read_training_order(spark: SparkSession, path: str, n: int, key: int = KEY,
                 columns = [slots, np.full(len(data), shard), np.arange(len(data)), permuted(slots, n, key, inverse=True), sizes, crc]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [c.split()[0] for c in RECORDS.split(", ")])
 
+    ship(spark)
     shard: Column = F.regexp_extract(F.col("path"), r"part-(\d+)", 1).cast("long")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.where("length > 0").select(shard.alias("shard"), "content").mapInArrow(run, RECORDS)
