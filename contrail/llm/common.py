@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -35,6 +36,12 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(spark.sparkContext.applicationId)
 
 
+def forget(spark: SparkSession) -> None:
+    """Have the driver collect garbage, so that Spark deletes shuffle files of frames that are no longer held."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", null: str | None = "") -> DataFrame:
     """The two columns the operators read, as `doc_id` and `text`; NULL text reads as `null`."""
     ship(docs.sparkSession)

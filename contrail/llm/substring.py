@@ -22,13 +22,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import fmix, numbered, slices, texts, utf8
+from contrail.llm.common import fmix, forget, numbered, slices, texts, utf8
 from contrail.session import settle
 
 WINDOW_WORDS = 20
 #: Words of a group; its least hash in a window names the window's shard.
-GROUP_WORDS = 6
-#: Windows of a passage at most; longer runs are cut.
+GROUP_WORDS = 8
+#: Windows of a passage at most; longer runs are cut. Place and windows share a number, 16 to a word.
 PASSAGE_WINDOWS = 14
 #: Passages of one hash that an automaton takes at most.
 AUTOMATON_PASSAGES = 2000
@@ -234,15 +234,29 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, group: int = GRO
                 )
                 at += len(ids)
 
+    spark = docs.sparkSession
     scanned = settle(docs.mapInArrow(scan, RUNS), "runs")
-    named = scanned.select(F.explode(F.concat("hashes", "again")).alias("hash")).groupBy("hash").count()
-    shared = named.where("count > 1").select("hash", (F.col("count") > often).alias("often"))
-    occurrences = scanned.select("doc_id", "row_hash", F.explode(F.arrays_zip("hashes", "starts", "counts")).alias("r")).select(
-        "doc_id", "row_hash", F.col("r.hashes").alias("hash"), F.col("r.starts").alias("start"), F.col("r.counts").alias("n")
+    # the hash of the text tells rows apart only where an id has several texts; elsewhere it is 0 and costs nothing
+    several = scanned.groupBy("doc_id").agg(F.min("row_hash").alias("low"), F.max("row_hash").alias("high")).where("low < high")
+    several = settle(several.select(F.col("doc_id").alias("several_id")), "several")
+
+    def told_apart(df: DataFrame) -> DataFrame:
+        joined = df.join(several.withColumn("hit", F.lit(True)), df.doc_id.eqNullSafe(several.several_id), "left")
+        return joined.withColumn("row_hash", F.when(F.col("hit"), F.col("row_hash")).otherwise(F.lit(0).cast("long"))).select(*df.columns)
+
+    scanned, docs = told_apart(scanned), told_apart(docs)
+    counted = scanned.select(F.explode(F.concat("hashes", "again")).alias("hash")).groupBy("hash").count()
+    shared = settle(counted.where("count > 1").select("hash", (F.col("count") > often).alias("often")), "shared")
+    packed = F.zip_with("starts", "counts", lambda s, n: s * 16 + n)
+    occurrences = scanned.select("doc_id", "row_hash", F.explode(F.arrays_zip("hashes", packed.alias("at"))).alias("r")).select(
+        "doc_id", "row_hash", F.col("r.hashes").alias("hash"), F.col("r.at").alias("at")
     )
-    found = occurrences.join(shared, "hash").groupBy("doc_id", "row_hash").agg(F.collect_set(F.struct("hash", "start", "n", "often")).alias("runs"))
+    found = settle(occurrences.join(shared, "hash").groupBy("doc_id", "row_hash").agg(F.collect_set(F.struct("hash", "at", "often")).alias("runs")), "found")
+    del counted, occurrences
+    forget(spark)
     same = [docs[c].eqNullSafe(found[c]) for c in ("doc_id", "row_hash")]
-    known = settle(docs.join(found, same).select(docs.doc_id, docs.row_hash, "text", "runs").dropDuplicates(["doc_id", "row_hash"]), "passage-texts")
+    known = settle(docs.join(found, same).select(docs.doc_id, docs.row_hash, "text", "runs"), "passage-texts")
+    forget(spark)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -250,7 +264,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, group: int = GRO
                 for doc_id, row_hash, text, runs in zip(*(batch.column(c) for c in ("doc_id", "row_hash", "text", "runs")), strict=True):
                     doc_id, row_hash, ws = doc_id.as_py(), row_hash.as_py(), words(text.as_py())
                     for r in runs.as_py():
-                        yield r["hash"], doc_id, row_hash, r["start"], r["often"], b" ".join(ws[r["start"] : r["start"] + r["n"] + window - 1])
+                        start, n = divmod(r["at"], 16)
+                        yield r["hash"], doc_id, row_hash, start, r["often"], b" ".join(ws[start : start + n + window - 1])
 
         yield from _batches(rows(), PASSAGES, 5000)
 
@@ -282,6 +297,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, group: int = GRO
     same = [known[c].eqNullSafe(spans[c]) for c in ("doc_id", "row_hash")]
     cleaned = known.join(spans, same).select(known.doc_id, known.row_hash, "text", "spans").mapInArrow(keep, RESULT)
     cleaned = cleaned.select(F.col("doc_id").alias("c_id"), F.col("row_hash").alias("c_hash"), "n_removed", F.col("kept_sha256").alias("c_sha"), F.col("text").alias("kept_text"))
+    cleaned = cleaned.dropDuplicates(["c_id", "c_hash"])
     whole = scanned.select("doc_id", "row_hash", "n_words", "kept_sha256")
     return whole.join(cleaned, whole.doc_id.eqNullSafe(F.col("c_id")) & (whole.row_hash == F.col("c_hash")), "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("c_sha", "kept_sha256").alias("kept_sha256"), "kept_text"
