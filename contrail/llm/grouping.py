@@ -12,14 +12,15 @@ from contrail.session import settle
 
 #: Rounds of comparing with a hub end when a round leaves more than this share of the pairs, or at most so many
 #: times the bucket members, or after so many rounds. What is left is compared in pairs, whatever its number.
-PROGRESS, PAIRS_PER_MEMBER, HUB_ROUNDS = 0.5, 1, 10
+PROGRESS, PAIRS_PER_MEMBER, HUB_ROUNDS = 0.8, 1, 10
 
 
 def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm: Callable[[DataFrame], DataFrame], hub_rounds: int = HUB_ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Confirmed links `a`, `b` between members of a bucket, and `node`, `component` of the linked ones.
 
-    `members`: distinct `band`, `doc`; `sizes`: `doc`, `n`. `confirm` returns those of
-    the pairs `a`, `b` that are links; `compatible` is what n and n_b must satisfy.
+    `members`: distinct `band`, `doc`; `sizes`: `doc` and columns that `compatible`, a
+    condition for pairs, names plain for one member and with `_b` for the other.
+    `confirm` returns those of the pairs `a`, `b` that are links.
     Links between members that others connect may be missing, no connection is.
     """
     docs = sizes.select("doc")
@@ -38,7 +39,7 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
         links = found if links is None else settle(links.unionByName(found), "links")
         labels = settle(docs.join(components(links).toDF("doc", "component"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("label")), "labels")
     left = settle(members.join(sizes, "doc"), "apart")
-    other = left.select("band", *(F.col(c).alias(f"{c}_b") for c in ("doc", "label", "n")))
+    other = left.select("band", *(F.col(c).alias(f"{c}_b") for c in left.columns if c != "band"))
     pairs = left.join(other, "band").where(f"doc < doc_b and label <> label_b and {compatible}")
     found = confirm(pairs.select(F.col("doc").alias("a"), F.col("doc_b").alias("b")).distinct())
     links = settle(found if links is None else links.unionByName(found), "links")
