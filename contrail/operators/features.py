@@ -36,7 +36,8 @@ def velocity_median(df: DataFrame) -> DataFrame:
 def impute(df: DataFrame, median: float | None = None) -> DataFrame:
     """Fill missing measurements.
 
-    The velocity median is that of `df` itself unless a saved one is given.
+    The velocity median is that of `df` itself unless a saved one is given; `df`
+    is then read four times. Lazy.
     """
     middle: Column = velocity_median(df).scalar() if median is None else F.lit(float(median))
     fills = {"velocity": F.coalesce(F.col("velocity"), middle)}

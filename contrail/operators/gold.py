@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,7 +16,7 @@ from contrail.functions.columns import (
     half_hour_start,
     hour_start,
 )
-from contrail.operators.quantiles import LARGE_GROUP, exact_quantile
+from contrail.operators.quantiles import exact_quantile
 from contrail.session import settle
 
 
@@ -35,11 +36,11 @@ def _placed(silver: DataFrame) -> DataFrame:
     )
 
 
-def gold_country_totals(silver: DataFrame) -> DataFrame:
-    """Totals of one batch per country; rows without a country are left out."""
+def gold_country_totals(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Totals per country, and per `by`; rows without a country are left out."""
     return (
         silver.where(F.col("origin_country").isNotNull())
-        .groupBy("origin_country")
+        .groupBy(*by, "origin_country")
         .agg(
             F.count("icao24").alias("total_flights"),
             F.avg("velocity").alias("avg_velocity"),
@@ -79,15 +80,9 @@ def hourly_figures(silver: DataFrame) -> DataFrame:
     )
 
 
-def gold_flight_aggregations(silver: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
-    """Hourly figures per country of cleaned silver, with the exact median.
-
-    Groups above `large_group` rows are ranked by counting instead of being
-    held in one task.
-    """
-    medians = exact_quantile(
-        _hourly(silver), "velocity_validated", 0.5, HOURLY, "median_velocity", large_group=large_group
-    )
+def gold_flight_aggregations(silver: DataFrame) -> DataFrame:
+    """Hourly figures per country of cleaned silver, with the exact median."""
+    medians = exact_quantile(_hourly(silver), "velocity_validated", 0.5, HOURLY, "median_velocity")
     return hourly_figures(silver).join(medians, HOURLY, "left").select(
         *HOURLY,
         "unique_flights",

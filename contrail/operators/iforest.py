@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.operators.quantiles import exact_quantile
-from contrail.session import settle
+from contrail.session import discard, settle
 
 # Tasks get the functions below with the job, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -64,30 +64,29 @@ def grow_tree(points: np.ndarray, tree: int, seed: int, max_depth: int) -> list[
     return nodes
 
 
-def sample_per_tree(matrix: DataFrame, n: int, trees: int, size: int, seed: int) -> DataFrame:
-    """Up to `size` rows for every tree: (tree, signals).
+def sample_per_tree(
+    matrix: DataFrame, n: int, trees: int, size: int, seed: int, ids: Sequence[str]
+) -> DataFrame:
+    """Up to `size` of the `n` rows for every tree: (tree, signals).
 
-    Each row draws on its own, by its place in the stored input, so that equal
-    rows appear as often as their share asks for; the same files give the same
-    sample. Plenty of rows: each is kept with a probability that yields twice
-    the rows needed, and goes to one tree. Few rows: each goes to several
-    trees. The row number keeps `size` of them in the map tasks already.
+    Each row draws by a hash of its ids and signals, whatever file or partition
+    it lies in: it goes to 2 * trees * size / n trees, the fraction by chance, at
+    most to all of them. Which ones is again a matter of the hash, and so are the
+    `size` rows that a tree keeps; the row number drops others in the map tasks.
     """
-    wanted = 2 * trees * size
-    copies = min(trees, max(1, math.ceil(wanted / n)))
-    keep = F.pmod("_row", F.lit(1_000_000)) < math.ceil(min(1.0, wanted / n) * 1_000_000)
-    if copies == trees:
-        chosen = F.sequence(F.lit(0), F.lit(trees - 1))
-    else:
-        draws = F.sequence(F.lit(1), F.lit(copies))
-        chosen = F.array_distinct(
-            F.transform(draws, lambda i: F.pmod(F.xxhash64("_row", i), F.lit(trees)).cast("int"))
-        )
-    order = Window.partitionBy("tree").orderBy(F.xxhash64("_row", "tree"))
+    row = F.xxhash64(F.lit(seed), *ids, *SIGNALS)
+    chance = F.pmod(F.xxhash64("_row", F.lit(-1)), F.lit(1 << 20)) / (1 << 20)
+    copies = F.least(F.lit(trees), F.floor(F.lit(2 * trees * size / max(n, 1)) + chance)).cast("int")
+    places = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(F.xxhash64("_row", t), t.alias("tree"))
+    )
+    order = Window.partitionBy("tree").orderBy("_place", *SIGNALS)
     return (
-        matrix.select(*SIGNALS, F.xxhash64(F.lit(seed), F.monotonically_increasing_id()).alias("_row"))
-        .where(keep)
-        .withColumn("tree", F.explode(chosen))
+        matrix.select(*SIGNALS, row.alias("_row"))
+        .withColumn("_copies", copies)
+        .where("_copies > 0")
+        .select("*", F.explode(F.slice(F.array_sort(places), F.lit(1), F.col("_copies"))).alias("_p"))
+        .select(*SIGNALS, F.col("_p.tree").alias("tree"), F.xxhash64("_row", F.lit(-2), "_p.tree").alias("_place"))
         .withColumn("_rn", F.row_number().over(order))
         .where(F.col("_rn") <= size)
         .select("tree", *SIGNALS)
@@ -96,11 +95,15 @@ def sample_per_tree(matrix: DataFrame, n: int, trees: int, size: int, seed: int)
 
 @dataclass
 class IsolationForest:
-    """Node table of a fitted forest. `offset` separates anomalies from the rest."""
+    """Node table of a fitted forest. `offset` separates anomalies from the rest.
+
+    `anomaly_share` is the share of training rows that came out as anomalies.
+    """
 
     nodes: pd.DataFrame
     sample: int
     offset: float = -0.5
+    anomaly_share: float | None = None
 
     def _arrays(self) -> dict[str, np.ndarray]:
         """Node columns as (tree, node) grids."""
@@ -141,24 +144,32 @@ def train_iforest(
     trees: int = TREES,
     contamination: float = CONTAMINATION,
     seed: int = SEED,
+    sample_size: int = SAMPLE,
+    ids: Sequence[str] = ("icao24", "time_position"),
 ) -> IsolationForest:
     """Fit on the three signals; the offset puts `contamination` of the rows below zero.
 
-    `matrix` should be stored rows, as it is read three times.
+    Each tree is grown from at most `sample_size` rows, a part of the algorithm.
+    The same rows give the same forest, however they are partitioned. `matrix`
+    should be stored rows, as it is read three times. Eager.
     """
     n = matrix.count()
-    size = min(SAMPLE, n)
+    size = min(sample_size, n)
     max_depth = math.ceil(math.log2(max(size, 2)))
 
     def build(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(SIGNALS)  # the order of arrival must not matter
         grown = grow_tree(rows[SIGNALS].to_numpy(dtype=float), int(group[0]), seed, max_depth)
         return pd.DataFrame(grown, columns=["tree", "node", "feature", "threshold", "low", "high", "path"])
 
     # A tree gets at most `size` rows, so a group is small whatever the data.
-    samples = sample_per_tree(matrix, n, trees, size, seed)
+    samples = sample_per_tree(matrix, n, trees, size, seed, [c for c in ids if c in matrix.columns])
     nodes = settle(samples.groupBy("tree").applyInPandas(build, NODE), "trees")
     # At most trees * (2 * size - 1) nodes come to the driver.
-    forest = IsolationForest(nodes.toPandas(), size, 0.0)
+    forest = IsolationForest(nodes.orderBy("tree", "node").toPandas(), size, 0.0)
     raw = settle(forest.score(matrix.select(*SIGNALS), "score").select("score"), "scores")
-    forest.offset = exact_quantile(raw, "score", contamination, name="offset", rounds=2).first().offset
+    forest.offset = exact_quantile(raw, "score", contamination, name="offset").first().offset
+    forest.anomaly_share = raw.agg(F.count_if(F.col("score") < forest.offset) / F.count(F.lit(1))).first()[0]
+    discard(nodes)
+    discard(raw)
     return forest

@@ -7,18 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.session import settle
-
-BINS_PER_OCTAVE = 4096
+# Two rounds of bins: at most 2 * 2100 * 16 of the first kind, then 4096 within each that is hit.
+BINS_PER_OCTAVE = 16
 SLICES = 4096
-LARGE_GROUP = 100_000
 
 
 def magnitude_bin(value: Column) -> Column:
-    """Number of a bin that grows with the value, about 0.017 % wide.
+    """Number of a bin that grows with the value, some 4 % wide.
 
     Doubles span some 2100 powers of two on each side of zero, so there are
-    at most 2 * 2100 * 4096 bins whatever the data.
+    at most 2 * 2100 * 16 bins whatever the data.
     """
     octave = F.log2(F.abs(value)) * BINS_PER_OCTAVE
     size = F.floor(F.greatest(octave, F.lit(-1100.0 * BINS_PER_OCTAVE))) + 1101 * BINS_PER_OCTAVE
@@ -43,81 +41,47 @@ def linear_slice(value: Column, low: Column, high: Column) -> Column:
 
 
 def exact_quantile(
-    df: DataFrame,
-    value: str,
-    q: float = 0.5,
-    keys: Sequence[str] = (),
-    name: str = "median",
-    rounds: int = 1,
-    large_group: int = LARGE_GROUP,
+    df: DataFrame, value: str, q: float = 0.5, keys: Sequence[str] = (), name: str = "median"
 ) -> DataFrame:
     """Interpolated quantile of the non-NULL values, one row per key.
 
-    Groups are sized first, with map-side combine. Those of at most
-    `large_group` rows go through Spark's own `percentile`, which holds the
-    distinct values of a group in memory; larger ones, and input without keys,
-    are answered by `quantile_by_rank`. The keys of large groups are settled,
-    so their real number decides how they are joined. Without keys the answer
-    is a single row, NULL on empty input.
+    Rows are counted by bin in the map tasks, so what is shuffled is bounded by
+    the bins. The histogram shows which bin holds the wanted rank; only rows of
+    that bin are counted by the slices of a second, finer cut, and only rows of
+    the slice that is hit are ranked, equal values counted first. Groups of any
+    size go this one way. Without keys the answer is a single row, NULL on empty
+    input. `df` is read three times and should be cheap to read.
     """
     keys = list(keys)
-    rows = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    if not keys:
-        return quantile_by_rank(rows, q, [], name, rounds)
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    large = settle(sizes.where(F.col("_size") > large_group).select(*keys), "large-groups")
-    held = F.percentile("_v", q).alias(name)
-    if large.isEmpty():
-        return rows.groupBy(*keys).agg(held)
-    small = rows.join(large, keys, "left_anti").groupBy(*keys).agg(held)
-    return small.unionByName(
-        quantile_by_rank(rows.join(large, keys, "left_semi"), q, keys, name, rounds)
-    )
-
-
-def quantile_by_rank(
-    rows: DataFrame, q: float, keys: Sequence[str], name: str, rounds: int
-) -> DataFrame:
-    """Quantile of `_v` by counting, without holding a group in one task.
-
-    Equal values are counted before the first shuffle. A histogram then shows
-    which bin holds the wanted rank, and only the values of that bin are
-    ranked. Each of the `rounds` cuts that candidate set some thousandfold:
-    one does for measurements of limited precision, two for arbitrary doubles.
-    """
-    v, n = F.col("_v"), F.col("_n")
-    candidates = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    v = F.col("_v")
+    rows = df.select(*keys, F.col(value).alias("_v")).where(v.isNotNull())
     path, carried = keys, []
-    for i in range(rounds):
-        step = f"_bin{i}"
-        bin_no = magnitude_bin(v) if i == 0 else linear_slice(v, F.col("_low"), F.col("_high"))
-        candidates = candidates.withColumn(step, bin_no)
-        grain = [*path, step]
-        histogram = candidates.groupBy(*grain, *carried).agg(
-            F.sum("_n").alias("_count"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+    for step in ("_bin", "_slice"):
+        cut = magnitude_bin(v) if step == "_bin" else linear_slice(v, F.col("_low"), F.col("_high"))
+        rows = rows.withColumn(step, cut)
+        histogram = rows.groupBy(*path, step, *carried).agg(
+            F.count(F.lit(1)).alias("_count"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
         )
         whole = Window.partitionBy(*path)
         earlier = whole.orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
         below = F.coalesce(F.sum("_count").over(earlier), F.lit(0))
-        if i == 0:
-            histogram = histogram.select(
-                "*", below.alias("_start"), (q * (F.sum("_count").over(whole) - 1)).alias("_rank")
-            )
-        else:
+        if carried:
             histogram = histogram.withColumn("_start", F.col("_start") + below)
-        hit = histogram.where(
-            (F.col("_start") <= F.ceil("_rank")) & (F.floor("_rank") < F.col("_start") + F.col("_count"))
-        ).select(*grain, "_start", "_rank", "_low", "_high")
-        if not keys:
-            hit = F.broadcast(hit)  # at most two bins hold the two ranks
-        candidates = candidates.select(*grain, "_v", "_n").join(hit, grain)
-        path = grain
+        else:
+            rank = q * (F.sum("_count").over(whole) - 1)
+            histogram = histogram.select("*", below.alias("_start"), rank.alias("_rank"))
+        last = F.col("_start") + F.col("_count") - 1
+        # each key has at most two bins that hold its two ranks
+        hit = histogram.where((F.col("_start") <= F.ceil("_rank")) & (F.floor("_rank") <= last))
+        path = [*path, step]
+        hit = hit.select(*path, "_start", "_rank", "_low", "_high")
+        rows = rows.select(*path, "_v").join(hit if keys else F.broadcast(hit), path)
         carried = ["_start", "_rank"]
+    values = rows.groupBy(*path, "_start", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*path).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.col("_start") + F.sum("_n").over(running) - 1
     ends = (
-        candidates.withColumn("_last", last)
-        .where((F.col("_last") >= F.floor("_rank")) & (F.col("_last") - n + 1 <= F.ceil("_rank")))
+        values.withColumn("_last", F.col("_start") + F.sum("_n").over(running) - 1)
+        .where((F.col("_last") >= F.floor("_rank")) & (F.col("_last") - F.col("_n") + 1 <= F.ceil("_rank")))
         .groupBy(*keys)
         .agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.first("_rank").alias("_rank"))
     )

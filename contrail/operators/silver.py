@@ -55,13 +55,19 @@ def select_existing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in columns if c in df.columns])
 
 
-def to_silver(bronze: DataFrame, layout: str = "api", on_bad: str = "raise") -> DataFrame:
+def to_silver(
+    bronze: DataFrame, layout: str = "api", on_bad: str = "raise", window: str | None = None
+) -> DataFrame:
     """Raw documents to typed silver rows, lineage columns kept at the end.
 
     A missing ground flag counts as airborne; names are trimmed; a missing
-    name stays NULL.
+    name stays NULL. `window` names a further column with the half hour of the
+    time that the document itself gives.
     """
-    rows = project_states(flatten_states(parse_payload(bronze, on_bad=on_bad)), layout)
+    parsed = parse_payload(bronze, on_bad=on_bad)
+    if window:
+        parsed = parsed.withColumn(window, event_time(F.floor(F.col("payload.time") / 1800) * 1800))
+    rows = project_states(flatten_states(parsed), layout)
     typed = coerce_numeric(rows, SILVER_DOUBLES, SILVER_LONGS)
     return typed.withColumns(
         {

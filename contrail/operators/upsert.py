@@ -28,8 +28,10 @@ def upsert(
     A match takes `update_columns` from the source and the rest from the
     target; a source row without a match is inserted. A NULL key equals
     nothing: such rows of both sides pass through, outside the join, so that
-    they cannot pile up in one of its tasks. `unique=True` states that the
-    source keys are known to be unique and skips the check.
+    they cannot pile up in one of its tasks. Target rows meet only the keys of
+    the source, and stay in place where Spark finds those small enough to
+    broadcast; `source` is read four times and should be stored. `unique=True`
+    states that the source keys are known to be unique and skips the check.
     """
     if not unique:
         require_unique_keys(source, keys)
@@ -40,20 +42,11 @@ def upsert(
         *[F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in rest],
     )
     keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    old = target.where(~keyless).select(*keys, F.struct(*rest).alias("_old"))
-    new = given.where(~keyless).select(*keys, F.struct(*rest).alias("_new"))
-
-    def merged(column: str):
-        first, second = ("_new", "_old") if column in update_columns else ("_old", "_new")
-        return (
-            F.when(F.col(first).isNotNull(), F.col(f"{first}.{column}"))
-            .otherwise(F.col(f"{second}.{column}"))
-            .alias(column)
-        )
-
-    joined = old.join(new, keys, "full_outer").select(*keys, *[merged(c) for c in rest])
-    return (
-        joined.unionByName(target.where(keyless))
-        .unionByName(given.where(keyless))
-        .select(*target.columns)
-    )
+    new = given.where(~keyless)
+    updates = new.select(*keys, F.struct(*[c for c in rest if c in update_columns]).alias("_new"))
+    matched = target.where(~keyless).join(updates, keys, "inner")
+    changed = matched.select(*keys, *[F.col(f"_new.{c}") if c in update_columns else F.col(c) for c in rest])
+    untouched = target.where(~keyless).join(new.select(*keys), keys, "left_anti")
+    inserted = new.join(matched.select(*keys), keys, "left_anti")
+    parts = [changed, untouched, inserted, target.where(keyless), given.where(keyless)]
+    return reduce(lambda a, b: a.unionByName(b), [p.select(*target.columns) for p in parts])

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.classifier import (
@@ -19,13 +20,14 @@ from contrail.operators.classifier import (
 )
 from contrail.operators.features import engineer_features
 from contrail.operators.iforest import IsolationForest, train_iforest
-from contrail.session import path_exists, settle, spread
+from contrail.session import path_exists, settle
 from contrail.sources.files import read_silver_dir, write_layer
 from contrail.sources.tables import utc_now
 
 log = logging.getLogger(__name__)
 
 MAX_AGE_HOURS = 24.0
+ROWS_PER_PARTITION = 200_000
 
 
 @dataclass
@@ -48,11 +50,24 @@ def build_score_features(silver: DataFrame, encoder: DataFrame, median: float |
     return engineer_features(silver, encoder, median)[0]
 
 
+def arranged(matrix: DataFrame, ids: Sequence[str] = ("icao24", "time_position")) -> DataFrame:
+    """Rows in partitions and an order that follow from the rows alone.
+
+    Spark ML draws its samples partition by partition; this way a fit depends
+    neither on the files of its input nor on the number of cores.
+    """
+    ids = [c for c in ids if c in matrix.columns]
+    parts = max(8, -(-matrix.count() // ROWS_PER_PARTITION))
+    rest = [c for c in matrix.columns if c not in (*ids, "meta")]
+    return matrix.repartition(parts, *ids).sortWithinPartitions(*ids, *rest)
+
+
 def train(matrix: DataFrame, encoder: DataFrame, trees: int = TREES) -> tuple[Models, DataFrame, DataFrame]:
     """Both models, with the held-out report and the importances."""
-    matrix = spread(settle(matrix, "features"))  # read many times below
-    classifier, held_out = train_onground(matrix, trees=trees)
+    matrix = settle(matrix, "features")  # read many times below
+    classifier, held_out = train_onground(arranged(matrix), trees=trees)
     forest = train_iforest(matrix)
+    log.info("share of anomalies in training: %s", forest.anomaly_share)
     report = classification_report(held_out)
     importances = feature_importances(matrix.sparkSession, classifier)
     return Models(classifier, forest, encoder), report, importances
@@ -70,18 +85,23 @@ def save_models(models: Models, path: str, now: datetime | None = None) -> None:
     models.classifier.write().overwrite().save(f"{home}/onground")
     spark.createDataFrame(models.forest.nodes).write.mode("overwrite").parquet(f"{home}/forest")
     models.encoder.write.mode("overwrite").parquet(f"{home}/encoder")
-    current = [(version, now, models.forest.sample, float(models.forest.offset))]
-    schema = "version string, trained_at timestamp_ntz, sample int, offset double"
-    spark.createDataFrame(current, schema).write.mode("overwrite").parquet(f"{path}/current")
+    pointer = [(version, now, models.forest.sample, float(models.forest.offset), models.forest.anomaly_share)]
+    schema = "version string, trained_at timestamp_ntz, sample int, offset double, anomaly_share double"
+    spark.createDataFrame(pointer, schema).coalesce(1).write.mode("append").parquet(f"{path}/current")
+
+
+def _newest(spark: SparkSession, path: str) -> Row:
+    """The newest pointer; each save adds one, in a file of its own that appears whole or not at all."""
+    return spark.read.parquet(f"{path}/current").orderBy(F.desc("version")).first()
 
 
 def load_models(spark: SparkSession, path: str) -> Models:
-    current = spark.read.parquet(f"{path}/current").first()
+    current = _newest(spark, path)
     home = f"{path}/{current.version}"
     nodes = spark.read.parquet(f"{home}/forest").toPandas()  # bounded by trees and sample size
     return Models(
         RandomForestClassificationModel.load(f"{home}/onground"),
-        IsolationForest(nodes, current.sample, current.offset),
+        IsolationForest(nodes, current.sample, current.offset, current.anomaly_share),
         spark.read.parquet(f"{home}/encoder"),
     )
 
@@ -91,7 +111,7 @@ def models_are_fresh(
 ) -> bool:
     if not path_exists(spark, f"{path}/current/_SUCCESS"):
         return False
-    trained_at = spark.read.parquet(f"{path}/current").first().trained_at
+    trained_at = _newest(spark, path).trained_at
     return (now or utc_now()) - trained_at <= timedelta(hours=max_age_hours)
 
 

@@ -453,6 +453,46 @@ ORACLES: dict[str, str] = {
       CASE WHEN velocity >= 0 THEN velocity END AS velocity, vertical_rate, true_track,
       baro_altitude, on_ground, geo_altitude
     FROM reports""",
+    "stream_totals": REPORTS
+    + f""", documents AS (
+      SELECT event_id // 500 AS document,
+        floor(max(epoch(date_trunc('second', ingestion_time))) / 86400) * 86400 AS seen FROM reports GROUP BY 1)
+    SELECT TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST(seen AS bigint)) AS window_start, origin_country,
+      count(*) AS total_flights, {r6('avg(CASE WHEN velocity >= 0 THEN velocity END)', 'avg_velocity')},
+      CAST(sum(CASE WHEN on_ground THEN 1 ELSE 0 END) AS bigint) AS on_ground_sum
+    FROM reports JOIN documents ON document = event_id // 500 WHERE origin_country IS NOT NULL GROUP BY 1, 2""",
+    "gated_silver": REPORTS
+    + """ SELECT icao24, count(*) AS reports, min(time_position) AS first_seen, max(time_position) AS last_seen
+    FROM (SELECT DISTINCT icao24, time_position FROM reports WHERE delivery = 0) x GROUP BY 1""",
+    "silver_folder": REPORTS
+    + f""", states AS (
+      SELECT icao24, origin_country, latitude, longitude, {EPOCHS}, velocity, vertical_rate, true_track,
+        baro_altitude, on_ground, geo_altitude FROM reports)
+    SELECT * REPLACE (CASE WHEN last_contact % 3 < 2 THEN vertical_rate END AS vertical_rate,
+      CASE WHEN last_contact % 3 < 2 THEN true_track END AS true_track) FROM states""",
+    "score_batch": CLEANED
+    + """ SELECT icao24, origin_country, velocity, baro_altitude, on_ground,
+      '2024-01-31T00:00:00+00:00' AS window_start, true AS probability_in_range,
+      true AS class_follows_probability, true AS anomaly_follows_score, true AS one_in_twenty_is_odd
+    FROM silver""",
+    "onground_report": CLEANED
+    + """ SELECT CASE WHEN on_ground THEN 'on_ground' ELSE 'airborne' END AS class, count(*) AS support,
+      true AS proper_shares
+    FROM silver
+    WHERE CAST(concat('0x', substr(md5(concat_ws('|', '42', coalesce(icao24, ''), coalesce(CAST(time_position AS varchar), ''))), 1, 8)) AS bigint)
+      / 4294967296.0 < 0.2
+    GROUP BY 1""",
+    "feature_importances": """ SELECT feature, true AS proper_share, true AS sum_is_one
+    FROM (VALUES ('velocity'), ('baro_altitude'), ('vertical_rate'), ('true_track'), ('lat_bucket'),
+      ('lon_bucket'), ('country_encoded')) t(feature)""",
+    "forest_scores": REPORTS
+    + f""", paths AS (
+      SELECT event_id, delivery,
+        (CASE WHEN velocity <= 120 THEN 2.0 WHEN baro_altitude <= 6000 THEN 3.0 ELSE 5.0 END
+         + CASE WHEN vertical_rate <= 0 THEN 1.0 ELSE 4.0 END) / 2 AS path,
+        2 * (ln(7.0) + 0.5772156649015329) - 2 * 7.0 / 8.0 AS usual
+      FROM reports WHERE velocity IS NOT NULL AND baro_altitude IS NOT NULL)
+    SELECT event_id, delivery, {r6('0.5 - pow(2.0, -path / usual)', 'anomaly_score')} FROM paths""",
     "impute_features": REPORTS + f" SELECT event_id, delivery, {FILLED} FROM reports",
     "grid_buckets": REPORTS + f" SELECT event_id, delivery, {BUCKETS} FROM reports",
     "country_encoding": REPORTS

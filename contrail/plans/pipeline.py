@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,16 +12,21 @@ from contrail.operators import gold
 from contrail.operators.quality import enforce, quality_gate, quality_report, validate
 from contrail.operators.silver import bronze_view, clean_silver, to_silver, with_event_times
 from contrail.schemas import COUNTRY_TOTALS_KEYS, COUNTRY_TOTALS_UPDATES, PREDICTION_KEYS, PREDICTION_UPDATES
-from contrail.session import SkipBatch
+from contrail.session import SkipBatch, discard, path_exists, settle
 from contrail.sources.files import read_bronze_json
 from contrail.sources.tables import (
     append_bronze,
     append_silver,
+    drop_batch,
+    land_bronze,
     materialize,
     prepare_predictions,
     read_table,
     rename_for_load,
+    rollback,
+    snapshot,
     upsert_table,
+    utc_now,
 )
 
 # Gold models whose rows depend on the reports of their own window only.
@@ -43,6 +48,20 @@ def load_country_totals(
     return upsert_table(batch, root, "gold_flight_agg", COUNTRY_TOTALS_KEYS, COUNTRY_TOTALS_UPDATES, now)
 
 
+def load_window_totals(touched: DataFrame, root: str, now: datetime | None = None) -> int:
+    """Recompute the totals of the windows in `touched` from all stored silver, and upsert them.
+
+    A window may be fed by several batches, or by one batch twice; its totals are
+    always those of the rows that are stored for it.
+    """
+    spark = touched.sparkSession
+    windows = touched.select("window_start").distinct()
+    stored = read_table(spark, root, "silver_flights").join(windows, "window_start", "left_semi")
+    totals = gold.gold_country_totals(stored, ["window_start"])
+    batch = rename_for_load(totals, {"on_ground": "on_ground_sum"})
+    return upsert_table(batch, root, "gold_flight_agg", COUNTRY_TOTALS_KEYS, COUNTRY_TOTALS_UPDATES, now)
+
+
 def load_predictions(predictions: DataFrame, root: str, now: datetime | None = None) -> int:
     """Upsert a batch of predictions; returns rows touched."""
     return upsert_table(
@@ -54,33 +73,70 @@ def process_documents(
     documents: DataFrame,
     root: str,
     batch: str,
-    window_start: datetime,
+    window_start: datetime | None = None,
     now: datetime | None = None,
     min_row_count: int = 1,
 ) -> dict[str, int]:
-    """Take raw documents through bronze, silver, the quality gate and the load.
+    """Take raw documents through bronze, the quality gate, silver and the load.
 
     Each step is keyed by the batch, so running a batch again changes nothing.
-    Documents without states raise `SkipBatch` before anything is written.
+    Documents without states raise `SkipBatch` before anything is written. A
+    batch that breaks a rule raises `QualityError` and stays in bronze only; an
+    earlier run of it in silver is left alone. Rows count for the half hour of
+    their document's own time, or of `now` if it gives none, or for
+    `window_start` if that is given.
     """
     spark = documents.sparkSession
     if to_silver(documents).isEmpty():
         raise SkipBatch(f"batch {batch} has no states")
     bronze_rows = append_bronze(documents, root, batch, now)
     stored = read_table(spark, root, "bronze_flights").where(F.col("ingestion_batch") == batch)
-    silver_rows = append_silver(to_silver(stored), root, batch, now)
-    silver = read_table(spark, root, "silver_flights").where(F.col("ingestion_batch") == batch)
-    enforce(validate(silver))
-    quality_gate(quality_report(silver), min_row_count)
-    gold_rows = load_country_totals(silver, root, window_start, now)
+    if window_start is None:
+        window = F.coalesce("window_start", F.lit(half_hour(now or utc_now())).cast("timestamp_ntz"))
+    else:
+        window = F.lit(window_start).cast("timestamp_ntz")
+    checked = settle(to_silver(stored, window="window_start").withColumn("window_start", window), "checked")
+    enforce(validate(checked))
+    quality_gate(quality_report(checked), min_row_count)
+    silver_rows = append_silver(checked, root, batch, now)
+    gold_rows = load_window_totals(checked, root, now)
+    discard(checked)
     return {"bronze_rows": bronze_rows, "silver_rows": silver_rows, "gold_rows": gold_rows}
 
 
+def half_hour(moment: datetime) -> datetime:
+    return moment - timedelta(
+        minutes=moment.minute % 30, seconds=moment.second, microseconds=moment.microsecond
+    )
+
+
 def run_batch(
-    spark: SparkSession, path: str, root: str, batch: str, window_start: datetime, now: datetime | None = None
+    spark: SparkSession,
+    path: str,
+    root: str,
+    batch: str,
+    window_start: datetime | None = None,
+    now: datetime | None = None,
+    snapshot_as: str | None = None,
 ) -> dict[str, int]:
-    """`process_documents` for the raw files at `path`."""
-    return process_documents(read_bronze_json(spark, path), root, batch, window_start, now)
+    """Land the raw files at `path`, snapshot the totals if asked, and process the documents.
+
+    The snapshot is of `gold_flight_agg` alone: silver keeps batches apart, so
+    `undo_batch` takes the batch out of it.
+    """
+    documents = read_bronze_json(spark, path)
+    if to_silver(documents).isEmpty():
+        raise SkipBatch(f"batch {batch} has no states")
+    land_bronze(documents, root, batch)
+    if snapshot_as and path_exists(spark, f"{root}/gold_flight_agg"):
+        snapshot(spark, root, ["gold_flight_agg"], snapshot_as)
+    return process_documents(documents, root, batch, window_start, now)
+
+
+def undo_batch(spark: SparkSession, root: str, batch: str, snapshot_id: str) -> None:
+    """Put the totals back to a snapshot and take the batch out of silver; its documents stay in bronze."""
+    rollback(spark, root, snapshot_id, ["gold_flight_agg"])
+    drop_batch(spark, root, "silver_flights", batch)
 
 
 def refresh_models(

@@ -11,18 +11,20 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.functions.columns import calendar_features, hour_start
 from contrail.operators import features, gold
 from contrail.operators.classifier import class_weights, classification_report
-from contrail.operators.quality import quality_report, validate
+from contrail.operators.iforest import SIGNALS, IsolationForest
+from contrail.operators.quality import QualityError, quality_report, validate
 from contrail.operators.sampling import sample_n, stratified_split
 from contrail.operators.silver import bronze_view, clean_silver, dedupe_latest, latest_first, to_silver
 from contrail.operators.upsert import upsert
 from contrail.plans import models, serving
-from contrail.plans.pipeline import load_predictions
+from contrail.plans.pipeline import load_predictions, process_documents, refresh_models
 from contrail.schemas import (
     COUNTRY_TOTALS_KEYS,
     COUNTRY_TOTALS_UPDATES,
@@ -34,6 +36,7 @@ from contrail.session import scratch_path, settle
 from contrail.sources import tables
 from contrail.sources.derived import raw_documents, rule_predictions, valid_reports
 from contrail.sources.events import event_reports
+from contrail.sources.files import read_silver_dir, write_layer
 from contrail.streaming.ingest import ingest_stream, stream_documents
 
 NOW = datetime(2024, 1, 31)
@@ -382,6 +385,52 @@ def retained_batches(spark: SparkSession, root: str) -> DataFrame:
     return kept.groupBy("ingestion_batch").agg(F.count(F.lit(1)).alias("rows"))
 
 
+DAY = 86_400
+
+
+@query
+def stream_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Country totals after several micro-batches to a window, the first of which came twice."""
+    home = scratch_path(spark, "stream-totals")
+    documents = raw_documents(valid_reports(event_reports(spark, root)), period=DAY)
+    documents.select("raw_data").write.option("maxRecordsPerFile", 1).text(f"{home}/incoming")
+    stream = stream_documents(spark, f"{home}/incoming", files_per_batch=8)
+    ingest_stream(stream, home, f"{home}/progress", clock=lambda: NOW).awaitTermination()
+    first = tables.read_table(spark, home, "bronze_flights").where("ingestion_batch = 'stream-00000000'")
+    process_documents(first.select("raw_data", "source_file"), home, "stream-00000000", now=NOW)
+    totals = tables.read_table(spark, home, "gold_flight_agg").drop("load_time", "window_date")
+    return rounded(totals, "avg_velocity")
+
+
+@query
+def gated_silver(spark: SparkSession, root: str) -> DataFrame:
+    """Cleaned silver per aircraft after one good batch and one that the gate refused."""
+    home = scratch_path(spark, "gated")
+    first, second = _deliveries(spark, root)
+    process_documents(raw_documents(valid_reports(first)), home, "good", now=NOW)
+    try:
+        process_documents(raw_documents(second), home, "bad", now=NOW)
+    except QualityError:
+        pass
+    cleaned = refresh_models(spark, home, now=NOW)["silver_flights_cleaned"]
+    return cleaned.groupBy("icao24").agg(
+        F.count(F.lit(1)).alias("reports"), F.min("time_position").alias("first_seen"), F.max("time_position").alias("last_seen")
+    )
+
+
+@query
+def silver_folder(spark: SparkSession, root: str) -> DataFrame:
+    """Silver written as CSV with three different headers, read back by column name."""
+    home = scratch_path(spark, "folder")
+    rows = to_silver(raw_documents(event_reports(spark, root))).select(*SILVER.names)
+    layouts = [SILVER.names, SILVER.names[::-1], [c for c in SILVER.names if c not in ("vertical_rate", "true_track")]]
+    for i, names in enumerate(layouts):
+        part = rows.where(F.pmod(F.col("last_contact"), F.lit(3)) == i).select(*names)
+        write_layer(part, f"{home}/flight_silver_{i}.csv")
+    read = read_silver_dir(spark, f"{home}/*", "part-*.csv")
+    return read.select(*SILVER.names)
+
+
 @query
 def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
     """Silver rows after a file stream of raw documents ran through the batch flow."""
@@ -463,15 +512,52 @@ def trained(spark: SparkSession, root: str):
 
 @query
 def score_batch(spark: SparkSession, root: str) -> DataFrame:
+    """Every scored row, and whether its figures agree with each other and with the batch."""
     fitted, _, _ = trained(spark, root)
-    return models.score_batch(silver(spark, root), fitted, window_start="2024-01-31T00:00:00+00:00")
+    scored = models.score_batch(silver(spark, root), fitted, window_start="2024-01-31T00:00:00+00:00")
+    scored = settle(scored, "scored")
+    share = scored.select(F.avg(F.col("is_anomaly").cast("double"))).scalar()
+    p, ground = F.col("onground_probability"), F.col("predicted_on_ground")
+    return scored.select(
+        "icao24",
+        "origin_country",
+        "velocity",
+        "baro_altitude",
+        "on_ground",
+        "window_start",
+        p.between(0, 1).alias("probability_in_range"),
+        F.when(ground, p >= 0.5).otherwise(p <= 0.5).alias("class_follows_probability"),
+        F.when(F.col("is_anomaly"), F.col("anomaly_score") <= 0).otherwise(F.col("anomaly_score") >= 0).alias("anomaly_follows_score"),
+        (F.abs(share - 0.05) < 0.01).alias("one_in_twenty_is_odd"),
+    )
 
 
 @query
 def onground_report(spark: SparkSession, root: str) -> DataFrame:
-    return trained(spark, root)[1]
+    """Rows of the held-out report: their support, and whether the figures are proper shares."""
+    report = trained(spark, root)[1]
+    proper = [F.col(c).between(0, 1) for c in ("precision", "recall", "f1")]
+    return report.select("class", "support", (proper[0] & proper[1] & proper[2]).alias("proper_shares"))
 
 
 @query
 def run_feature_importances(spark: SparkSession, root: str) -> DataFrame:
-    return trained(spark, root)[2]
+    """Each feature, and whether the importances are shares of one."""
+    rows = trained(spark, root)[2]
+    whole = rows.select(F.sum("importance")).scalar()
+    return rows.select("feature", F.col("importance").between(0, 1).alias("proper_share"), (F.abs(whole - 1) < 1e-6).alias("sum_is_one"))
+
+
+@query
+def forest_scores(spark: SparkSession, root: str) -> DataFrame:
+    """Scores of a forest of two hand-made trees, whose paths SQL can follow."""
+    nodes = [
+        (0, 0, 0, 120.0, 1, 2, 0.0), (0, 1, -1, 0.0, 1, 1, 2.0), (0, 2, 1, 6000.0, 3, 4, 0.0),
+        (0, 3, -1, 0.0, 3, 3, 3.0), (0, 4, -1, 0.0, 4, 4, 5.0),
+        (1, 0, 2, 0.0, 1, 2, 0.0), (1, 1, -1, 0.0, 1, 1, 1.0), (1, 2, -1, 0.0, 2, 2, 4.0),
+    ]
+    names = ["tree", "node", "feature", "threshold", "low", "high", "path"]
+    forest = IsolationForest(pd.DataFrame(nodes, columns=names), 8, -0.5)
+    rows = event_reports(spark, root).where("velocity IS NOT NULL AND baro_altitude IS NOT NULL")
+    scored = forest.score(rows.select("event_id", "delivery", *SIGNALS))
+    return rounded(scored.select("event_id", "delivery", "anomaly_score"), "anomaly_score")

@@ -102,7 +102,7 @@ PREDICTIONS = T.StructType(
     ]
 )
 
-# Columns of the loaded predictions table; load_time is stamped on load.
+# Columns of the loaded predictions table; load_time is stamped on load.
 PREDICTION_TABLE = [
     "icao24",
     "origin_country",
@@ -116,7 +116,7 @@ PREDICTION_TABLE = [
     "load_time",
 ]
 
-# Upserts: key columns and the columns a match overwrites.
+# upserts' key columns and the columns a match overwrites.
 COUNTRY_TOTALS_KEYS = ["window_start", "origin_country"]
 COUNTRY_TOTALS_UPDATES = ["total_flights", "avg_velocity", "on_ground_sum", "load_time"]
 PREDICTION_KEYS = ["icao24", "window_start"]

@@ -55,10 +55,31 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_ENDING: set[str] = set()
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder in the shared folder; it goes when the driver's JVM ends."""
+    root = f"{shared_dir(spark)}/contrail/{spark.sparkContext.applicationId}"
+    if root not in _ENDING:
+        fs, path = _hadoop(spark, root)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _ENDING.add(root)
+    return root
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/contrail/{app}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's scratch folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete the application's scratch folder, once no frame that was settled in it is read any more."""
+    root = f"{shared_dir(spark)}/contrail/{spark.sparkContext.applicationId}"
+    fs, path = _hadoop(spark, root)
+    fs.delete(path, True)
+    _ENDING.discard(root)
 
 
 def settle(df: DataFrame, label: str = "part") -> DataFrame:
@@ -71,22 +92,24 @@ def settle(df: DataFrame, label: str = "part") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._scratch = path
+    return stored
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A stored frame over at least as many tasks as there are cores.
+def discard(df: DataFrame) -> None:
+    """Delete the files of a settled frame whose readers are done."""
+    fs, path = _hadoop(df.sparkSession, df._scratch)
+    fs.delete(path, True)
 
-    For costly work on little data; with more data the files already give
-    enough tasks and nothing is moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system that a path names, and the path as that file system takes it."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _hadoop(spark, path)
     return fs.exists(hadoop_path)

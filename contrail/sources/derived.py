@@ -40,10 +40,11 @@ def state_vector(reports: DataFrame) -> Column:
     return F.array(*[s.cast("variant") for s in slots])
 
 
-def raw_documents(reports: DataFrame) -> DataFrame:
+def raw_documents(reports: DataFrame, period: int = 1) -> DataFrame:
     """Reports packed into JSON documents: (raw_data, source_file).
 
-    A document covers a fixed range of event ids, so its size is bounded.
+    A document covers a fixed range of event ids, so its size is bounded. Its
+    time is that of its last report, cut down to a multiple of `period` seconds.
     """
     document = F.floor(F.col("event_id") / EVENTS_PER_DOCUMENT).alias("document")
     return (
@@ -53,7 +54,7 @@ def raw_documents(reports: DataFrame) -> DataFrame:
             state_vector(reports).alias("state"),
         )
         .groupBy("document")
-        .agg(F.max("seen").alias("time"), F.collect_list("state").alias("states"))
+        .agg((F.floor(F.max("seen") / period) * period).alias("time"), F.collect_list("state").alias("states"))
         .select(
             F.to_json(F.struct("time", "states")).alias("raw_data"),
             F.format_string("document-%d.json", "document").alias("source_file"),

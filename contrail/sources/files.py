@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 from contrail.functions.columns import to_boolean
 from contrail.operators.silver import coerce_numeric
 from contrail.schemas import PREDICTIONS, SILVER, SILVER_DOUBLES, SILVER_LONGS
-from contrail.session import path_exists, prepare
+from contrail.session import path_exists, prepare, settle
 
 
 def _require(spark: SparkSession, path: str, what: str) -> None:
@@ -41,24 +43,30 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_silver_dir(spark: SparkSession, path: str, pattern: str = "flight_silver_*.csv") -> DataFrame:
-    """All silver CSVs of a folder in one scan; unreadable files are passed over.
+    """All silver CSVs of a folder, united by column name; unreadable files are passed over.
 
-    Files are in silver column order; trailing columns may be missing and
-    read as NULL.
+    The first line of each file is found by a scan; files with the same header
+    are read together, with the columns it names. Columns that a file lacks are
+    NULL, columns that no file has are absent, unknown ones are left out. Eager
+    as far as the headers go. No readable file raises `ValueError`.
     """
-    _require(prepare(spark), path, "silver folder")
-    text = T.StructType([T.StructField(name, T.StringType()) for name in SILVER.names])
-    files = (
-        spark.read.schema(text)
-        .option("header", True)
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .option("ignoreCorruptFiles", True)
-        .csv(path)
-    )
-    if not files.inputFiles():
-        raise FileNotFoundError(f"no {pattern} in {path}")
-    return _typed_silver(files)
+    if "*" not in path:
+        _require(prepare(spark), path, "silver folder")
+    reader = spark.read.option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True)
+    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
+    lines = reader.text(path).select("value", *place).where("at = 0").withColumn("row", F.monotonically_increasing_id())
+    headers = settle(lines.groupBy("file").agg(F.min_by("value", "row").alias("header")).where("header <> ''"), "headers")
+    united = None
+    for row in headers.select("header").distinct().orderBy("header").collect():  # a few layouts
+        names = next(csv.reader([row.header.lstrip("\ufeff")]))
+        text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        same = headers.where(F.col("header") == row.header).select("file")
+        part = reader.schema(text).option("header", True).csv(path).withColumn("file", F.col("_metadata.file_path"))
+        part = part.join(same, "file", "left_semi").select(*[n for n in names if n in SILVER.names])
+        united = part if united is None else united.unionByName(part, allowMissingColumns=True)
+    if united is None or not united.columns:
+        raise ValueError(f"no readable {pattern} in {path}")
+    return _typed_silver(united.select(*[n for n in SILVER.names if n in united.columns]))
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -17,9 +17,9 @@ from contrail.functions.columns import NTZ, utc_ntz
 from contrail.operators.silver import parse_payload
 from contrail.operators.upsert import require_unique_keys, upsert
 from contrail.schemas import BRONZE, PREDICTION_TABLE, SILVER
-from contrail.session import SkipBatch, path_exists, prepare, settle
+from contrail.session import SkipBatch, discard, path_exists, prepare, settle
 
-# Table -> (time column that dates its partitions, columns rows are sorted by).
+# Table -> (time column that dates its partitions, columns rows are sorted by).
 LAYOUT: dict[str, tuple[str | None, list[str]]] = {
     "silver_flights_cleaned": ("time_position", ["ingestion_time", "origin_country"]),
     "gold_flight_agg": ("window_start", ["window_start", "origin_country"]),
@@ -109,10 +109,10 @@ def append_bronze(documents: DataFrame, root: str, batch: str, now: datetime | N
 
 
 def append_silver(silver: DataFrame, root: str, batch: str, now: datetime | None = None) -> int:
-    """Add a silver batch, keeping the known columns it has; returns its rows."""
+    """Add a silver batch, keeping the known columns and the window it has; returns its rows."""
     spark = silver.sparkSession
     stamped = stamp(silver, now, "ingestion_time", ingestion_batch=batch)
-    known = ["ingestion_time", *SILVER.names, "source_file", "ingestion_batch"]
+    known = ["ingestion_time", *SILVER.names, "window_start", "source_file", "ingestion_batch"]
     write_batches(stamped.select(*[c for c in known if c in stamped.columns]), f"{root}/silver_flights")
     return read_table(spark, root, "silver_flights").where(F.col("ingestion_batch") == batch).count()
 
@@ -135,6 +135,8 @@ def _write_dated(df: DataFrame, path: str, day: str | None, sort: Sequence[str],
     sort = [c for c in sort if c in df.columns]
     if day:
         df = df.hint("rebalance", F.col(day)).sortWithinPartitions(day, *sort)
+    elif sort:
+        df = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
     writer = df.write.mode("overwrite").options(**options)
     (writer.partitionBy(day) if day else writer).parquet(path)
 
@@ -211,6 +213,8 @@ def upsert_table(
     else:
         merged = staged
     _write_dated(merged, f"{root}/{name}", day, sort, partitionOverwriteMode="dynamic")
+    for done in {id(x): x for x in (staged, merged)}.values():
+        discard(done)
     return size.rows
 
 
@@ -257,6 +261,13 @@ def rollback(
         _copy(spark, f"{root}/{name}_snapshot_{ts}", f"{root}/{name}", "overwrite")
 
 
+def drop_batch(spark: SparkSession, root: str, name: str, batch: str) -> None:
+    """Remove one batch from a batch table; a missing table or batch is no error."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/ingestion_batch={batch}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def backup(spark: SparkSession, root: str, name: str = "gold_flight_agg") -> str:
     """Replace the rolling backup copy of a table."""
     _copy(spark, f"{root}/{name}", f"{root}/{name}_backup", "overwrite")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,12 +21,6 @@ def stream_documents(spark: SparkSession, path: str, files_per_batch: int | None
     )
 
 
-def half_hour(moment: datetime) -> datetime:
-    return moment - timedelta(
-        minutes=moment.minute % 30, seconds=moment.second, microseconds=moment.microsecond
-    )
-
-
 def ingest_stream(
     documents: DataFrame,
     root: str,
@@ -40,13 +32,15 @@ def ingest_stream(
 
     Without `every` all files present are processed and the query stops. The
     checkpoint hands each file over once; after a failure the same micro-batch
-    comes again under the same id and replaces its own earlier output.
+    comes again under the same id and replaces its own earlier output. Totals
+    belong to the half hour that the documents name, so neither the time of
+    arrival nor the cut into micro-batches changes them.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         now = clock()
         try:
-            process_documents(batch, root, f"stream-{batch_id:08d}", half_hour(now), now)
+            process_documents(batch, root, f"stream-{batch_id:08d}", now=now)
         except SkipBatch:
             pass
 

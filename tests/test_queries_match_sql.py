@@ -11,8 +11,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import DATA
-
-MODEL_QUERIES = {"score_batch", "onground_report", "feature_importances"}
+from contrail.plans.oracles import ORACLES
+from contrail.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -35,15 +35,15 @@ def as_bag(columns, rows):
     return Counter(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-def test_only_model_queries_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == MODEL_QUERIES
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, sql, name):
-    ours = entry.queries()[name](spark, DATA)
-    theirs = sql.sql(entry.oracle_sql()[name])
+    ours = QUERIES[name](spark, DATA)
+    theirs = sql.sql(ORACLES[name])
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert as_bag(ours.columns, ours.collect()) == as_bag(theirs.columns, theirs.fetchall())
     plan = ours._jdf.queryExecution().executedPlan().toString()

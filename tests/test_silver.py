@@ -19,8 +19,8 @@ from contrail.operators.silver import (
 )
 from contrail.schemas import SILVER
 
-STATE = ["abc123", "UAL123  ", "United States", 1700000000.0, 1700000001.0, -87.6298, 41.8827,
-         10000.0, False, 250.0, 90.0, 0.5, None, 9800.0, "1234", False, 0]
+STATE = ["4b1a2c", "SWR7K   ", "Switzerland", 1704103230.0, 1704103231.0, 8.5492, 47.4647,
+         6400.0, False, 175.5, 312.0, -3.25, None, 6525.0, "2001", False, 0]
 
 
 def documents(spark, *payloads):
@@ -35,18 +35,18 @@ def payload(*states):
 def test_api_layout(spark):
     row = to_silver(documents(spark, payload(STATE))).select(*SILVER.names).first()
     assert row.asDict() == {
-        "icao24": "abc123",
-        "origin_country": "United States",
-        "latitude": 41.8827,
-        "longitude": -87.6298,
-        "time_position": 1700000000,
-        "last_contact": 1700000001,
-        "velocity": 250.0,
-        "vertical_rate": 0.5,
-        "true_track": 90.0,
-        "baro_altitude": 10000.0,
+        "icao24": "4b1a2c",
+        "origin_country": "Switzerland",
+        "latitude": 47.4647,
+        "longitude": 8.5492,
+        "time_position": 1704103230,
+        "last_contact": 1704103231,
+        "velocity": 175.5,
+        "vertical_rate": -3.25,
+        "true_track": 312.0,
+        "baro_altitude": 6400.0,
         "on_ground": False,
-        "geo_altitude": 9800.0,
+        "geo_altitude": 6525.0,
     }
 
 
@@ -57,9 +57,9 @@ def test_types_are_the_declared_ones(spark):
 
 def test_legacy_layout_reads_other_slots(spark):
     row = bronze_view(documents(spark, payload(STATE)), "legacy_sql").first()
-    assert (row.velocity, row.true_track, row.vertical_rate) == (10000.0, 250.0, 90.0)
+    assert (row.velocity, row.true_track, row.vertical_rate) == (6400.0, 175.5, 312.0)
     assert (row.baro_altitude, row.geo_altitude) == (None, 0.0)
-    assert str(row.time_position) == "2023-11-14 22:13:20"
+    assert str(row.time_position) == "2024-01-01 10:00:30"
 
 
 def test_empty_null_and_missing_states_give_no_rows(spark):
@@ -79,8 +79,8 @@ def test_documents_are_parsed_once(spark):
 
 def test_short_and_long_vectors(spark):
     rows = to_silver(documents(spark, payload(STATE[:10], [*STATE, 3]))).orderBy("geo_altitude").collect()
-    assert [r.geo_altitude for r in rows] == [None, 9800.0]
-    assert [r.vertical_rate for r in rows] == [None, 0.5]
+    assert [r.geo_altitude for r in rows] == [None, 6525.0]
+    assert [r.vertical_rate for r in rows] == [None, -3.25]
 
 
 def test_unreadable_values_become_null(spark):
@@ -95,7 +95,7 @@ def test_names_are_trimmed_and_stay_null(spark):
     padded, absent = list(STATE), list(STATE)
     padded[0], padded[2], absent[2] = "  abc  ", " France ", None
     rows = {(r.icao24, r.origin_country) for r in to_silver(documents(spark, payload(padded, absent))).collect()}
-    assert rows == {("abc", "France"), ("abc123", None)}
+    assert rows == {("abc", "France"), ("4b1a2c", None)}
 
 
 def test_bad_document_raises_or_is_skipped(spark):

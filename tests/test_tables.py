@@ -174,7 +174,7 @@ def test_missing_inputs_raise(spark, tmp_path):
     for read in (read_bronze_json, read_silver, read_silver_dir, read_predictions):
         with pytest.raises(FileNotFoundError):
             read(spark, str(tmp_path / "absent"))
-    with pytest.raises(FileNotFoundError, match="flight_silver"):
+    with pytest.raises(ValueError, match="flight_silver"):
         read_silver_dir(spark, str(tmp_path))
     with pytest.raises(ValueError):
         read_silver(spark, "")
