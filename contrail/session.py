@@ -99,8 +99,12 @@ def settle(df: DataFrame, label: str = "part") -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete the files of a settled frame whose readers are done."""
-    fs, path = _hadoop(df.sparkSession, df._scratch)
-    fs.delete(path, True)
+    discard_path(df.sparkSession, df._scratch)
+
+
+def discard_path(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.delete(hadoop_path, True)
 
 
 def _hadoop(spark: SparkSession, path: str):
