@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import base64
 import os
-from collections.abc import Callable
 from functools import cache
 from itertools import chain
 
@@ -85,23 +84,8 @@ class WordTokenizer:
         self.ids = _grown(self.ids, self.used + ids)
         self.first, self.length = _grown(self.first, len(self.index) + words), _grown(self.length, len(self.index) + words)
 
-    def counts(self, texts: list[str]) -> list[int]:
-        """The number of ids of each text."""
-        return [len(x) for x in self._each(texts, lambda at, head: _Counted(len(head) + int(self.length[at].sum())))]
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit numbers."""
-
-        def joined(at: np.ndarray, head: np.ndarray) -> np.ndarray:
-            sizes = self.length[at]
-            ends = np.cumsum(sizes)
-            source = np.repeat(self.first[at] - ends + sizes, sizes) + np.arange(ends[-1])
-            return np.concatenate([head, self.ids[source]])
-
-        return self._each(texts, joined)
-
-    def _each(self, texts: list[str], made: Callable) -> list:
-        """`made` from the words after the first and the first one's ids; or the ids of the whole text."""
         if len(self.index) > self.limit:
             self._empty()
         split = [text.split(" ") for text in texts]
@@ -111,18 +95,15 @@ class WordTokenizer:
             at = np.fromiter(map(find, words), dtype=np.int64, count=len(words))
             if len(words) == 1 or self.length[at].min() < 0 or any(s in text for s in self.special):
                 out.append(self._ids(text))
-            else:
-                out.append(made(at[1:], self._ids(words[0])))
+                continue
+            at = at[1:]
+            sizes = self.length[at]
+            ends = np.cumsum(sizes)
+            source = np.repeat(self.first[at] - ends + sizes, sizes) + np.arange(ends[-1])
+            out.append(np.concatenate([self._ids(words[0]), self.ids[source]]))
         return out
 
 
-class _Counted(int):
-    """A number of ids in the place of the ids."""
-
-    def __len__(self) -> int:
-        return int(self)
-
-
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return array if size <= len(array) else np.concatenate([array, np.empty(max(size, 2 * len(array)) - len(array), dtype=array.dtype)])
 

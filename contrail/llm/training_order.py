@@ -1,8 +1,8 @@
 """Training order on disk: a keyed permutation of all sequences, in shards of fixed stride.
 
-The token stream of each partition is cut into sequences. A first pass counts
-them, so each has a global number; a Feistel network with cycle-walking maps the
-numbers onto themselves. The slot decides the shard, a range of slots, and the
+The token stream of each partition is cut into sequences, which are written once
+and counted, so each has a global number; a Feistel network with cycle-walking
+maps the numbers onto themselves. The slot decides the shard, a range of slots, and the
 place in it: record r of shard k holds slot k * slots_per_shard + r and starts at
 byte r * stride. A reader resumes anywhere, and needs no index.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm.common import fmix, ship, slices, texts
 from contrail.llm.tokens import RANKS, tokenizer, tokenizer_path
-from contrail.session import scratch_path
+from contrail.session import discard_path, scratch_path
 
 SEQUENCE_IDS, SLOTS_PER_SHARD = 1023, 8192
 END_OF_TEXT = 50256
@@ -32,6 +32,7 @@ PADDING = 0xFFFF
 RECORD_END = "\0\0"
 ROUNDS, KEY = 6, 20_240_601
 
+SEQUENCES = "part long, at long, ids binary"
 RECORDS = "slot long, shard long, row long, sequence_id long, n_tokens long, ids_crc32 long"
 
 
@@ -93,28 +94,29 @@ def write_training_order(
     spark, docs = docs.sparkSession, texts(docs)
     words, ranks = tokenizer_path(), tokenizer_path(RANKS)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0
-        for _, bodies in slices(batches, 2_000_000):
-            total += sum(tokenizer(words, ranks).counts(bodies)) + len(bodies)
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([-(-total // size)], pa.int64())], ["part", "n"])
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        for block in _streams(batches, words, ranks, size, end_id):
+            columns = [pa.array([part] * len(block), pa.int64()), pa.array(np.arange(at, at + len(block)), pa.int64())]
+            at += len(block)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([r.tobytes() for r in block], pa.binary())], ["part", "at", "ids"])
 
-    counted = {r.part: r.n for r in docs.mapInArrow(count, "part long, n long").where("n > 0").collect()}  # a row for each partition
+    cut_path = scratch_path(spark, "sequences")
+    docs.mapInArrow(cut, SEQUENCES).write.option("compression", "zstd").parquet(cut_path)
+    sequences = spark.read.schema(SEQUENCES).parquet(cut_path)
     first, n = {}, 0
-    for part in sorted(counted):
-        first[part], n = n, n + counted[part]
+    for row in sequences.groupBy("part").count().orderBy("part").collect():  # a row for each partition
+        first[row["part"]], n = n, n + row["count"]
     if not n:
         return 0
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        at, packer = first.get(part, 0), zstandard.ZstdCompressor(level=3)
-        for block in _streams(batches, words, ranks, size, end_id):
-            slots = permuted(np.arange(at, at + len(block)), n, key) if len(block) else np.zeros(0, np.int64)
-            at += len(block)
-            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array([packer.compress(r.tobytes()) for r in block], pa.binary())], ["slot", "ids"])
-        if at - first.get(part, 0) != counted.get(part, 0):
-            raise RuntimeError(f"partition {part} changed between the passes")
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            start = np.fromiter(map(first.__getitem__, batch.column("part").to_pylist()), dtype=np.int64, count=batch.num_rows)
+            slots = permuted(start + batch.column("at").to_numpy(), n, key)
+            packed = [packer.compress(x) for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(packed, pa.binary())], ["slot", "ids"])
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdDecompressor()
@@ -124,9 +126,10 @@ def write_training_order(
                 yield pa.RecordBatch.from_arrays([pa.array([packer.decompress(x) for x in part], pa.binary())], ["ids"])
 
     shard = F.floor(F.col("slot") / slots_per_shard).cast("int")
-    placed = docs.mapInArrow(cut, "slot long, ids binary").repartitionById(-(-n // slots_per_shard), shard).sortWithinPartitions("slot")
+    placed = sequences.mapInArrow(place, "slot long, ids binary").repartitionById(-(-n // slots_per_shard), shard).sortWithinPartitions("slot")
     records = placed.select("ids").mapInArrow(raw, "ids binary").select(F.col("ids").cast("string").alias("value"))
     records.write.option("lineSep", RECORD_END).option("compression", "none").text(path)
+    discard_path(spark, cut_path)
     return n
 
 
