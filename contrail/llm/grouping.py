@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from contrail.llm.components import components
 from contrail.session import settle
 
-#: Rounds of comparing with a hub end when a round leaves more than this share of the pairs, or at most so many
-#: times the bucket members, or after so many rounds. What is left is compared in pairs, whatever its number.
-PROGRESS, PAIRS_PER_MEMBER, HUB_ROUNDS = 0.8, 1, 10
+#: Rounds of comparing with a hub end when less than this share of a round's comparisons were links (what is left
+#: is mostly apart), or when the pairs left are at most so many times the bucket members, or after so many rounds.
+#: What is left is compared in pairs, whatever its number.
+LINKED_SHARE, PAIRS_PER_MEMBER, HUB_ROUNDS = 0.2, 1, 10
 
 
 def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm: Callable[[DataFrame], DataFrame], hub_rounds: int = HUB_ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -24,20 +25,23 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
     Links between members that others connect may be missing, no connection is.
     """
     docs = sizes.select("doc")
-    labels, links, before = docs.select("doc", F.col("doc").alias("label")), None, None
+    labels, links = docs.select("doc", F.col("doc").alias("label")), None
     for turn in range(hub_rounds + 1):
         named = settle(mixed(members.select("band", "doc").join(labels, "doc")), "named")
         members = named
-        left = pairs_left(named)
-        if turn == hub_rounds or left <= PAIRS_PER_MEMBER * named.count() or (before is not None and left > PROGRESS * before):
+        if turn == hub_rounds or pairs_left(named) <= PAIRS_PER_MEMBER * named.count():
             break
-        before = left
         order = F.struct(F.xxhash64("doc", F.lit(turn)).alias("order"), F.col("doc").alias("hub"), F.col("label").alias("hub_label"))
         hubs = named.groupBy("band").agg(F.min(order).alias("h")).select("band", "h.*")
         chosen = named.join(hubs, "band").where("label <> hub_label").groupBy("doc").agg(F.min(F.struct("order", "hub")).alias("h"))
-        found = settle(confirm(chosen.select(F.col("doc").alias("a"), F.col("h.hub").alias("b"))), "links")
+        tried = settle(chosen.select(F.col("doc").alias("a"), F.col("h.hub").alias("b")), "tried")
+        found = settle(confirm(tried), "links")
+        productive = found.count() >= LINKED_SHARE * tried.count()
         links = found if links is None else settle(links.unionByName(found), "links")
         labels = settle(docs.join(components(links).toDF("doc", "component"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("label")), "labels")
+        if not productive:
+            members = mixed(members.select("band", "doc").join(labels, "doc"))
+            break
     left = settle(members.join(sizes, "doc"), "apart")
     other = left.select("band", *(F.col(c).alias(f"{c}_b") for c in left.columns if c != "band"))
     pairs = left.join(other, "band").where(f"doc < doc_b and label <> label_b and {compatible}")
