@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail.operators.features import FEATURES
@@ -91,6 +91,25 @@ def classification_report(
     )
 
 
+def report_averages(report: DataFrame) -> DataFrame:
+    """Accuracy, plain and support-weighted means of a classification report, in its columns."""
+    weight = F.col("support") / F.sum("support").over(Window.partitionBy())  # two classes
+    weighted = report.select("*", weight.alias("weight"))
+    figures = ("precision", "recall", "f1")
+    means = weighted.agg(
+        F.sum(F.col("recall") * F.col("weight")).alias("accuracy"),
+        *[F.avg(c).alias(f"macro_{c}") for c in figures],
+        *[F.sum(F.col(c) * F.col("weight")).alias(f"weighted_{c}") for c in figures],
+        F.sum("support").alias("support"),
+    )
+    rows = [("accuracy", ["accuracy"] * 3), *((f"{k} avg", [f"{k}_{c}" for c in figures]) for k in ("macro", "weighted"))]
+    structs = [
+        F.struct(F.lit(name).alias("class"), *[F.col(c).alias(f) for c, f in zip(columns, figures, strict=True)], "support")
+        for name, columns in rows
+    ]
+    return means.select(F.inline(F.array(*structs)))
+
+
 def feature_importances(spark: SparkSession, model: RandomForestClassificationModel) -> DataFrame:
     """Importance of each feature, highest first."""
     rows = [(name, float(v)) for name, v in zip(FEATURES, model.featureImportances.toArray())]

@@ -16,13 +16,17 @@ from contrail.operators.classifier import (
     classification_report,
     feature_importances,
     predict_onground,
+    report_averages,
     train_onground,
 )
 from contrail.operators.features import engineer_features
 from contrail.operators.iforest import IsolationForest, train_iforest
-from contrail.session import path_exists, settle
+from contrail.operators.silver import dedupe_latest
+from contrail.plans.pipeline import load_predictions
+from contrail.schemas import PREDICTION_KEYS
+from contrail.session import discard, path_exists, settle
 from contrail.sources.files import read_silver_dir, write_layer
-from contrail.sources.tables import utc_now
+from contrail.sources.tables import read_table, utc_now
 
 log = logging.getLogger(__name__)
 
@@ -129,7 +133,7 @@ def load_or_train(
         return load_models(spark, model_dir)
     matrix, encoder = build_feature_store(spark, silver_dir)
     models, report, importances = train(matrix, encoder, trees)
-    for row in [*report.collect(), *importances.collect()]:  # two classes, seven features
+    for row in [*report.collect(), *report_averages(report).collect(), *importances.collect()]:  # a few rows each
         log.info("%s", row.asDict())
     save_models(models, model_dir, now)
     return models
@@ -162,3 +166,32 @@ def score_batch(
     if predictions_dir:
         write_layer(scored, f"{predictions_dir}/ml_{batch}")
     return scored
+
+
+def run_ml_batch(
+    spark: SparkSession,
+    root: str,
+    batch: str,
+    silver_dir: str,
+    model_dir: str,
+    window_start: str,
+    now: datetime | None = None,
+    trees: int = TREES,
+) -> dict[str, int]:
+    """Score one silver batch with fresh models and load its predictions; returns and logs the totals.
+
+    Predictions are keyed by aircraft and window, so running a batch again changes nothing.
+    """
+    silver = read_table(spark, root, "silver_flights").where(F.col("ingestion_batch") == batch)
+    fitted = load_or_train(spark, silver_dir, model_dir, now=now, trees=trees)
+    scored = settle(score_batch(silver, fitted, window_start=window_start), "scored")
+    totals = scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("predicted_on_ground").alias("on_ground"),
+        F.count_if("is_anomaly").alias("anomalies"),
+    ).first()
+    latest = dedupe_latest(scored, PREDICTION_KEYS, [F.desc("anomaly_score"), F.desc("onground_probability")])
+    figures = totals.asDict() | {"loaded": load_predictions(latest, root, now)}
+    discard(scored)
+    log.info("batch %s: %s", batch, figures)
+    return figures

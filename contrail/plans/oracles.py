@@ -530,3 +530,17 @@ ORACLES: dict[str, str] = {
       of_class AS support
     FROM classes""",
 }
+
+ORACLES["report_averages"] = f"""WITH report AS ({ORACLES["classification_report"]}),
+means AS (
+  SELECT sum(recall * support) / sum(support) AS accuracy, avg(precision) AS mp, avg(recall) AS mr, avg(f1) AS mf,
+    sum(precision * support) / sum(support) AS wp, sum(recall * support) / sum(support) AS wr,
+    sum(f1 * support) / sum(support) AS wf, CAST(sum(support) AS bigint) AS support
+  FROM report
+),
+named AS (
+  SELECT 'accuracy' AS class, accuracy AS p, accuracy AS r, accuracy AS f, support FROM means
+  UNION ALL SELECT 'macro avg', mp, mr, mf, support FROM means
+  UNION ALL SELECT 'weighted avg', wp, wr, wf, support FROM means
+)
+SELECT class, {r6('p', 'precision')}, {r6('r', 'recall')}, {r6('f', 'f1')}, support FROM named"""

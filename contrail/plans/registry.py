@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.columns import calendar_features, hour_start
 from contrail.operators import features, gold
-from contrail.operators.classifier import class_weights, classification_report
+from contrail.operators.classifier import class_weights, classification_report, report_averages
 from contrail.operators.iforest import SIGNALS, IsolationForest
 from contrail.operators.quality import QualityError, quality_report, validate
 from contrail.operators.sampling import sample_n, stratified_split
@@ -498,6 +498,13 @@ def run_classification_report(spark: SparkSession, root: str) -> DataFrame:
     return rounded(report, "precision", "recall", "f1")
 
 
+@query
+def run_report_averages(spark: SparkSession, root: str) -> DataFrame:
+    """Accuracy and averages of the report on the rule predictions."""
+    averages = report_averages(run_classification_report(spark, root))
+    return rounded(averages, "precision", "recall", "f1")
+
+
 @lru_cache(maxsize=2)
 def _trained(app: str, root: str):
     spark = SparkSession.active()

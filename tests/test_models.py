@@ -15,7 +15,7 @@ from contrail.plans import models
 from contrail.plans.pipeline import load_predictions
 from contrail.session import settle
 from contrail.sources.files import write_layer
-from contrail.sources.tables import read_table
+from contrail.sources.tables import append_silver, read_table
 
 
 def random_silver(spark, n=400, seed=42):
@@ -240,3 +240,15 @@ def _flat(folder, tmp_path):
     for i, part in enumerate(sorted(Path(folder).glob("*/part-*.csv"))):
         (target / f"flight_silver_{i}.csv").write_text(part.read_text())
     return str(target)
+
+
+def test_ml_batch_can_run_again(spark, silver, tmp_path):
+    root, silver_dir = str(tmp_path / "wh"), str(tmp_path / "silver")
+    whole = silver.withColumn("last_contact", F.col("time_position"))
+    write_layer(whole.coalesce(1), f"{silver_dir}/part")
+    append_silver(whole, root, "b1")
+    flat = _flat(silver_dir, tmp_path)
+    run = lambda: models.run_ml_batch(spark, root, "b1", flat, str(tmp_path / "models"), "2024-01-01T10:00:00+00:00", trees=5)
+    first = run()
+    assert first["rows"] == silver.count() == first["loaded"] and run() == first
+    assert read_table(spark, root, "gold_ml_predictions").count() == first["loaded"]
