@@ -141,13 +141,9 @@ def kpi_snapshot(
     flagged = anomalies_by_country(anomalies).agg(F.sum("anomaly_count").alias("speed_anomalies"))
     tiles = [countries, kpi_velocity(velocity_trend(aggregations)), flagged]
     one = countries.sparkSession.range(1)
-    return one.select(
-        *[
-            tile.select(column).scalar().alias(column)
-            for tile in tiles
-            for column in tile.columns
-        ]
-    )
+    # one subquery per tile, not per figure
+    found = one.select(*[tile.select(F.struct(*tile.columns)).scalar().alias(f"_{i}") for i, tile in enumerate(tiles)])
+    return found.select(*[F.col(f"_{i}.{column}") for i, tile in enumerate(tiles) for column in tile.columns])
 
 
 def ml_predictions_latest(predictions: DataFrame) -> DataFrame:
