@@ -33,12 +33,15 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
             break
         order = F.struct(F.xxhash64("doc", F.lit(turn)).alias("order"), F.col("doc").alias("hub"), F.col("label").alias("hub_label"))
         hubs = named.groupBy("band").agg(F.min(order).alias("h")).select("band", "h.*")
-        chosen = named.join(hubs, "band").where("label <> hub_label").groupBy("doc").agg(F.min(F.struct("order", "hub")).alias("h"))
-        tried = settle(chosen.select(F.col("doc").alias("a"), F.col("h.hub").alias("b")), "tried")
-        found = settle(confirm(tried), "links")
+        chosen = named.join(hubs, "band").where("label <> hub_label").groupBy("doc", "label").agg(F.min(F.struct("order", "hub", "hub_label")).alias("h"))
+        tried = settle(chosen.select(F.col("doc").alias("a"), F.col("h.hub").alias("b"), "label", F.col("h.hub_label").alias("hub_label")), "tried")
+        found = settle(confirm(tried.select("a", "b")), "links")
         productive = found.count() >= LINKED_SHARE * tried.count()
         links = found if links is None else settle(links.unionByName(found), "links")
-        labels = settle(docs.join(components(links).toDF("doc", "component"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("label")), "labels")
+        # a label goes over to the smallest one that a link of this round joins it to
+        ends = found.join(tried, ["a", "b"]).select(F.greatest("label", "hub_label").alias("label"), F.least("label", "hub_label").alias("low"))
+        labels = labels.join(ends.groupBy("label").agg(F.min("low").alias("low")), "label", "left")
+        labels = settle(labels.select("doc", F.coalesce("low", "label").alias("label")), "labels")
         if not productive:
             members = mixed(members.select("band", "doc").join(labels, "doc"))
             break
