@@ -305,11 +305,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, group: int = GRO
 
 
 def _often(passages: DataFrame, window: int) -> DataFrame:
-    """Spans of repeated windows, each compared with the first of its kind."""
-    ws = F.split(F.col("passage").cast("string"), " ")
-    each = F.transform(F.sequence(F.lit(0), F.size(ws) - window), lambda i: F.struct((F.col("start") + i).alias("start"), F.array_join(F.slice("ws", i + 1, F.lit(window)), " ").alias("window")))
-    rows = passages.withColumn("ws", ws).select("doc_id", "row_hash", F.explode(each).alias("w")).select("doc_id", "row_hash", "w.*")
+    """Spans of repeated windows, by grouping: a whole passage seen before, or else each window with the first of its kind."""
     place = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "row_hash", "start")
-    first = rows.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first")
-    later = rows.withColumn("place", place).join(first, "window").where("place > first")
-    return later.select("doc_id", "row_hash", "start", (F.col("start") + window).alias("end"))
+    rows = passages.withColumn("place", place)
+    distinct = rows.groupBy("passage").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    ws = F.split(F.col("passage").cast("string"), " ")
+    copies = rows.join(distinct.where("n > 1").drop("n"), "passage").where("place > first").withColumn("end", F.col("start") + F.size(ws))
+    windows = F.transform(
+        F.sequence(F.lit(0), F.size("ws") - window),
+        lambda i: F.struct((F.col("start") + i).alias("start"), F.array_join(F.slice("ws", i + 1, F.lit(window)), " ").alias("window")),
+    )
+    once = distinct.select("first.*", ws.alias("ws")).select("doc_id", "row_hash", F.explode(windows).alias("w")).select("doc_id", "row_hash", "w.*")
+    first = once.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first")
+    later = once.withColumn("place", place).join(first, "window").where("place > first").withColumn("end", F.col("start") + window)
+    return copies.select("doc_id", "row_hash", "start", "end").unionByName(later.select("doc_id", "row_hash", "start", "end"))
