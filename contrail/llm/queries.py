@@ -22,7 +22,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_duplicates(table(spark, sf_dir, "documents"))
+    return line_duplicates(table(spark, sf_dir, "documents"), short=True)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

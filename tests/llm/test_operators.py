@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from contrail.llm import chunk_dedup, decontaminate, grouping, line_dedup, minhash, packing, pii, substring, token_scan, toxicity, training_order
 from contrail.llm.components import components
 from contrail.llm.tokens import WordTokenizer, tokenizer_path
@@ -158,6 +159,19 @@ def test_line_classes(docs, edits):
         assert cleaned[i]["text"] == "\n".join(kept) and cleaned[i]["file"] == "f"
 
 
+def test_short_lines_are_exact_repeats(docs, spark):
+    texts = [(1, "Les.\n\nA line that is long enough to probe.\nYes"), (2, "No.\n \nYes"), (3, "Les.\n\nA line that is long enough to probe.\nYes"), (4, "Les!\nNo.\nNo."), (5, None), (6, "\n")]
+    lines = [(i, n, line) for i, t in texts for n, line in enumerate((t or "").split("\n")) if line.strip()]
+    groups = {}
+    for i, n, line in lines:
+        groups.setdefault(line, []).append((i, n))
+    expected = {p: (len(g), min(g)[0], p == min(g)) for g in groups.values() if len(g) > 1 for p in g}
+    got = {(x.doc_id, x.line_no): (x.class_size, x.first_doc_id, x.kept) for x in line_dedup.line_duplicates(docs(*texts), short=True).collect()}
+    assert got == expected
+    left = rows(corpus_pipeline.drop_repeated_lines(spark, docs(*texts), ""))
+    assert {i: x["text"] for i, x in left.items()} == {1: texts[0][1], 2: "No.\n ", 4: "Les!", 5: None, 6: "\n"}
+
+
 # equal and near documents
 
 
