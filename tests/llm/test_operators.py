@@ -172,6 +172,39 @@ def test_short_lines_are_exact_repeats(docs, spark):
     assert {i: x["text"] for i, x in left.items()} == {1: texts[0][1], 2: "No.\n ", 4: "Les!", 5: None, 6: "\n"}
 
 
+def test_near_lines_by_their_length(docs):
+    r = random.Random(14)
+    words = "of thou wolde haouble esing erly table stone 1234 lake".split() + [f"w{i}" for i in range(60)]
+    lines = []
+    for n in (3, 5, 6, 8, 12, 19, 20, 25, 33, 60):
+        base = [r.choice(words) for _ in range(n)]
+        for k in range(n // 10 + 3):
+            copy = list(base)
+            for i in r.sample(range(n), min(k, n)):
+                copy[i] = r.choice(["", "replacement", copy[i] + "x", copy[i] + " y"])
+            lines.append(" ".join(copy))
+    lines += ["the number is 12 of these ones", "the number is 47 of these ones", "nothing like the other lines at all", "fifteen chars a", "fifteen chars ab"]
+    texts = list(enumerate(lines))
+
+    def linked(x, y):
+        n, k = min(len(x), len(y)), min(len(x.split()), len(y.split()))
+        chars = 3 if n >= 30 else 2 if n >= 20 else 1 if n >= 16 else 0
+        ws = k // 10 if k >= 20 else 1 if k >= 6 else -1
+        near = abs(len(x.split()) - len(y.split())) <= ws and line_dedup._distance(x.split(), y.split()) <= ws
+        return near or abs(len(x) - len(y)) <= chars and line_dedup._distance(x, y) <= chars
+
+    pairs = list(itertools.combinations(range(len(lines)), 2))
+    expected = [linked(lines[a], lines[b]) for a, b in pairs]
+    assert line_dedup.alike([lines[a] for a, _ in pairs], [lines[b] for _, b in pairs], None).tolist() == expected
+    group = list(range(len(lines)))
+    for (a, b), link in zip(pairs, expected, strict=True):
+        if link:
+            group = [group[a] if g == group[b] else g for g in group]
+    want = {i: (group.count(g), group.index(g)) for i, g in enumerate(group) if group.count(g) > 1}
+    got = {x.doc_id: (x.class_size, x.first_doc_id) for x in line_dedup.line_duplicates(docs(*texts), short=True).collect()}
+    assert got == want and len(lines) - 5 in got
+
+
 # equal and near documents
 
 
