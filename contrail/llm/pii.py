@@ -1,11 +1,13 @@
 """Personal data: base patterns, and terms that reveal them by corpus co-occurrence. SQL functions alone.
 
 A protected entity is the value of a base span (an address, a number). For each
-entity the terms near its occurrences are counted over the whole corpus. The
+entity the terms of the documents that hold it are counted over the whole corpus. The
 information that a term gives about an entity, PMI = ln(N df(t,e) / (df(t) df(e))),
 as a share of all information about it, IC = ln(N / df(e)), is its disclosure:
 1 if the term never occurs without the entity. Terms over a threshold are
-generalised, over a higher one removed, wherever they stand near that entity.
+generalised, over a higher one removed, wherever they stand in a document with
+that entity. An entity of a single document gets none: each word that no other
+document holds would tell of it as much as its owner's name does.
 """
 
 from __future__ import annotations
@@ -20,9 +22,7 @@ from contrail.session import settle
 
 #: The base kinds in their order, with the words that replace them.
 KINDS = ["email", "ip", "card", "phone", "generalised", "removed"]
-#: Characters of text on either side of an entity where terms count as near.
-CONTEXT_CHARS = 80
-#: Documents that must hold a term near an entity before it counts as evidence.
+#: Documents that must hold a term and an entity before it counts as evidence.
 MIN_SUPPORT = 2
 GENERALISE_FROM, REMOVE_FROM = 0.8, 0.95
 WORD = r"[\p{L}\p{N}\p{M}_]+"
@@ -95,9 +95,14 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(kind + ":"), F.lower(value) if kind in ("email", "ip") else _digits(value))
 
 
-def _terms(window: Column, offset: Column) -> Column:
-    """Words of a short window as `term`, `start`, `end`."""
-    hits, gaps = F.regexp_extract_all(window, F.lit(WORD), F.lit(0)), F.split(window, WORD, -1)
+def _words(text: Column) -> Column:
+    """Distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
+
+
+def _terms(text: Column) -> Column:
+    """Words of a text as `term`, `start`, `end`."""
+    hits, gaps = F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD, -1)
 
     def places(h: Column, g: Column) -> Column:
         before = totals_before(F.transform(h, lambda x, i: F.length(x) + F.length(F.get(g, i))))
@@ -107,8 +112,8 @@ def _terms(window: Column, offset: Column) -> Column:
                 h,
                 lambda x, i: F.struct(
                     F.lower(x).alias("term"),
-                    (offset + F.get(b, i) + F.length(F.get(g, i))).alias("start"),
-                    (offset + F.get(b, i) + F.length(F.get(g, i)) + F.length(x)).alias("end"),
+                    (F.get(b, i) + F.length(F.get(g, i))).alias("start"),
+                    (F.get(b, i) + F.length(F.get(g, i)) + F.length(x)).alias("end"),
                 ),
             ),
         )
@@ -116,11 +121,11 @@ def _terms(window: Column, offset: Column) -> Column:
     return let(hits, lambda h: let(gaps, lambda g: places(h, g)))
 
 
-def base_spans(docs: DataFrame, context_chars: int = CONTEXT_CHARS) -> DataFrame:
-    """Spans of the base kinds and the terms near them, one row per row of `doc_id`, `text`.
+def base_spans(docs: DataFrame) -> DataFrame:
+    """Spans of the base kinds, one row per row of `doc_id`, `text`.
 
-    `base`: array of kind (place in KINDS), start, end, entity. `near`: array of
-    entity, term, start, end.
+    `base`: array of kind (place in KINDS), start, end. `entities`: the distinct ones.
+    `row`: a name of the id and the text. `text`: NULL if there is no entity.
     """
     guards = {
         "email": (EMAIL, F.col("text").contains("@")),
@@ -142,39 +147,33 @@ def base_spans(docs: DataFrame, context_chars: int = CONTEXT_CHARS) -> DataFrame
 
         def span(x: Column, i: Column) -> Column:
             start = F.get(before, i) + F.length(F.get(gaps, i))
-            left, right = F.get(gaps, i), F.get(gaps, i + 1)
             return F.struct(
                 F.lit(number).alias("kind"),
                 start.alias("start"),
                 (start + F.length(x)).alias("end"),
                 _entity(kind, x).alias("entity"),
-                # a word that the window cuts is left out
-                F.when(F.length(left) > context_chars, F.regexp_replace(F.right(left, F.lit(context_chars)), r"^\S+", "")).otherwise(left).alias("left"),
-                F.when(F.length(right) > context_chars, F.regexp_replace(F.left(right, F.lit(context_chars)), r"\S+$", "")).otherwise(right).alias("right"),
                 _valid(kind, x).alias("valid"),
             )
 
         out = out.withColumn(f"{kind}_spans", F.filter(F.transform(F.col(f"{kind}_hits"), span), lambda s: s["valid"]))
     out = out.withColumn("found", F.concat(*(F.col(f"{kind}_spans") for kind in guards)))
-
-    def terms(s: Column) -> Column:
-        both = F.concat(_terms(s["left"], s["start"] - F.length(s["left"])), _terms(s["right"], s["end"]))
-        return F.transform(both, lambda t: F.struct(s["entity"].alias("entity"), t["term"].alias("term"), t["start"].alias("start"), t["end"].alias("end")))
-
     return out.select(
         "doc_id",
         "row_hash",
+        F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "row_hash").alias("row"),
         F.transform("found", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("base"),
-        F.flatten(F.transform("found", terms)).alias("near"),
+        F.array_distinct(F.transform("found", lambda s: s["entity"])).alias("entities"),
+        F.when(F.size("found") > 0, F.col("text")).alias("text"),
     )
 
 
-def disclosing_terms(docs: DataFrame, near: DataFrame, min_support: int, generalise_from: float, remove_from: float) -> DataFrame:
-    """`entity`, `term`, `kind` (generalised or removed) from `near`: distinct doc_id, row_hash, entity, term."""
+def disclosing_terms(docs: DataFrame, held: DataFrame, entity: DataFrame, min_support: int, generalise_from: float, remove_from: float) -> DataFrame:
+    """`entity`, `term`, `kind` (generalised or removed) from `held`: one row for each entity and distinct term of a
+    document; and `entity`: `entity`, `with_entity`.
+    """
     rows = docs.count()
-    pair = near.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min_support)
-    entity = near.select("doc_id", "row_hash", "entity").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    pair = held.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min_support)
+    words = docs.select(F.explode(_words(F.col("text"))).alias("term"))
     term = words.groupBy("term").agg(F.count("*").alias("with_term"))
     n = F.lit(float(rows))
     pmi = F.log(n * F.col("both") / (F.col("with_term") * F.col("with_entity")))
@@ -190,7 +189,6 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, min_support: int, general
 
 def personal_spans(
     docs: DataFrame,
-    context_chars: int = CONTEXT_CHARS,
     min_support: int = MIN_SUPPORT,
     generalise_from: float = GENERALISE_FROM,
     remove_from: float = REMOVE_FROM,
@@ -200,25 +198,31 @@ def personal_spans(
     Columns: `doc_id`, `n_email`, `n_ip`, `n_card`, `n_phone`, `base_sha256`,
     `spans`, `span_list` (kind, start, end; kind is a place in KINDS). Spans count
     code points, the end exclusive. Added spans never touch a base span; a term
-    near several entities gets its strongest kind. NULL and empty texts have no
+    that tells of several entities of its document gets its strongest kind. Entities
+    of fewer than `min_support` documents get none. NULL and empty texts have no
     spans. Repeated rows count as documents of their own and get the same spans.
     An empty table gives no rows.
     """
     docs = texts(docs)
-    found = settle(base_spans(docs, context_chars), "personal")
-    near = found.select("doc_id", "row_hash", "base", F.explode("near").alias("t")).select("doc_id", "row_hash", "base", "t.*")
-    counted = near.select("doc_id", "row_hash", "entity", "term").distinct()
-    telling = disclosing_terms(docs, counted, min_support, generalise_from, remove_from)
+    found = settle(base_spans(docs), "personal")
+    named = found.select("row", F.explode("entities").alias("entity"))
+    entity = settle(named.groupBy("entity").agg(F.count("*").alias("with_entity")).where(F.col("with_entity") >= min_support), "entities")
+    shared = named.distinct().join(entity, "entity").groupBy("row").agg(F.collect_set("entity").alias("shared"))
+    holders = settle(found.select("row", "text").join(shared, "row"), "holders")
+    held = holders.select("row", F.explode("shared").alias("entity"), _words(F.col("text")).alias("words")).select("row", "entity", F.explode("words").alias("term"))
+    telling = settle(disclosing_terms(docs, held, entity, min_support, generalise_from, remove_from), "telling")
+    marks = held.join(telling, ["entity", "term"]).groupBy("row", "term").agg(F.max("kind").alias("kind"))
     added = (
-        near.join(telling, ["entity", "term"])
-        .where(~F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start"))))
-        .groupBy("doc_id", "row_hash", "start", "end")
+        holders.select("row", F.explode(_terms(F.col("text"))).alias("t"))
+        .select("row", "t.*")
+        .join(marks, ["row", "term"])
+        .groupBy("row", "start", "end")
         .agg(F.max("kind").alias("kind"))
-        .groupBy("doc_id", "row_hash")
-        .agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
-        .select(F.col("doc_id").alias("a_id"), F.col("row_hash").alias("a_hash"), "added")
+        .groupBy(F.col("row").alias("a_row"))
+        .agg(F.collect_list(F.struct("kind", "start", "end")).alias("near"))
     )
-    joined = found.join(added, found.doc_id.eqNullSafe(F.col("a_id")) & (found.row_hash == F.col("a_hash")), "left")
+    clear = F.filter("near", lambda a: ~F.exists("base", lambda b: (b["start"] < a["end"]) & (b["end"] > a["start"])))
+    joined = found.join(added, F.col("row") == F.col("a_row"), "left").withColumn("added", clear)
     every = F.concat("base", F.coalesce("added", F.array().cast("array<struct<kind:int,start:int,end:int>>")))
     return joined.select(
         "doc_id",

@@ -372,6 +372,35 @@ def test_terms_that_only_stand_by_an_entity_go(docs):
     assert clean[0]["text"] == "Call  about the ship, mail [email], the ship waits 0" and clean[12]["text"] == far[2][1]
 
 
+def test_terms_count_over_whole_documents(docs):
+    """Far from the entity, in a document once more, and counted with documents that hold the term alone."""
+    fill = "the ship waits about the mail call " * 20
+    near = [(i, f"Zaphod {fill} z@galaxy.org {fill} zaphod Trillian {i} x{i}@one.org") for i in range(3)]
+    texts = [*near, near[2], (5, f"Trillian {fill}"), (6, f"z@galaxy.org {fill}"), (None, near[0][1]), *((10 + i, f"{fill} {i}") for i in range(40))]
+    cut = lambda t: set(re.findall(r"\w+", t.lower()))
+    n, entities = len(texts), {}
+    for row, (_, t) in enumerate(texts):
+        for e in set(re.findall(r"[\w.]+@[\w.]+", t)):
+            entities.setdefault(e, set()).add(row)
+    got = {}
+    for x in pii.personal_spans(docs(*texts)).collect():
+        got.setdefault(x.doc_id, []).append(x.spans)
+    for row, (i, t) in enumerate(texts):
+        base = [m.span() for m in re.finditer(r"[\w.]+@[\w.]+", t)]
+        spans = [(a, "email", b) for a, b in base]
+        for m in re.finditer(r"\w+", t):
+            term, kinds = m.group().lower(), []
+            with_term = sum(term in cut(o) for _, o in texts)
+            for e, at in entities.items():
+                both = sum(term in cut(texts[o][1]) for o in at)
+                if row in at and both >= 2:
+                    kinds.append(np.log(n * both / (with_term * len(at))) / np.log(n / len(at)))
+            if max(kinds, default=0) >= 0.8 and not any(a < m.end() and b > m.start() for a, b in base):
+                spans.append((m.start(), "removed" if max(kinds) >= 0.95 - 1e-12 else "generalised", m.end()))
+        assert got[i] == [",".join(f"{k}:{a}:{b}" for a, k, b in sorted(spans))] * sum(i == o for o, _ in texts), i
+    assert got[0][0].startswith("removed:0:6,") and got[0][0].count("removed") >= 2 and got[5] == [""]
+
+
 # token files
 
 
