@@ -12,7 +12,7 @@ from contrail.llm.minhash import near_duplicates
 from contrail.llm.packing import pack
 from contrail.llm.pii import personal_spans
 from contrail.llm.substring import remove_repeats
-from contrail.llm.token_scan import document_tokens, token_stream
+from contrail.llm.token_scan import token_file_scan
 from contrail.llm.toxicity import toxicity
 from contrail.llm.training_order import training_order
 
@@ -46,7 +46,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_tokens(token_stream(table(spark, sf_dir, "documents")))
+    return token_file_scan(table(spark, sf_dir, "documents"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

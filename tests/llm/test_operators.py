@@ -418,6 +418,23 @@ def test_separators_are_stitched_over_blocks(spark, tmp_path):
     assert [(x.start, x.n_tokens, x.ended) for x in found] == expected and [x.ordinal for x in found] == list(range(61))
 
 
+def test_a_file_is_read_by_many_tasks_and_the_query_reads_files(spark, docs, tmp_path):
+    ids = np.random.default_rng(15).integers(0, 9, size=1001).astype("<u2")
+    (tmp_path / "a b.bin").write_bytes(ids.tobytes() + b"x")
+    blocks = token_scan.read_token_files(spark, str(tmp_path), block_ids=10, range_blocks=3)
+    got = blocks.withColumn("task", F.spark_partition_id()).orderBy("block").collect()
+    assert b"".join(x.ids for x in got) == ids.tobytes() and [x.block for x in got] == list(range(101))
+    assert len({x.task for x in got}) == 34 and len({(x.task, x.block // 3) for x in got}) == 34
+    source = str(tmp_path / "docs")
+    texts = [(i, "lake stone " * (i % 50)) for i in range(200)] + [(900, None), (901, "<|endoftext|> in text"), (None, "lake")]
+    docs(*texts).repartition(3).write.parquet(source)
+    found = rows(token_scan.token_file_scan(spark.read.parquet(source)))
+    tokenizer = WordTokenizer(tokenizer_path()).tokenizer
+    tokenizer.encode_special_tokens = True
+    assert {i: g["n_tokens"] for i, g in found.items()} == {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in texts}
+    assert all(g["ended"] and g["file"].startswith("file:") for g in found.values())
+
+
 def test_streams_count_every_document(docs):
     texts = [(i, "lake stone " * (i % 50)) for i in range(200)] + [(900, None), (901, "<|endoftext|> in text")]
     stream = token_scan.token_stream(docs(*texts).repartition(3), block_ids=64)
