@@ -205,6 +205,15 @@ def test_near_lines_by_their_length(docs):
     assert got == want and len(lines) - 5 in got
 
 
+def test_a_document_goes_only_if_one_earlier_one_holds_it(docs, spark):
+    a, b, c = "First line of some length, alone.", "Second thing, which is quite other.", "Third of them: nothing like those."
+    texts = [(1, f"{a}\nx"), (2, f"{b}\n{c}"), (3, f"{a}\n\n{b}"), (4, f"{b}\n{a}"), (5, c), (6, "x"), (7, f"x\n{c}"), (8, "\n"), (9, None), (None, a)]
+    left = {x.doc_id: x.text for x in corpus_pipeline.drop_repeated_lines(spark, docs(*texts), "").collect()}
+    sets = {i: {x for x in (t or "").split("\n") if x} for i, t in texts if i}
+    kept = [i for i, s in sets.items() if not s or not any(j < i and s <= sets[j] for j in sets)]
+    assert left == {i: t for i, t in texts if i in (None, *kept)} and kept == [1, 2, 3, 7, 8, 9]
+
+
 # equal and near documents
 
 
