@@ -563,3 +563,77 @@ def test_held_out_texts_are_told_apart(docs, spark):
     assert got.loc[got["doc_id"] >= 900, "score"].tolist() == [0.0, 0.0] and got["score"].between(0, 1).all()
 
 
+# the pipeline
+
+
+def test_every_stage_of_the_pipeline_against_brute_force(docs, spark, tmp_path, monkeypatch):
+    r = random.Random(16)
+    word = lambda: f"{r.choice('bdfgkl')}{r.choice('aeiou')}{r.choice('mnrst')}{r.choice('aeiou')}{r.choice('bdklp')}"
+    plain = lambda n: " ".join(word() for _ in range(n))
+    items = [(1, plain(14)), (2, "Short item"), (3, None)]
+    texts, labels = [], []
+    for i in range(240):
+        t = plain(r.randint(20, 60)) + "\nYes.\n\n" + plain(r.randint(20, 60))
+        if i % 4 == 0:
+            t += " " + r.choice(["vixqu", "vixquon", "zazvix"])
+        texts.append((i, t))
+        labels.append((i, int(i % 4 == 0)))
+    clean = [t for i, t in texts if i % 4]
+    long = plain(120)
+    texts += [(300, clean[0]), (301, clean[1].replace("Yes.", "No.")), (302, clean[2].split("\n")[0] + "\n" + clean[3].split("\n")[0])]
+    texts += [(310, long), (311, f"{long[:300]}\n{long[301:]}"), (320, f"{plain(9)} {items[0][1]} {plain(9)}"), (321, f"{plain(9)} short ITEM!")]
+    texts += [(330, None), (331, ""), (332, " \n"), (333, clean[5]), (333, clean[5]), (None, clean[0]), (None, None)]
+    docs(*texts).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    seen = []
+
+    def watched(stage):
+        def run(spark, given, sf_dir):
+            assert given.columns == docs().columns
+            seen.append([(x.doc_id, x.text) for x in given.collect()])
+            return stage(spark, given, sf_dir)
+
+        return run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, watched(stage)) for name, stage in corpus_pipeline.STAGES])
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    first, lines, near, contaminated, last = seen
+    bag = lambda rows: sorted(rows, key=repr)
+
+    assert bag(first) == bag(texts) and set(lines) <= set(texts)
+    gone = {i for i, _ in texts} - {i for i, _ in lines}
+    assert len(gone ^ {i for i, t in texts if "vix" in (t or "")}) <= 12 and sum(i is None for i, _ in lines) == 2
+
+    # lines: linked ones are a class; the first one stays, rows without an id lose none
+    rows_ = [(d is None, d or 0, n, line) for d, t in lines for n, line in enumerate((t or "").split("\n")) if line.strip()]
+    distinct = sorted({x[3] for x in rows_})
+    group = {x: x for x in distinct}
+    long_ = [x for x in distinct if len(x) >= 16]
+    pairs = list(itertools.combinations(long_, 2))
+    for (a, b), link in zip(pairs, line_dedup.alike([a for a, _ in pairs], [b for _, b in pairs], None).tolist(), strict=True):
+        if link:
+            group = {x: group[a] if g == group[b] else g for x, g in group.items()}
+    head, sets = {}, {}
+    for *at, line in sorted(rows_):
+        head.setdefault(group[line], at)
+        if not at[0]:
+            sets.setdefault(at[1], set()).add(group[line])
+    expected = []
+    for d, t in lines:
+        if d is None or t is None:
+            expected.append((d, t))
+            continue
+        left = "\n".join(x for n, x in enumerate(t.split("\n")) if not x.strip() or head[group[x]] == [False, d, n])
+        if left.strip() or not t.strip():
+            expected.append((d, left))
+        elif not any(o < d and sets[d] <= s for o, s in sets.items()):
+            expected.append((d, t))
+    assert bag(near) == bag(expected) and {300, 302, 333, 330, 331, 332} & {d for d, _ in near} == {302, 333, 330, 331, 332} & {d for d, _ in lines} - {333}
+
+    parts = near_components([(d, t) for d, t in near if d is not None], 5)
+    assert bag(contaminated) == bag((d, t) for d, t in near if d is None or parts[d][1] == d)
+    cut = lambda t: " ".join(["", *re.findall(r"[a-z0-9]+", (t or "").lower()), ""])
+    keys = [f" {' '.join(w[k : k + 10])} " for _, t in items if (w := cut(t).split()) for k in range(max(1, len(w) - 9))]
+    assert bag(last) == bag((d, t) for d, t in contaminated if not any(k in cut(t) for k in keys))
+    assert not {320, 321} & {d for d, _ in last} and {x["doc_id"] for x in packed} >= {d for d, t in last if t and d is not None}
