@@ -113,6 +113,16 @@ def _hadoop(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write one small file to whatever file system the path names."""
+    fs, hadoop_path = _hadoop(spark, path)
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(content)
+    finally:
+        out.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
     fs, hadoop_path = _hadoop(spark, path)
