@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from contrail.llm.chunk_dedup import exact_duplicates
 from contrail.llm.common import table
 from contrail.llm.decontaminate import contamination
+from contrail.llm.lexicon_bpe import encoding_digests
 from contrail.llm.line_dedup import line_duplicates
 from contrail.llm.minhash import near_duplicates
 from contrail.llm.packing import pack
 from contrail.llm.pii import personal_spans
+from contrail.llm.source_audit import source_divergence
 from contrail.llm.substring import remove_repeats
 from contrail.llm.token_scan import token_file_scan
 from contrail.llm.toxicity import toxicity
 from contrail.llm.training_order import training_order
+from contrail.llm.whitening import whiten
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +61,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
+def op12_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -68,6 +84,9 @@ QUERIES = {
     "op8_token_scan": op8_token_scan,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_lexicon_bpe": op12_lexicon_bpe,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES = {
@@ -142,4 +161,46 @@ ORACLES = {
           coalesce(n.n_items, 0) AS n_items, sha256(coalesce(n.list, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
         FROM split d LEFT JOIN hits h ON h.id = d.id LEFT JOIN named n ON n.id = d.id WHERE d.kind = 'd'
     """,
+    "op13_source_divergence": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+          FROM documents
+        ),
+        own AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+        kept AS (SELECT lang, term FROM own GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+        counts AS (SELECT lang, source, term, count(*) AS n FROM own JOIN kept USING (lang, term) GROUP BY ALL),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        sizes AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+        whole AS (SELECT lang, term, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total FROM counts GROUP BY lang, term),
+        p AS (
+          SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+            1 + (1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT) // (coalesce(s.total, 0) + 5 * v.v) AS p
+          FROM groups g JOIN kept k ON k.lang = g.lang JOIN v ON v.lang = g.lang
+          LEFT JOIN sizes s ON s.lang = g.lang AND s.source = g.source
+          LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ),
+        apart AS (
+          SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ),
+        pairs AS (
+          SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+        ),
+        terms AS (
+          SELECT p.lang, p.source, 'term' AS part, p.term AS item,
+            p.p - (1 + (1000000000 * (w.n + 5)::HUGEINT) // (w.total + 5 * v.v)) AS value
+          FROM p JOIN whole w ON w.lang = p.lang AND w.term = p.term JOIN v ON v.lang = p.lang WHERE p.n > 0
+        ),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+          FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms WHERE value > 0) x
+        )
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
 }
