@@ -49,6 +49,29 @@ def gold_country_totals(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def country_shares(silver: DataFrame, by: Sequence[str]) -> DataFrame:
+    """What these rows add to the totals per country and `by`: sums and counts, which can be added up."""
+    return (
+        silver.where(F.col("origin_country").isNotNull())
+        .groupBy(*by, "origin_country")
+        .agg(
+            F.count("icao24").alias("flights"),
+            F.sum("velocity").alias("velocity_sum"),
+            F.count("velocity").alias("velocity_count"),
+            F.sum(F.col("on_ground").cast("int")).alias("on_ground"),
+        )
+    )
+
+
+def totals_of_shares(shares: DataFrame, by: Sequence[str]) -> DataFrame:
+    """`gold_country_totals` of all rows whose shares are given."""
+    return shares.groupBy(*by, "origin_country").agg(
+        F.sum("flights").alias("total_flights"),
+        F.try_divide(F.sum("velocity_sum"), F.sum("velocity_count")).alias("avg_velocity"),
+        F.sum("on_ground").alias("on_ground"),
+    )
+
+
 HOURLY = ["window_start", "origin_country"]
 
 
@@ -116,6 +139,40 @@ def gold_aircraft_activity(silver: DataFrame) -> DataFrame:
     )
 
 
+def aircraft_days(silver: DataFrame) -> DataFrame:
+    """Activity of one day per aircraft and country, as sums and counts, which can be added up."""
+    return (
+        _timed(silver)
+        .groupBy("icao24", "origin_country", F.to_date("time_position").alias("day"))
+        .agg(
+            F.min("time_position").alias("first_seen"),
+            F.max("time_position").alias("last_seen"),
+            F.count(F.lit(1)).alias("position_count"),
+            F.sum("velocity_validated").alias("velocity_sum"),
+            F.count("velocity_validated").alias("velocity_count"),
+            F.max("velocity_validated").alias("max_velocity"),
+            F.sum("baro_altitude").alias("altitude_sum"),
+            F.count("baro_altitude").alias("altitude_count"),
+            _count_true(F.col("on_ground")).alias("ground_time_samples"),
+            _count_true(~F.col("on_ground")).alias("airborne_time_samples"),
+        )
+    )
+
+
+def activity_of_days(days: DataFrame) -> DataFrame:
+    """`gold_aircraft_activity` of the days given."""
+    return days.groupBy("icao24", "origin_country").agg(
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.sum("position_count").alias("position_count"),
+        F.try_divide(F.sum("velocity_sum"), F.sum("velocity_count")).alias("avg_velocity"),
+        F.max("max_velocity").alias("max_velocity"),
+        F.try_divide(F.sum("altitude_sum"), F.sum("altitude_count")).alias("avg_altitude"),
+        F.sum("ground_time_samples").alias("ground_time_samples"),
+        F.sum("airborne_time_samples").alias("airborne_time_samples"),
+    )
+
+
 def gold_altitude_distribution(silver: DataFrame, bin_width: int = 1000) -> DataFrame:
     """Histogram of barometric altitude per hour and country."""
     return (
@@ -152,19 +209,23 @@ def gold_flight_density_heatmap(silver: DataFrame) -> DataFrame:
     )
 
 
-def gold_country_daily_summary(aggregations: DataFrame) -> DataFrame:
-    """Daily roll-up of the hourly table (or of `hourly_figures`).
-
-    The moving average spans the last seven rows of the country, whether or
-    not days are missing. A country has one row per day here, so its window
-    is bounded by the calendar.
-    """
-    daily = aggregations.groupBy(day_start(F.col("window_start")).alias("date"), "origin_country").agg(
+def daily_figures(aggregations: DataFrame) -> DataFrame:
+    """The hourly table (or `hourly_figures`) summed up by day and country."""
+    return aggregations.groupBy(day_start(F.col("window_start")).alias("date"), "origin_country").agg(
         F.sum("total_flights").alias("daily_flights"),
         F.avg("avg_velocity").alias("daily_avg_velocity"),
         F.sum("airborne_count").alias("daily_airborne"),
         F.sum("on_ground_count").alias("daily_on_ground"),
     )
+
+
+def daily_summary_of(daily: DataFrame) -> DataFrame:
+    """Ratio, moving average and change of `daily_figures`.
+
+    The moving average spans the last seven rows of the country, whether or
+    not days are missing. A country has one row per day here, so its window
+    is bounded by the calendar.
+    """
     by_day = Window.partitionBy("origin_country").orderBy("date")
     return daily.select(
         "date",
@@ -179,8 +240,23 @@ def gold_country_daily_summary(aggregations: DataFrame) -> DataFrame:
     )
 
 
+def gold_country_daily_summary(aggregations: DataFrame) -> DataFrame:
+    """Daily roll-up of the hourly table (or of `hourly_figures`)."""
+    return daily_summary_of(daily_figures(aggregations))
+
+
+def closing_points(silver: DataFrame) -> DataFrame:
+    """The last placed point of every aircraft on each of its days."""
+    placed = _placed(silver).select("icao24", F.to_date("time_position").alias("_day"), "time_position", "latitude", "longitude")
+    return placed.groupBy("icao24", "_day").agg(
+        F.max("time_position").alias("time_position"),
+        F.max_by("latitude", "time_position").alias("latitude"),
+        F.max_by("longitude", "time_position").alias("longitude"),
+    )
+
+
 def gold_flight_trajectories(
-    silver: DataFrame, gap_seconds: int = 3600, since: date | None = None
+    silver: DataFrame, gap_seconds: int = 3600, since: date | None = None, closing: DataFrame | None = None
 ) -> DataFrame:
     """Link every point of an aircraft to the one before it.
 
@@ -191,6 +267,9 @@ def gold_flight_trajectories(
 
     With `since`, only points from that day on are given. Of the time before,
     each aircraft's last point is still found, as the start of its first link.
+    With `closing`, `silver` may hold any choice of whole days: the
+    `closing_points` given, of these and earlier days, take the place of the
+    days that it lacks.
     """
     placed = _placed(silver)
     points = placed if since is None else placed.where(F.col("time_position") >= F.lit(since))
@@ -207,15 +286,12 @@ def gold_flight_trajectories(
         "on_ground",
         F.lit(False).alias("_marker"),
     )
-    last_point = [
-        F.max("time_position").alias("time_position"),
-        F.max_by("latitude", "time_position").alias("latitude"),
-        F.max_by("longitude", "time_position").alias("longitude"),
-    ]
-    closing = points.groupBy("icao24", "_day").agg(*last_point)
-    if since is not None:
-        earlier = placed.where(F.col("time_position") < F.lit(since)).groupBy("icao24").agg(*last_point)
-        closing = closing.unionByName(earlier.withColumn("_day", F.to_date("time_position")))
+    if closing is None:
+        closing = closing_points(silver if since is None else silver.where(F.col("time_position") >= F.lit(since)))
+        if since is not None:
+            earlier = placed.where(F.col("time_position") < F.lit(since)).groupBy("icao24")
+            last = earlier.agg(F.max_by(F.struct("time_position", "latitude", "longitude"), "time_position").alias("p")).select("icao24", "p.*")
+            closing = closing.unionByName(last.withColumn("_day", F.to_date("time_position")))
     next_day = F.lead("_day").over(Window.partitionBy("icao24").orderBy("_day"))
     markers = (
         closing.withColumn("_day", next_day)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row
@@ -121,6 +122,12 @@ def validate(
     return rule_counts(df, rules, schema).where("violations > 0")
 
 
+def valid_rows(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """The rows that break no error rule."""
+    broken = [r.broken for r in (silver_rules() if rules is None else rules) if r.per_row and r.severity == "error"]
+    return df.where(reduce(lambda a, b: a & b, [~F.coalesce(b, F.lit(False)) for b in broken], F.lit(True)))
+
+
 def enforce(violations: DataFrame) -> None:
     """Raise on broken error rules; log broken warning rules."""
     found = violations.collect()  # one row per rule

@@ -216,6 +216,18 @@ WHERE NOT EXISTS (SELECT 1 FROM old o
                   WHERE o.window_start = n.window_start AND o.origin_country = n.origin_country)"""
 )
 
+UPSERT_TOTALS_BODY = (
+    HOURLY_TOTALS
+    + """,
+merged AS (
+  SELECT * EXCLUDE (last) FROM (
+    SELECT *, max(delivery) OVER (PARTITION BY window_start, origin_country) AS last FROM totals
+    WHERE origin_country IS NOT NULL) x
+  WHERE delivery = last
+  UNION ALL SELECT * FROM totals WHERE origin_country IS NULL
+)"""
+)
+
 UPSERTED_PREDICTIONS = (
     _predictions(per_delivery=True)
     + """,
@@ -246,6 +258,9 @@ SILVER_FILE = f"""icao24, origin_country, latitude, longitude, {EPOCHS}, velocit
 
 PLACED_VALID = "latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND time_position IS NOT NULL"
 
+KEEPS_RULES = """coalesce(latitude BETWEEN -90 AND 90, true) AND coalesce(longitude BETWEEN -180 AND 180, true)
+  AND coalesce(velocity >= 0, true) AND (latitude IS NULL OR longitude IS NULL OR time_position IS NOT NULL)"""
+
 FILLED = """
   coalesce(velocity, (SELECT median(velocity) FROM reports)) AS velocity,
   coalesce(baro_altitude, 0.0) AS baro_altitude, coalesce(vertical_rate, 0.0) AS vertical_rate,
@@ -268,6 +283,14 @@ DENSITY_LATEST = (
     FROM heatmap WHERE {latest('heatmap')} GROUP BY 1, 2"""
 )
 
+ANOMALIES_LATEST = (
+    ANOMALIES
+    + f""" SELECT window_start, origin_country, count(*) AS total_samples,
+      count(*) FILTER (is_anomaly) AS anomaly_count, {r6('avg(z_score)', 'avg_z_score')}
+    FROM anomalies WHERE {latest('anomalies')} GROUP BY 1, 2
+    ORDER BY anomaly_count DESC, origin_country LIMIT 20"""
+)
+
 ORACLES: dict[str, str] = {
     "dedupe_latest": CLEANED
     + """ SELECT event_id, delivery, icao24, time_position, ingestion_time, velocity
@@ -363,11 +386,8 @@ ORACLES: dict[str, str] = {
     FROM aggregations GROUP BY window_start""",
     "density_latest": DENSITY_LATEST,
     "stored_density_latest": DENSITY_LATEST,
-    "anomalies_by_country": ANOMALIES
-    + f""" SELECT window_start, origin_country, count(*) AS total_samples,
-      count(*) FILTER (is_anomaly) AS anomaly_count, {r6('avg(z_score)', 'avg_z_score')}
-    FROM anomalies WHERE {latest('anomalies')} GROUP BY 1, 2
-    ORDER BY anomaly_count DESC, origin_country LIMIT 20""",
+    "anomalies_by_country": ANOMALIES_LATEST,
+    "stored_anomalies_by_country": ANOMALIES_LATEST,
     "daily_summary_500": DAILY
     + f" SELECT {DAILY_COLUMNS} FROM daily ORDER BY date DESC, origin_country LIMIT 500",
     "daily_summary_countries": DAILY
@@ -461,6 +481,51 @@ ORACLES: dict[str, str] = {
       count(*) AS total_flights, {r6('avg(CASE WHEN velocity >= 0 THEN velocity END)', 'avg_velocity')},
       CAST(sum(CASE WHEN on_ground THEN 1 ELSE 0 END) AS bigint) AS on_ground_sum
     FROM reports JOIN documents ON document = event_id // 500 WHERE origin_country IS NOT NULL GROUP BY 1, 2""",
+    "corrected_batch": REPORTS
+    + f""", chosen AS (
+      SELECT *, event_id % 2 AS batch FROM reports
+      WHERE event_id % 2 = 1 OR (origin_country NOT IN ('NATION_1', 'NATION_2') AND event_id % 3 <> 0)),
+    documents AS (
+      SELECT batch, event_id // 500 AS document,
+        floor(max(epoch(date_trunc('second', ingestion_time))) / 86400) * 86400 AS seen FROM chosen GROUP BY 1, 2)
+    SELECT TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST(seen AS bigint)) AS window_start, origin_country,
+      count(*) AS total_flights, {r6('avg(CASE WHEN velocity >= 0 THEN velocity END)', 'avg_velocity')},
+      CAST(sum(CASE WHEN on_ground THEN 1 ELSE 0 END) AS bigint) AS on_ground_sum
+    FROM chosen c JOIN documents d ON document = event_id // 500 AND d.batch = c.batch
+    WHERE origin_country IS NOT NULL GROUP BY 1, 2""",
+    "quarantined_stream": REPORTS
+    + f""", made AS (
+      SELECT icao24, origin_country, CASE WHEN {PLACED_VALID} THEN latitude END AS latitude,
+        CASE WHEN {PLACED_VALID} THEN longitude END AS longitude, {EPOCHS},
+        CASE WHEN velocity >= 0 THEN velocity END AS velocity, vertical_rate, true_track,
+        baro_altitude, on_ground, geo_altitude, (event_id // 500) % 3 AS batch,
+        {KEEPS_RULES} AS is_valid
+      FROM reports)
+    SELECT * EXCLUDE (batch, is_valid) FROM made WHERE batch <> 1 OR is_valid""",
+    "released_bronze": REPORTS
+    + f""" SELECT icao24, count(*) AS reports,
+      count(CASE WHEN event_id % 3 = 2 OR {PLACED_VALID} THEN latitude END) AS placed,
+      min(CASE WHEN velocity >= 0 THEN velocity END) AS slowest
+    FROM reports WHERE delivery = 0 AND (event_id % 3 = 0 OR (event_id % 3 = 2 AND {KEEPS_RULES})) GROUP BY 1""",
+    "late_reports": REPORTS
+    + f""", points AS (SELECT DISTINCT icao24, time_position FROM reports WHERE delivery = 0 AND {PLACED_VALID}),
+    linked AS (
+      SELECT icao24, lag(time_position) OVER (PARTITION BY icao24 ORDER BY time_position) AS start_time,
+        time_position AS end_time FROM points)
+    SELECT *, date_diff('second', start_time, end_time) AS time_delta_seconds,
+      coalesce(date_diff('second', start_time, end_time) > 3600, true) AS is_new_segment
+    FROM linked""",
+    "late_activity": REPORTS
+    + f""", points AS (
+      SELECT DISTINCT icao24, time_position FROM reports WHERE delivery = 0 AND event_id % 3 <> 1 AND {PLACED_VALID})
+    SELECT icao24, min(time_position) AS first_seen, max(time_position) AS last_seen, count(*) AS positions
+    FROM points GROUP BY 1""",
+    "versioned_totals": UPSERT_TOTALS_BODY
+    + f""" SELECT moment, window_start, origin_country, total_flights, {r6('avg_velocity')}, on_ground_sum
+    FROM (
+      SELECT 'begun' AS moment, * FROM totals WHERE delivery = 0
+      UNION ALL SELECT 'restored', * FROM totals WHERE delivery = 0
+      UNION ALL SELECT 'loaded', * FROM merged) x""",
     "gated_silver": REPORTS
     + """ SELECT icao24, count(*) AS reports, min(time_position) AS first_seen, max(time_position) AS last_seen
     FROM (SELECT DISTINCT icao24, time_position FROM reports WHERE delivery = 0) x GROUP BY 1""",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import lru_cache
+from functools import lru_cache, partial, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +24,15 @@ from contrail.operators.sampling import sample_n, stratified_split
 from contrail.operators.silver import bronze_view, clean_silver, dedupe_latest, latest_first, to_silver
 from contrail.operators.upsert import upsert
 from contrail.plans import models, serving
-from contrail.plans.pipeline import load_predictions, process_documents, refresh_models
+from contrail.plans.pipeline import (
+    batches_with_status,
+    gated_bronze,
+    load_predictions,
+    process_documents,
+    refresh_arrived,
+    refresh_models,
+    release_batch,
+)
 from contrail.schemas import (
     COUNTRY_TOTALS_KEYS,
     COUNTRY_TOTALS_UPDATES,
@@ -34,7 +42,7 @@ from contrail.schemas import (
 )
 from contrail.session import scratch_path, settle
 from contrail.sources import tables
-from contrail.sources.derived import raw_documents, rule_predictions, valid_reports
+from contrail.sources.derived import EVENTS_PER_DOCUMENT, raw_documents, rule_predictions, valid_reports
 from contrail.sources.events import event_reports
 from contrail.sources.files import read_silver_dir, write_layer
 from contrail.streaming.ingest import ingest_stream, stream_documents
@@ -402,6 +410,105 @@ def stream_totals(spark: SparkSession, root: str) -> DataFrame:
     return rounded(totals, "avg_velocity")
 
 
+@query
+def corrected_batch(spark: SparkSession, root: str) -> DataFrame:
+    """Country totals after two batches to the same windows, the first of which came again with fewer rows."""
+    home = scratch_path(spark, "corrected")
+    reports = valid_reports(event_reports(spark, root))
+    first, second = (reports.where(f"event_id % 2 = {i}") for i in (0, 1))
+    corrected = first.where("origin_country NOT IN ('NATION_1', 'NATION_2') AND event_id % 3 <> 0")
+    for batch, rows in (("first", first), ("second", second), ("first", corrected)):
+        process_documents(raw_documents(rows, period=DAY), home, batch, now=NOW)
+    totals = tables.read_table(spark, home, "gold_flight_agg").drop("load_time", "window_date")
+    return rounded(totals, "avg_velocity")
+
+
+@query
+def quarantined_stream(spark: SparkSession, root: str) -> DataFrame:
+    """Silver rows after a stream brought a good, a bad and a good batch, and the valid rows of the bad one were released."""
+    home = scratch_path(spark, "quarantined")
+    reports = event_reports(spark, root)
+    for n, rows in enumerate((valid_reports(reports), reports, valid_reports(reports))):
+        documents = raw_documents(rows.where(f"floor(event_id / {EVENTS_PER_DOCUMENT}) % 3 = {n}"))
+        documents.select("raw_data").write.mode("append").option("maxRecordsPerFile", 1).text(f"{home}/incoming")
+        stream = stream_documents(spark, f"{home}/incoming")
+        ingest_stream(stream, home, f"{home}/progress", clock=lambda: NOW).awaitTermination()
+    for batch in batches_with_status(spark, home, "refused"):
+        release_batch(spark, home, batch, "valid", now=NOW)
+    return tables.read_table(spark, home, "silver_flights").select(*SILVER.names)
+
+
+@query
+def released_bronze(spark: SparkSession, root: str) -> DataFrame:
+    """Reports per aircraft on the bronze path: a good batch, one held back, and the valid rows of a third."""
+    home = scratch_path(spark, "bronze-path")
+    reports = event_reports(spark, root)
+    for n, rows in enumerate((valid_reports(reports), reports, reports)):
+        documents = raw_documents(rows.where(f"event_id % 3 = {n} AND delivery = 0"))
+        try:
+            process_documents(documents, home, f"batch-{n}", now=NOW)
+        except QualityError:
+            pass
+    release_batch(spark, home, "batch-2", "valid", now=NOW)
+    view = gated_bronze(spark, home, layout="api")
+    return view.groupBy("icao24").agg(
+        F.count(F.lit(1)).alias("reports"), F.count("latitude").alias("placed"), F.min("velocity").alias("slowest")
+    )
+
+
+@query
+def late_reports(spark: SparkSession, root: str) -> DataFrame:
+    """Links per aircraft after a first refresh, a batch of late reports for older days, and a refresh of what arrived."""
+    home = scratch_path(spark, "late")
+    placed = valid_reports(event_reports(spark, root)).where("delivery = 0 AND latitude IS NOT NULL")
+    is_late = F.pmod(F.dayofyear("time_position"), F.lit(7)) == 3
+    for batch, rows in (("in-time", placed.where(~is_late)), ("late", placed.where(is_late))):
+        tables.append_silver(to_silver(raw_documents(rows)), home, batch, NOW)
+        built = refresh_arrived(spark, home, NOW)
+    links = built["gold_flight_trajectories"]
+    return links.select("icao24", "start_time", "end_time", "time_delta_seconds", "is_new_segment")
+
+
+@query
+def late_activity(spark: SparkSession, root: str) -> DataFrame:
+    """Lifetime figures per aircraft after a batch was refreshed, undone and another one came."""
+    home = scratch_path(spark, "late-activity")
+    placed = valid_reports(event_reports(spark, root)).where("delivery = 0 AND latitude IS NOT NULL")
+    for n in range(3):
+        tables.append_silver(to_silver(raw_documents(placed.where(f"event_id % 3 = {n}"))), home, f"batch-{n}", NOW)
+        built = refresh_arrived(spark, home, NOW)
+        if n == 1:
+            tables.drop_batch(spark, home, "silver_flights", "batch-1")
+    activity = built["gold_aircraft_activity"].groupBy("icao24")
+    return activity.agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum("position_count").alias("positions"))
+
+
+@query
+def versioned_totals(spark: SparkSession, root: str) -> DataFrame:
+    """The totals as read by one who began before a load, by one after it, and after a broken write and a rollback."""
+    home, name = scratch_path(spark, "versioned"), "gold_flight_agg"
+    first, second = (_hourly_totals(d) for d in _deliveries(spark, root))
+    load = partial(tables.upsert_table, root=home, name=name, keys=COUNTRY_TOTALS_KEYS, update_columns=COUNTRY_TOTALS_UPDATES, now=NOW)
+    load(first)
+    taken = tables.snapshot(spark, home, [name])
+    begun = tables.read_table(spark, home, name)
+    load(second)
+    loaded = tables.read_table(spark, home, name)
+    second.write.parquet(f"{home}/{name}/write=broken/window_date=2024-01-01")  # a write that never gets as far as its version
+    tables.rollback(spark, home, taken, [name])
+    reads = {"begun": begun, "loaded": loaded, "restored": tables.read_table(spark, home, name)}
+    tagged = [df.select(F.lit(moment).alias("moment"), *first.columns) for moment, df in reads.items()]
+    return rounded(reduce(lambda a, b: a.unionByName(b), tagged), "avg_velocity")
+
+
+@query
+def stored_anomalies_by_country(spark: SparkSession, root: str) -> DataFrame:
+    """The newest window's anomalies, from the one date of the stored table whose range holds it."""
+    home = scratch_path(spark, "anomalies")
+    tables.materialize(gold.gold_speed_anomalies(stored_silver(spark, root)), home, "gold_speed_anomalies", now=NOW)
+    return rounded(serving.anomalies_by_country(tables.read_newest(spark, home, "gold_speed_anomalies")), "avg_z_score")
+
+
 @query
 def gated_silver(spark: SparkSession, root: str) -> DataFrame:
     """Cleaned silver per aircraft after one good batch and one that the gate refused."""

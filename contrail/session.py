@@ -82,16 +82,17 @@ def clean_scratch(spark: SparkSession) -> None:
     _ENDING.discard(root)
 
 
-def settle(df: DataFrame, label: str = "part") -> DataFrame:
+def settle(df: DataFrame, label: str = "part", **options: str) -> DataFrame:
     """Write `df` once to the shared folder and return it read back.
 
     Cuts lineage in a way that survives the loss of executors, and gives the
     optimizer the real size: a later join broadcasts the result only if it is
     below `spark.sql.autoBroadcastJoinThreshold`, and shuffles it otherwise.
+    `options` go to the Parquet writer.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._scratch = path
     return stored
@@ -123,6 +124,41 @@ def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
         out.close()
 
 
+def publish_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write one small file that appears whole or not at all; `FileExistsError` if it is there already."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder, name = path.rsplit("/", 1)
+    staged = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    write_bytes(spark, staged, content)
+    source, target = (jvm.org.apache.hadoop.fs.Path(x) for x in (staged, path))
+    plain = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), hadoop).rename(source, target, plain)
+    except Exception as refused:
+        discard_path(spark, staged)
+        if path_exists(spark, path):
+            raise FileExistsError(path) from refused
+        raise
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """The content of one small file."""
+    fs, hadoop_path = _hadoop(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+
+
+def listed(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names in a folder and when each was changed (milliseconds); a missing folder is empty."""
+    fs, hadoop_path = _hadoop(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [(entry.getPath().getName(), entry.getModificationTime()) for entry in fs.listStatus(hadoop_path)]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
     fs, hadoop_path = _hadoop(spark, path)

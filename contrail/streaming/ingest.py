@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from contrail.operators.quality import QualityError
 from contrail.plans.pipeline import process_documents
 from contrail.session import SkipBatch, prepare
 from contrail.sources.tables import utc_now
 
+log = logging.getLogger(__name__)
+
 
 def stream_documents(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Raw documents of a folder as they arrive, one per file."""
@@ -34,7 +39,8 @@ def ingest_stream(
     checkpoint hands each file over once; after a failure the same micro-batch
     comes again under the same id and replaces its own earlier output. Totals
     belong to the half hour that the documents name, so neither the time of
-    arrival nor the cut into micro-batches changes them.
+    arrival nor the cut into micro-batches changes them. A micro-batch that the
+    gate refuses waits in the quarantine, and the stream goes on.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -43,6 +49,8 @@ def ingest_stream(
             process_documents(batch, root, f"stream-{batch_id:08d}", now=now)
         except SkipBatch:
             pass
+        except QualityError as refusal:
+            log.warning("micro-batch %d is held back: %s", batch_id, refusal)
 
     writer = documents.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
     trigger = {"processingTime": every} if every else {"availableNow": True}
