@@ -22,20 +22,21 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail.llm.common import ship, slices, texts
 from contrail.llm.tokens import tokenizer_path
 from contrail.llm.transducer import Transducer, compile_words
-from contrail.session import scratch_path, write_bytes
+from contrail.session import discard, scratch_path, settle, write_bytes
 
-#: Words in the transducer at most, and their bytes; all others are merged.
+#: Words in the transducer at most, their bytes, and how often each must occur; all others are merged.
 LEXICON_WORDS = 100_000
 WORD_BYTES = 64
+FREQUENT = 5
 #: Merged words that a worker remembers, and distinct words that a counting task holds.
-REMEMBERED_WORDS = 300_000
-COUNTED_WORDS = 300_000
+REMEMBERED_WORDS = 800_000
+COUNTED_WORDS = 500_000
 #: Characters of text that a task has in hand at once.
 SLICE_CHARS = 4_000_000
 #: Bytes from which a piece is merged on its own.
@@ -259,16 +260,22 @@ def _counted(first: Counter, later: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
 
 
-def build_lexicon(docs: DataFrame, tokenizer_file: str | None = None, words: int = LEXICON_WORDS) -> str:
+def build_lexicon(docs: DataFrame, tokenizer_file: str | None = None, words: int = LEXICON_WORDS, frequent: int = FREQUENT) -> str:
     """Compile the most frequent words of a corpus; returns the file's name among the application's files.
 
-    At most `words` words of at most 64 bytes reach the driver. The file lies in
+    Counts of counts give the least count at which no more than `words` words are
+    left; only these reach the driver, of at most 64 bytes each. The file lies in
     the shared folder; every executor, also one that joins later, fetches it once.
     """
     spark = docs.sparkSession
     merges = merge_list(tokenizer_file or tokenizer_path())
-    counted = word_counts(docs, tokenizer_file).where((F.octet_length("word") > 0) & (F.octet_length("word") <= WORD_BYTES))
-    top = [r.word for r in counted.orderBy(F.desc("n"), "word").limit(words).collect()]
+    fits = F.octet_length("word").between(1, WORD_BYTES) & (F.col("n") >= frequent)
+    counted = settle(word_counts(docs, tokenizer_file).where(fits), "word-counts")
+    at_least = F.sum("words").over(Window.orderBy(F.desc("n")))
+    steps = counted.groupBy("n").agg(F.count("*").alias("words")).withColumn("at_least", at_least)  # a row per count
+    least = steps.where(F.col("at_least") <= words).agg(F.min("n")).first()[0]
+    top = [r.word for r in counted.where(F.col("n") >= F.lit(least)).select("word").collect()]
+    discard(counted)
     return share(spark, compile_words((w.encode("utf-8"), tuple(ids)) for w, ids in zip(top, merges.encoded(top), strict=True)))
 
 

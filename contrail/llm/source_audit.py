@@ -9,11 +9,11 @@ block and not once for each document.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +30,12 @@ TOP_TERMS = 50
 #: Different (document, chunk) pairs from which a block is closed.
 BLOCK_ENTRIES = 2_000_000
 
-BLOCK_COLUMNS = ["block", "chunks", "langs", "sources", "doc_group", "doc_size", "ids", "counts"]
-BLOCK = "block string, chunks array<string>, langs array<string>, sources array<string>, doc_group array<int>, doc_size array<int>, ids array<int>, counts array<int>"
-TERM_ROWS = "lang string, term string, of array<struct<source:string,n:long,docs:long>>"
+BLOCK_COLUMNS = ["block", "chunks", "langs", "sources", "doc_group", "doc_size", "low", "high", "counts"]
+BLOCK = (
+    "block long, chunks array<string>, langs array<string>, sources array<string>, doc_group array<int>, doc_size array<int>,"
+    " low array<smallint>, high array<smallint>, counts array<int>"
+)
+TERM_ROWS = "lang string, term string, docs int, sources array<string>, n array<int>"
 
 
 class _Block:
@@ -55,105 +58,118 @@ class _Block:
         self.counts.append(counts)
         self.entries += len(pairs)
 
-    def row(self) -> pa.RecordBatch:
+    def row(self, number: int) -> pa.RecordBatch:
+        """The block as one row. Chunk numbers rise within a document; their steps are kept, as two short numbers."""
         langs, sources = zip(*self.groups, strict=True)
         names = pa.array(list(self.chunks), pa.binary()).cast(pa.string())
-        numbers = [pa.array(np.concatenate(x).astype(np.int32)) for x in (self.doc_group, self.doc_size, self.ids, self.counts)]
-        lists = [names, pa.array(langs, pa.string()), pa.array(sources, pa.string()), *numbers]
-        arrays = [pa.array([uuid.uuid4().hex]), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists)]
+        ids = np.concatenate(self.ids)
+        steps = np.diff(ids, prepend=0).astype(np.int32).view(np.int16).reshape(-1, 2)
+        whole = [pa.array(np.concatenate(x).astype(np.int32)) for x in (self.doc_group, self.doc_size, self.counts)]
+        short = [pa.array(np.ascontiguousarray(steps[:, i])) for i in (0, 1)]
+        lists = [names, pa.array(langs, pa.string()), pa.array(sources, pa.string()), *whole[:2], *short, whole[2]]
+        arrays = [pa.array([number]), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists)]
         return pa.RecordBatch.from_arrays(arrays, BLOCK_COLUMNS)
 
 
+def _chunk_numbers(low: pa.Array, high: pa.Array) -> np.ndarray:
+    steps = np.stack([low.to_numpy(zero_copy_only=False), high.to_numpy(zero_copy_only=False)], axis=1).astype(np.int16)
+    return np.cumsum(np.ascontiguousarray(steps).view(np.int32).ravel(), dtype=np.int64)
+
+
 def chunk_blocks(docs: DataFrame, entries: int = BLOCK_ENTRIES) -> DataFrame:
     """The chunks of all documents, counted per document, a row for each block of documents."""
     ship(docs.sparkSession)
     columns = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("text", "lang", "source")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = _Block()
+        block, first = _Block(), TaskContext.get().partitionId() << 32
         for groups, bodies in slices(batches):
             block.add([g["lang"] for g in groups], [g["source"] for g in groups], bodies)
             if block.entries >= entries:
-                yield block.row()
-                block = _Block()
+                yield block.row(first)
+                block, first = _Block(), first + 1
         if block.groups:
-            yield block.row()
+            yield block.row(first)
 
     shaped = docs.select(*columns).select(F.struct("lang", "source").alias("doc_id"), "text")
     return shaped.mapInArrow(count, BLOCK)
 
 
 def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """`chunk`, `terms` for every distinct chunk that holds a term; each is cut once."""
-    lower = F.translate("chunk", _UPPER, _LOWER)
-    return chunks.select("chunk").distinct().select("chunk", F.regexp_extract_all(lower, F.lit(TERM), F.lit(0)).alias("terms")).where(F.size("terms") > 0)
+    """The rows of `chunks` whose `chunk` holds a term, with `terms` in its place.
+
+    Rows are dealt by chunk, and each distinct chunk is cut once, at the first of
+    its rows; the others take its terms over. A chunk has a row for each block at
+    most, so none is frequent.
+    """
+    same = Window.partitionBy("chunk").orderBy("of_block")
+    cut = F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(TERM), F.lit(0))
+    once = chunks.withColumn("nth", F.row_number().over(same)).withColumn("own", F.when(F.col("nth") == 1, cut))
+    told = once.withColumn("terms", F.first("own", ignorenulls=True).over(same.rowsBetween(Window.unboundedPreceding, 0)))
+    return told.where(F.size("terms") > 0).drop("chunk", "nth", "own")
 
 
 def block_terms(blocks: DataFrame) -> DataFrame:
-    """`lang`, `term` and the sources of a block that hold it, with occurrences `n` and documents `docs`."""
-    chunks = blocks.select(F.col("block").alias("of_block"), F.posexplode("chunks").alias("pos", "chunk"))
-    cut = chunks.join(chunk_terms(chunks), "chunk").select("of_block", "pos", "terms")
-    counted = blocks.drop("chunks")
-    return counted.groupBy("block").cogroup(cut.groupBy("of_block")).applyInArrow(_block_terms, TERM_ROWS)
+    """`lang`, `term` of each block with `docs` that hold it, and the `sources` that do with their occurrences `n`."""
+    cut = chunk_terms(blocks.select(F.col("block").alias("of_block"), F.posexplode("chunks").alias("pos", "chunk")))
+    return blocks.drop("chunks").groupBy("block").cogroup(cut.groupBy("of_block")).applyInArrow(_block_terms, TERM_ROWS)
 
 
 def _block_terms(counted: pa.Table, cut: pa.Table) -> pa.Table:
-    schema = pa.schema(
-        [
-            ("lang", pa.string()),
-            ("term", pa.string()),
-            ("of", pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64()), ("docs", pa.int64())]))),
-        ]
-    )
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32())]
+    schema = pa.schema(list(zip(["lang", "term", "docs", "sources", "n"], kinds, strict=True)))
     if not counted.num_rows or not cut.num_rows:
         return schema.empty_table()
     column = {c: counted.column(c).combine_chunks().flatten() for c in counted.column_names if c != "block"}
-    doc_group, doc_size, ids, counts = (column[c].to_numpy().astype(np.int64) for c in ("doc_group", "doc_size", "ids", "counts"))
+    doc_group, doc_size, counts = (column[c].to_numpy() for c in ("doc_group", "doc_size", "counts"))
+    ids = _chunk_numbers(column["low"], column["high"])
     terms = cut.column("terms").combine_chunks()
     spelled = terms.flatten().dictionary_encode()
-    codes, n_terms = spelled.indices.to_numpy().astype(np.int64), len(spelled.dictionary)
-    lengths = terms.value_lengths().to_numpy().astype(np.int64)
-    size, first = np.zeros(int(ids.max(initial=0)) + 1, dtype=np.int64), np.zeros(int(ids.max(initial=0)) + 1, dtype=np.int64)
+    codes, n_terms = spelled.indices.to_numpy(), len(spelled.dictionary)
+    lengths = terms.value_lengths().to_numpy()
+    size, first = (np.zeros(int(ids.max(initial=0)) + 1, dtype=np.int64) for _ in range(2))
     pos = cut.column("pos").to_numpy()
     size[pos], first[pos] = lengths, np.cumsum(lengths) - lengths
     each = size[ids]
     ends = np.cumsum(each)
     term = codes[np.repeat(first[ids] - ends + each, each) + np.arange(each.sum())]
     doc = np.repeat(np.repeat(np.arange(len(doc_size)), doc_size), each)
-    n = np.repeat(counts, each)
     # a document counts once for a term, however many of its chunks hold the term
-    key, n = _added(doc * n_terms + term, n)
-    doc, term = key // n_terms, key % n_terms
+    key, n = _added(doc * n_terms + term, np.repeat(counts, each))
+    group, term = doc_group[key // n_terms].astype(np.int64), key % n_terms
     langs, sources = column["langs"].to_pylist(), column["sources"].to_pylist()
     names = sorted(set(langs))
     lang_of = np.asarray([names.index(x) for x in langs], dtype=np.int64)
-    group = doc_group[doc]
-    key = (lang_of[group] * n_terms + term) * len(langs) + group
-    order = np.argsort(key, kind="stable")
-    key, starts = np.unique(key[order], return_index=True)
-    n, docs = np.add.reduceat(n[order], starts), np.diff(starts, append=len(order))
+    key, n, docs = _added((lang_of[group] * n_terms + term) * len(langs) + group, n, count=True)
     row, starts = np.unique(key // len(langs), return_index=True)
-    of = pa.StructArray.from_arrays([pa.array(sources, pa.string()).take(pa.array(key % len(langs))), pa.array(n), pa.array(docs)], ["source", "n", "docs"])
+    offsets = pa.array(np.append(starts, len(key)), pa.int32())
     columns = [
         pa.array(names, pa.string()).take(pa.array(row // n_terms)),
         spelled.dictionary.take(pa.array(row % n_terms)),
-        pa.ListArray.from_arrays(np.append(starts, len(key)).astype(np.int32), of),
+        pa.array(np.add.reduceat(docs, starts) if len(docs) else docs, pa.int32()),
+        pa.ListArray.from_arrays(offsets, pa.array(sources, pa.string()).take(pa.array(key % len(langs)))),
+        pa.ListArray.from_arrays(offsets, pa.array(n, pa.int32())),
     ]
     return pa.Table.from_arrays(columns, schema=schema)
 
 
-def _added(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _added(key: np.ndarray, n: np.ndarray, count: bool = False) -> tuple[np.ndarray, ...]:
+    """Distinct keys with the sums of their `n`, and how many rows each has."""
     order = np.argsort(key, kind="stable")
-    key, starts = np.unique(key[order], return_index=True)
-    return key, np.add.reduceat(n[order], starts) if len(n) else n
+    key, starts, rows = np.unique(key[order], return_index=True, return_counts=True)
+    sums = np.add.reduceat(n[order], starts) if len(n) else n
+    return (key, sums, rows) if count else (key, sums)
 
 
 def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """Two settled tables: `lang`, `term`, `total`, `of` (source, n) of the kept terms, and every (`lang`, `source`)."""
-    blocks = settle(chunk_blocks(docs), "chunk-blocks")
+    blocks = settle(chunk_blocks(docs), "chunk-blocks", compression="zstd")
     # dealt by term once; both groupings and the choice of terms follow that dealing
-    dealt = block_terms(blocks).repartition("lang", "term").select("lang", "term", F.explode("of").alias("o"))
-    by_source = dealt.groupBy("lang", "term", "o.source").agg(F.sum("o.n").alias("n"), F.sum("o.docs").alias("docs"))
+    dealt = block_terms(blocks).repartition("lang", "term")
+    each = dealt.select("lang", "term", "docs", F.posexplode(F.arrays_zip("sources", "n")).alias("at", "o"))
+    by_source = each.groupBy("lang", "term", F.col("o.sources").alias("source")).agg(
+        F.sum("o.n").alias("n"), F.sum(F.when(F.col("at") == 0, F.col("docs"))).alias("docs")
+    )
     by_term = by_source.groupBy("lang", "term").agg(
         F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("of")
     )
