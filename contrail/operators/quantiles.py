@@ -1,4 +1,4 @@
-"""Exact interpolated quantiles that never hold a group in one task."""
+"""Exact selection by rank: quantiles that never hold a group in one task."""
 
 from __future__ import annotations
 
@@ -7,37 +7,70 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Two rounds of bins: at most 2 * 2100 * 16 of the first kind, then 4096 within each that is hit.
-BINS_PER_OCTAVE = 16
-SLICES = 4096
+from contrail.session import settle
 
+#: Bits that a pass fixes, and rows of one key that a task may rank.
+BITS = 16
+RANKED = 65_536
 
-def magnitude_bin(value: Column) -> Column:
-    """Number of a bin that grows with the value, some 4 % wide.
 
-    Doubles span some 2100 powers of two on each side of zero, so there are
-    at most 2 * 2100 * 16 bins whatever the data.
+def ordered_bits(value: Column) -> Column:
+    """A 64-bit whole number for each double, in the order of the doubles; NaN comes last.
+
+    The number is that of the double's own bits: its power of two above, its
+    fraction below. Both follow from arithmetic that loses nothing, as only powers
+    of two are multiplied and divided by. Zeros of either sign are one.
     """
-    octave = F.log2(F.abs(value)) * BINS_PER_OCTAVE
-    size = F.floor(F.greatest(octave, F.lit(-1100.0 * BINS_PER_OCTAVE))) + 1101 * BINS_PER_OCTAVE
-    far = 4000 * BINS_PER_OCTAVE
+    size = F.abs(value)
+    near = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023))
+    power = F.when((size < F.pow(F.lit(2.0), near)) & (near > -1022), near - 1).otherwise(near)  # log2 may be rounded
+    power = F.when((power < 1023) & (size / F.pow(F.lit(2.0), power) >= 2), power + 1).otherwise(power)
+    share = size / F.pow(F.lit(2.0), power)  # 1 to 2, below 1 for the least doubles of all
+    whole = 2**52
     number = (
-        F.when(F.isnan(value), 2 * far)
-        .when(value == float("inf"), far)
-        .when(value == float("-inf"), -far)
-        .when(value == 0, 0)
-        .when(value > 0, size)
-        .otherwise(-size)
-        .cast("bigint")
+        F.when(F.isnan(value), F.lit(2**63 - 1))
+        .when(size == float("inf"), F.lit(2047 * whole))
+        .when(size == 0, F.lit(0).cast("bigint"))
+        .otherwise((power + 1022) * F.lit(whole) + (share * float(whole)).cast("bigint"))
     )
-    # Never NULL, so the join on it adds no filter and both sides share a shuffle.
-    return F.coalesce(number, F.lit(0).cast("bigint"))
+    return F.when(value < 0, -number).otherwise(number).cast("bigint")
 
 
-def linear_slice(value: Column, low: Column, high: Column) -> Column:
-    """Number of one of `SLICES` equal steps between two values."""
-    share = F.try_divide(value - low, high - low)
-    return F.floor(F.coalesce(F.nanvl(share, F.lit(0.0)), F.lit(0.0)) * SLICES).cast("bigint")
+def select_ranks(rows: DataFrame, bits: Column, keys: Sequence[str], rank: Column) -> tuple[DataFrame, int]:
+    """Which rows hold a rank: for every key at most two ranges of `bits`, none of more than `RANKED` rows or one value.
+
+    `rank` is an expression over `_total`, the rows of the key; the rows at its
+    floor and its ceiling are looked for. Each pass counts rows in the map tasks
+    by the next 16 bits of those that may still be meant. It ends when what is
+    left of every key can be ranked in a task, at the latest when all 64 bits are
+    fixed, and so whatever the values are. Returns `keys`, `_prefix` (the leading
+    bits), `_start` (rows before them) and `_rank`, and how many bits lead. Eager;
+    `rows` is read once a pass.
+    """
+    keys, hits = list(keys), None
+    numbered = rows.select(*keys, bits.alias("_bits"))
+    for fixed in range(BITS, 65, BITS):
+        prefix = F.shiftright("_bits", 64 - fixed)
+        if hits is None:
+            counted = numbered.groupBy(*keys, prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_count"))
+            total = F.sum("_count").over(Window.partitionBy(*keys))
+            counted = counted.withColumn("_total", total).withColumn("_rank", rank).withColumn("_start", F.lit(0).cast("bigint"))
+            path = keys
+        else:
+            inside = numbered.withColumn("_above", F.shiftright("_bits", 64 - fixed + BITS))
+            above = hits.select(*keys, F.col("_prefix").alias("_above"), "_start", "_rank")
+            inside = inside.join(above if keys else F.broadcast(above), [*keys, "_above"])
+            path = [*keys, "_above", "_start", "_rank"]
+            counted = inside.groupBy(*path, prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_count"))
+        earlier = Window.partitionBy(*path).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("_start", F.col("_start") + F.coalesce(F.sum("_count").over(earlier), F.lit(0)))
+        last = F.col("_start") + F.col("_count") - 1
+        hit = counted.where((F.col("_start") <= F.ceil("_rank")) & (F.floor("_rank") <= last))
+        hits = settle(hit.select(*keys, "_prefix", "_start", "_rank", "_count"), "ranks")
+        most = hits.agg(F.max("_count")).first()[0] or 0
+        if most <= RANKED:
+            break
+    return hits.drop("_count"), fixed
 
 
 def exact_quantile(
@@ -45,39 +78,18 @@ def exact_quantile(
 ) -> DataFrame:
     """Interpolated quantile of the non-NULL values, one row per key.
 
-    Rows are counted by bin in the map tasks, so what is shuffled is bounded by
-    the bins. The histogram shows which bin holds the wanted rank; only rows of
-    that bin are counted by the slices of a second, finer cut, and only rows of
-    the slice that is hit are ranked, equal values counted first. Groups of any
-    size go this one way. Without keys the answer is a single row, NULL on empty
-    input. `df` is read three times and should be cheap to read.
+    The rows that hold the wanted ranks are found by `select_ranks`; of each key
+    at most 65,536 are then ranked, equal values counted first. Without keys the
+    answer is a single row, NULL on empty input. `df` is read once a pass and once
+    more, and should be cheap to read. Eager as far as the passes go.
     """
     keys = list(keys)
     v = F.col("_v")
-    rows = df.select(*keys, F.col(value).alias("_v")).where(v.isNotNull())
-    path, carried = keys, []
-    for step in ("_bin", "_slice"):
-        cut = magnitude_bin(v) if step == "_bin" else linear_slice(v, F.col("_low"), F.col("_high"))
-        rows = rows.withColumn(step, cut)
-        histogram = rows.groupBy(*path, step, *carried).agg(
-            F.count(F.lit(1)).alias("_count"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
-        )
-        whole = Window.partitionBy(*path)
-        earlier = whole.orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
-        below = F.coalesce(F.sum("_count").over(earlier), F.lit(0))
-        if carried:
-            histogram = histogram.withColumn("_start", F.col("_start") + below)
-        else:
-            rank = q * (F.sum("_count").over(whole) - 1)
-            histogram = histogram.select("*", below.alias("_start"), rank.alias("_rank"))
-        last = F.col("_start") + F.col("_count") - 1
-        # each key has at most two bins that hold its two ranks
-        hit = histogram.where((F.col("_start") <= F.ceil("_rank")) & (F.floor("_rank") <= last))
-        path = [*path, step]
-        hit = hit.select(*path, "_start", "_rank", "_low", "_high")
-        rows = rows.select(*path, "_v").join(hit if keys else F.broadcast(hit), path)
-        carried = ["_start", "_rank"]
-    values = rows.groupBy(*path, "_start", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.select(*keys, (F.col(value).cast("double") + 0.0).alias("_v")).where(v.isNotNull())
+    hits, fixed = select_ranks(rows, ordered_bits(v), keys, q * (F.col("_total") - 1))
+    path = [*keys, "_prefix"]
+    meant = rows.withColumn("_prefix", F.shiftright(ordered_bits(v), 64 - fixed)).join(hits if keys else F.broadcast(hits), path)
+    values = meant.groupBy(*path, "_start", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*path).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ends = (
         values.withColumn("_last", F.col("_start") + F.sum("_n").over(running) - 1)

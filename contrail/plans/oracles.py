@@ -541,12 +541,28 @@ ORACLES: dict[str, str] = {
       true AS class_follows_probability, true AS anomaly_follows_score, true AS one_in_twenty_is_odd
     FROM silver""",
     "onground_report": CLEANED
-    + """ SELECT CASE WHEN on_ground THEN 'on_ground' ELSE 'airborne' END AS class, count(*) AS support,
-      true AS proper_shares
-    FROM silver
-    WHERE CAST(concat('0x', substr(md5(concat_ws('|', '42', coalesce(icao24, ''), coalesce(CAST(time_position AS varchar), ''))), 1, 8)) AS bigint)
-      / 4294967296.0 < 0.2
-    GROUP BY 1""",
+    + """ SELECT CASE WHEN on_ground THEN 'on_ground' ELSE 'airborne' END AS class,
+      CAST(floor(count(*) * 0.2 + 0.5) AS bigint) AS support, true AS proper_shares
+    FROM silver GROUP BY 1""",
+    "planted_report": CLEANED
+    + """ SELECT CASE WHEN baro_altitude < 3000 AND velocity < 60 THEN 'on_ground' ELSE 'airborne' END AS class,
+      CAST(floor(count(*) * 0.2 + 0.5) AS bigint) AS support,
+      true AS high_precision, true AS high_recall, true AS high_f1
+    FROM silver WHERE velocity IS NOT NULL AND baro_altitude IS NOT NULL GROUP BY 1""",
+    "stratified_split": REPORTS
+    + """, numbered AS (
+      SELECT event_id, delivery, origin_country, count(*) OVER (PARTITION BY origin_country) AS total,
+        row_number() OVER (PARTITION BY origin_country ORDER BY substr(md5(concat_ws('|', '42',
+          CAST(event_id AS varchar), CAST(delivery AS varchar))), 1, 15)) AS nth
+      FROM reports)
+    SELECT event_id, delivery, origin_country,
+      CASE WHEN nth <= floor(total * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS side
+    FROM numbered""",
+    "exact_percentiles": REPORTS
+    + """, chosen AS (
+      SELECT on_ground, CASE WHEN event_id % 1000 = 0 THEN velocity * 1e12 ELSE 200 + velocity * 1e-9 END AS v FROM reports)
+    SELECT on_ground, quantile_cont(v, q.q) AS value, q.q
+    FROM chosen, (VALUES (CAST(0.05 AS double)), (0.5), (0.95)) q(q) GROUP BY on_ground, q.q""",
     "feature_importances": """ SELECT feature, true AS proper_share, true AS sum_is_one
     FROM (VALUES ('velocity'), ('baro_altitude'), ('vertical_rate'), ('true_track'), ('lat_bucket'),
       ('lon_bucket'), ('country_encoded')) t(feature)""",

@@ -19,8 +19,9 @@ from contrail.functions.columns import calendar_features, hour_start
 from contrail.operators import features, gold
 from contrail.operators.classifier import class_weights, classification_report, report_averages
 from contrail.operators.iforest import SIGNALS, IsolationForest
+from contrail.operators.quantiles import exact_quantile
 from contrail.operators.quality import QualityError, quality_report, validate
-from contrail.operators.sampling import sample_n, stratified_split
+from contrail.operators.sampling import key_split, sample_n, stratified_split
 from contrail.operators.silver import bronze_view, clean_silver, dedupe_latest, latest_first, to_silver
 from contrail.operators.upsert import upsert
 from contrail.plans import models, serving
@@ -593,11 +594,39 @@ def run_class_weights(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def train_test_split(spark: SparkSession, root: str) -> DataFrame:
-    train, test = stratified_split(event_reports(spark, root), ["event_id", "delivery"])
+    train, test = key_split(event_reports(spark, root), ["event_id", "delivery"])
     sides = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
     return sides.select("event_id", "delivery", "on_ground", "side")
 
 
+@query
+def run_stratified_split(spark: SparkSession, root: str) -> DataFrame:
+    """Which rows are held out when each class gives exactly a fifth; the country stands for the class."""
+    reports = event_reports(spark, root).select("event_id", "delivery", "origin_country")
+    train, test = stratified_split(reports, ["event_id", "delivery"], label="origin_country")
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+@query
+def exact_percentiles(spark: SparkSession, root: str) -> DataFrame:
+    """Quantiles of nearly equal values beside far ones, which no even cut of their range tells apart."""
+    reports = event_reports(spark, root)
+    near = 200 + F.col("velocity") * 1e-9
+    values = reports.select("on_ground", F.when(F.col("event_id") % 1000 == 0, F.col("velocity") * 1e12).otherwise(near).alias("v"))
+    parts = [exact_quantile(values, "v", q, ["on_ground"], "value").withColumn("q", F.lit(q)) for q in (0.05, 0.5, 0.95)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query
+def planted_report(spark: SparkSession, root: str) -> DataFrame:
+    """Held-out figures of a forest where the class follows from altitude and speed: it must find it."""
+    rows = silver(spark, root).where("velocity IS NOT NULL AND baro_altitude IS NOT NULL")
+    planted = rows.withColumn("on_ground", F.expr("baro_altitude < 3000 AND velocity < 60"))
+    matrix, encoder = features.engineer_features(settle(planted, "planted"))
+    report = models.train(matrix, encoder, trees=20)[1]
+    return report.select("class", "support", *[(F.col(c) > 0.95).alias(f"high_{c}") for c in ("precision", "recall", "f1")])
+
+
 @query
 def run_classification_report(spark: SparkSession, root: str) -> DataFrame:
     """Precision, recall and F1 of the rule predictions."""

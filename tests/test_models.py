@@ -106,6 +106,25 @@ def test_split_is_stable_and_stratified(silver):
         assert 0.1 < share < 0.3
 
 
+def test_each_class_gives_a_fifth_to_the_nearest_row(spark):
+    sizes = {"a": 1, "b": 2, "c": 3, "d": 13, "e": 1000, None: 7}
+    rows = [(c, i, i % 3) for c, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "label string, i int, extra int").repartition(5)
+    train, test = stratified_split(df, ["label", "i"])
+    assert {r.label: r["count"] for r in test.groupBy("label").count().collect()} == {c: k for c, n in sizes.items() if (k := int(n * 0.2 + 0.5))}
+    assert sorted(map(str, train.unionByName(test).collect())) == sorted(map(str, df.collect()))
+    again = stratified_split(df.repartition(2), ["label", "i"])[1]
+    assert set(map(tuple, again.collect())) == set(map(tuple, test.collect()))
+    assert set(map(tuple, stratified_split(df, ["label", "i"], seed=1)[1].collect())) != set(map(tuple, test.collect()))
+
+
+def test_repeated_keys_are_split_exactly(spark):
+    df = spark.createDataFrame([("a", 1, i) for i in range(10)] + [("b", 1, 0)] * 10, "label string, i int, extra int")
+    train, test = stratified_split(df, ["i"])
+    assert {r.label: r["count"] for r in test.groupBy("label").count().collect()} == {"a": 2, "b": 2} and train.count() == 16
+    assert stratified_split(df.where("false"), ["i"])[0].count() == 0
+
+
 def test_sample(silver):
     picked = {r.icao24 for r in sample_n(silver, 50, ["icao24"]).collect()}
     assert len(picked) == 50
