@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import numbered, ship, slices, utf8
+from contrail.llm.common import forget, numbered, ship, slices, utf8
 from contrail.session import discard, settle
 
 # Fixed value: a term is a run of letters, where everything beyond ASCII is one.
@@ -30,9 +30,9 @@ TOP_TERMS = 50
 #: Different (document, chunk) pairs from which a block is closed.
 BLOCK_ENTRIES = 2_000_000
 
-BLOCK_COLUMNS = ["block", "chunks", "langs", "sources", "doc_group", "doc_size", "low", "high", "counts"]
+BLOCK_COLUMNS = ["block", "chunks", "holders", "langs", "sources", "doc_group", "doc_size", "low", "high", "counts"]
 BLOCK = (
-    "block long, chunks array<string>, langs array<string>, sources array<string>, doc_group array<int>, doc_size array<int>,"
+    "block long, chunks array<string>, holders array<int>, langs array<string>, sources array<string>, doc_group array<int>, doc_size array<int>,"
     " low array<smallint>, high array<smallint>, counts array<int>"
 )
 TERM_ROWS = "lang string, term string, docs int, sources array<string>, n array<int>"
@@ -66,7 +66,8 @@ class _Block:
         steps = np.diff(ids, prepend=0).astype(np.int32).view(np.int16).reshape(-1, 2)
         whole = [pa.array(np.concatenate(x).astype(np.int32)) for x in (self.doc_group, self.doc_size, self.counts)]
         short = [pa.array(np.ascontiguousarray(steps[:, i])) for i in (0, 1)]
-        lists = [names, pa.array(langs, pa.string()), pa.array(sources, pa.string()), *whole[:2], *short, whole[2]]
+        holders = pa.array(np.bincount(ids, minlength=len(names)).astype(np.int32))
+        lists = [names, holders, pa.array(langs, pa.string()), pa.array(sources, pa.string()), *whole[:2], *short, whole[2]]
         arrays = [pa.array([number]), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists)]
         return pa.RecordBatch.from_arrays(arrays, BLOCK_COLUMNS)
 
@@ -95,47 +96,50 @@ def chunk_blocks(docs: DataFrame, entries: int = BLOCK_ENTRIES) -> DataFrame:
     return shaped.mapInArrow(count, BLOCK)
 
 
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """The rows of `chunks` whose `chunk` holds a term, with `terms` in its place.
+def chunk_terms(chunks: DataFrame, min_documents: int) -> DataFrame:
+    """`chunk`, `term` and how often it is in there (`k`); every distinct chunk is cut once.
 
-    Rows are dealt by chunk, and each distinct chunk is cut once, at the first of
-    its rows; the others take its terms over. A chunk has a row for each block at
-    most, so none is frequent.
+    Given `chunk` and `holders` (documents of a block that hold it). Terms that
+    cannot be in `min_documents` documents are left out: no more documents hold a
+    term than hold one of its chunks.
     """
-    same = Window.partitionBy("chunk").orderBy("of_block")
+    distinct = chunks.groupBy("chunk").agg(F.sum("holders").alias("holders"))
     cut = F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(TERM), F.lit(0))
-    once = chunks.withColumn("nth", F.row_number().over(same)).withColumn("own", F.when(F.col("nth") == 1, cut))
-    told = once.withColumn("terms", F.first("own", ignorenulls=True).over(same.rowsBetween(Window.unboundedPreceding, 0)))
-    return told.where(F.size("terms") > 0).drop("chunk", "nth", "own")
+    terms = distinct.select("chunk", "holders", cut.alias("terms")).where(F.size("terms") > 0)
+    each = terms.select("chunk", "holders", "terms", F.explode(F.array_distinct("terms")).alias("term"))
+    each = each.select("chunk", "holders", "term", F.expr("size(filter(terms, t -> t = term))").alias("k"))
+    at_most = F.sum("holders").over(Window.partitionBy("term"))
+    return each.withColumn("at_most", at_most).where(F.col("at_most") >= min_documents).select("chunk", "term", "k")
 
 
-def block_terms(blocks: DataFrame) -> DataFrame:
+def block_terms(blocks: DataFrame, terms: DataFrame) -> DataFrame:
     """`lang`, `term` of each block with `docs` that hold it, and the `sources` that do with their occurrences `n`."""
-    cut = chunk_terms(blocks.select(F.col("block").alias("of_block"), F.posexplode("chunks").alias("pos", "chunk")))
-    return blocks.drop("chunks").groupBy("block").cogroup(cut.groupBy("of_block")).applyInArrow(_block_terms, TERM_ROWS)
+    places = blocks.select(F.col("block").alias("of_block"), F.posexplode("chunks").alias("pos", "chunk"))
+    found = places.join(terms, "chunk").select("of_block", "pos", "term", "k")
+    return blocks.drop("chunks", "holders").groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(_block_terms, TERM_ROWS)
 
 
-def _block_terms(counted: pa.Table, cut: pa.Table) -> pa.Table:
+def _block_terms(counted: pa.Table, found: pa.Table) -> pa.Table:
     kinds = [pa.string(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32())]
     schema = pa.schema(list(zip(["lang", "term", "docs", "sources", "n"], kinds, strict=True)))
-    if not counted.num_rows or not cut.num_rows:
+    if not counted.num_rows or not found.num_rows:
         return schema.empty_table()
     column = {c: counted.column(c).combine_chunks().flatten() for c in counted.column_names if c != "block"}
     doc_group, doc_size, counts = (column[c].to_numpy() for c in ("doc_group", "doc_size", "counts"))
     ids = _chunk_numbers(column["low"], column["high"])
-    terms = cut.column("terms").combine_chunks()
-    spelled = terms.flatten().dictionary_encode()
-    codes, n_terms = spelled.indices.to_numpy(), len(spelled.dictionary)
-    lengths = terms.value_lengths().to_numpy()
-    size, first = (np.zeros(int(ids.max(initial=0)) + 1, dtype=np.int64) for _ in range(2))
-    pos = cut.column("pos").to_numpy()
-    size[pos], first[pos] = lengths, np.cumsum(lengths) - lengths
+    spelled = found.column("term").combine_chunks().dictionary_encode()
+    pos = found.column("pos").to_numpy()
+    order = np.argsort(pos, kind="stable")  # the terms of a chunk stand together
+    codes, times, n_terms = spelled.indices.to_numpy()[order], found.column("k").to_numpy()[order], len(spelled.dictionary)
+    size = np.bincount(pos, minlength=int(ids.max(initial=0)) + 1)
+    first = np.cumsum(size) - size
     each = size[ids]
     ends = np.cumsum(each)
-    term = codes[np.repeat(first[ids] - ends + each, each) + np.arange(each.sum())]
+    at = np.repeat(first[ids] - ends + each, each) + np.arange(each.sum())
+    term, n = codes[at], np.repeat(counts, each).astype(np.int64) * times[at]
     doc = np.repeat(np.repeat(np.arange(len(doc_size)), doc_size), each)
     # a document counts once for a term, however many of its chunks hold the term
-    key, n = _added(doc * n_terms + term, np.repeat(counts, each))
+    key, n = _added(doc * n_terms + term, n)
     group, term = doc_group[key // n_terms].astype(np.int64), key % n_terms
     langs, sources = column["langs"].to_pylist(), column["sources"].to_pylist()
     names = sorted(set(langs))
@@ -164,8 +168,11 @@ def _added(key: np.ndarray, n: np.ndarray, count: bool = False) -> tuple[np.ndar
 def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """Two settled tables: `lang`, `term`, `total`, `of` (source, n) of the kept terms, and every (`lang`, `source`)."""
     blocks = settle(chunk_blocks(docs), "chunk-blocks", compression="zstd")
+    held = blocks.select(F.explode(F.arrays_zip("chunks", "holders")).alias("c")).select(F.col("c.chunks").alias("chunk"), "c.holders")
+    terms = settle(chunk_terms(held, min_documents), "chunk-terms", compression="zstd")
+    forget(docs.sparkSession)
     # dealt by term once; both groupings and the choice of terms follow that dealing
-    dealt = block_terms(blocks).repartition("lang", "term")
+    dealt = block_terms(blocks, terms).repartition("lang", "term")
     each = dealt.select("lang", "term", "docs", F.posexplode(F.arrays_zip("sources", "n")).alias("at", "o"))
     by_source = each.groupBy("lang", "term", F.col("o.sources").alias("source")).agg(
         F.sum("o.n").alias("n"), F.sum(F.when(F.col("at") == 0, F.col("docs"))).alias("docs")
@@ -176,7 +183,8 @@ def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[Da
     kept = settle(by_term.where(F.col("docs") >= min_documents).drop("docs"), "kept-terms")
     groups = blocks.select(F.explode(F.arrays_zip("langs", "sources")).alias("g")).select("g.langs", "g.sources").toDF("lang", "source")
     groups = settle(groups.distinct(), "groups")
-    discard(blocks)
+    for done in (blocks, terms):
+        discard(done)
     return kept, groups
 
 

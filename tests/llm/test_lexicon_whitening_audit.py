@@ -233,8 +233,8 @@ def test_divergence_of_odd_tables(spark):
     assert {tuple(x) for x in got.collect()} == {("en", "s", "pair", "t", 0, 1), ("en", "t", "pair", "s", 0, 1)}
 
 
-def test_every_row_of_a_chunk_gets_its_terms(spark):
-    rows = [(1, 0, "a,B"), (2, 5, "a,B"), (2, 6, "12"), (3, 1, "é-É")]
-    chunks = spark.createDataFrame(rows, "of_block long, pos int, chunk string")
-    got = {(x.of_block, x.pos, *x.terms) for x in source_audit.chunk_terms(chunks).collect()}
-    assert got == {(1, 0, "a", "b"), (2, 5, "a", "b"), (3, 1, "é", "É")}
+def test_chunks_are_cut_once_and_hopeless_terms_left_out(spark):
+    rows = [("a,B", 2), ("a,B", 1), ("12", 9), ("é-É", 3), ("b-b", 1), ("c", 3), ("c!", 1), ("d", 3)]
+    chunks = spark.createDataFrame(rows, "chunk string, holders int")
+    got = {(x.chunk, x.term, x.k) for x in source_audit.chunk_terms(chunks, 4).collect()}
+    assert got == {("a,B", "b", 1), ("b-b", "b", 2), ("c", "c", 1), ("c!", "c", 1)}
