@@ -14,30 +14,38 @@ BITS = 16
 RANKED = 65_536
 
 
-def ordered_bits(value: Column) -> Column:
-    """A 64-bit whole number for each double, in the order of the doubles; NaN comes last.
+def with_ordered_bits(df: DataFrame, value: str, name: str = "_bits") -> DataFrame:
+    """Add a 64-bit whole number for each double, in the order of the doubles; NaN comes last.
 
     The number is that of the double's own bits: its power of two above, its
     fraction below. Both follow from arithmetic that loses nothing, as only powers
-    of two are multiplied and divided by. Zeros of either sign are one.
+    of two are multiplied and divided by. Zeros of either sign are one. Each step
+    is a column of its own, so none is written out twice in generated code.
     """
-    size = F.abs(value)
-    near = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023))
-    power = F.when((size < F.pow(F.lit(2.0), near)) & (near > -1022), near - 1).otherwise(near)  # log2 may be rounded
-    power = F.when((power < 1023) & (size / F.pow(F.lit(2.0), power) >= 2), power + 1).otherwise(power)
-    share = size / F.pow(F.lit(2.0), power)  # 1 to 2, below 1 for the least doubles of all
+    v, size, power, unit = (F.col(c) for c in (value, "_size", "_power", "_unit"))
     whole = 2**52
+    steps = df.withColumn("_size", F.abs(v))
+    steps = steps.withColumn("_power", F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023)))
+    steps = steps.withColumn("_unit", F.pow(F.lit(2.0), power))
+    below, above = (size < unit) & (power > -1022), (size / unit >= 2) & (power < 1023)  # log2 may be rounded
+    moved = F.when(below, -1).when(above, 1).otherwise(0)
+    steps = steps.withColumn("_moved", moved)
+    share = size / (unit * F.when(F.col("_moved") == 0, 1.0).when(F.col("_moved") > 0, 2.0).otherwise(0.5))
     number = (
-        F.when(F.isnan(value), F.lit(2**63 - 1))
+        F.when(F.isnan(v), F.lit(2**63 - 1))
         .when(size == float("inf"), F.lit(2047 * whole))
         .when(size == 0, F.lit(0).cast("bigint"))
-        .otherwise((power + 1022) * F.lit(whole) + (share * float(whole)).cast("bigint"))
+        # the share is 1 to 2, below 1 for the least doubles of all
+        .otherwise((power + F.col("_moved") + 1022) * F.lit(whole) + (share * float(whole)).cast("bigint"))
     )
-    return F.when(value < 0, -number).otherwise(number).cast("bigint")
+    steps = steps.withColumn("_number", number)
+    signed = F.when(v < 0, -F.col("_number")).otherwise(F.col("_number")).cast("bigint")
+    # never NULL, so that a join on it adds no filter, which would be pushed below the steps and write them all out
+    return steps.withColumn(name, F.coalesce(signed, F.lit(0).cast("bigint"))).drop("_size", "_power", "_unit", "_moved", "_number")
 
 
-def select_ranks(rows: DataFrame, bits: Column, keys: Sequence[str], rank: Column) -> tuple[DataFrame, int]:
-    """Which rows hold a rank: for every key at most two ranges of `bits`, none of more than `RANKED` rows or one value.
+def select_ranks(rows: DataFrame, keys: Sequence[str], rank: Column) -> tuple[DataFrame, int]:
+    """Which rows hold a rank: for every key at most two ranges of `_bits`, none of more than `RANKED` rows or one value.
 
     `rank` is an expression over `_total`, the rows of the key; the rows at its
     floor and its ceiling are looked for. Each pass counts rows in the map tasks
@@ -48,7 +56,7 @@ def select_ranks(rows: DataFrame, bits: Column, keys: Sequence[str], rank: Colum
     `rows` is read once a pass.
     """
     keys, hits = list(keys), None
-    numbered = rows.select(*keys, bits.alias("_bits"))
+    numbered = rows.select(*keys, "_bits")
     for fixed in range(BITS, 65, BITS):
         prefix = F.shiftright("_bits", 64 - fixed)
         if hits is None:
@@ -85,10 +93,10 @@ def exact_quantile(
     """
     keys = list(keys)
     v = F.col("_v")
-    rows = df.select(*keys, (F.col(value).cast("double") + 0.0).alias("_v")).where(v.isNotNull())
-    hits, fixed = select_ranks(rows, ordered_bits(v), keys, q * (F.col("_total") - 1))
+    rows = with_ordered_bits(df.select(*keys, (F.col(value).cast("double") + 0.0).alias("_v")).where(v.isNotNull()), "_v")
+    hits, fixed = select_ranks(rows, keys, q * (F.col("_total") - 1))
     path = [*keys, "_prefix"]
-    meant = rows.withColumn("_prefix", F.shiftright(ordered_bits(v), 64 - fixed)).join(hits if keys else F.broadcast(hits), path)
+    meant = rows.withColumn("_prefix", F.shiftright("_bits", 64 - fixed)).join(hits if keys else F.broadcast(hits), path)
     values = meant.groupBy(*path, "_start", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*path).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ends = (

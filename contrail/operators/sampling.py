@@ -40,8 +40,8 @@ def key_split(
 
 
 def key_number(keys: Sequence[str], seed: int) -> Column:
-    """60 bits of the key digest, as a whole number."""
-    return F.conv(F.substring(key_digest(keys, seed), 1, 15), 16, 10).cast("bigint")
+    """60 bits of the key digest, as a whole number; never NULL, so that a join on it adds no filter."""
+    return F.coalesce(F.conv(F.substring(key_digest(keys, seed), 1, 15), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def stratified_split(
@@ -62,7 +62,7 @@ def stratified_split(
     classes = df.select(F.col(label).cast("string").alias("_class"), number.alias("_number"))
     classes = classes.withColumn("_class", F.coalesce("_class", F.lit("")))
     wanted = F.floor(F.col("_total") * F.lit(test_size) + 0.5)
-    hits, fixed = select_ranks(classes, F.col("_number"), ["_class"], F.greatest(wanted - 1, F.lit(0)).cast("double"))
+    hits, fixed = select_ranks(classes.withColumn("_bits", F.col("_number")), ["_class"], F.greatest(wanted - 1, F.lit(0)).cast("double"))
     numbered = classes.withColumn("_prefix", F.shiftright("_number", 64 - fixed))
     inside = numbered.join(hits, ["_class", "_prefix"]).groupBy("_class", "_start", "_rank", "_number").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy("_class").orderBy("_number").rowsBetween(Window.unboundedPreceding, -1)

@@ -561,8 +561,9 @@ ORACLES: dict[str, str] = {
     "exact_percentiles": REPORTS
     + """, chosen AS (
       SELECT on_ground, CASE WHEN event_id % 1000 = 0 THEN velocity * 1e12 ELSE 200 + velocity * 1e-9 END AS v FROM reports)
-    SELECT on_ground, quantile_cont(v, q.q) AS value, q.q
-    FROM chosen, (VALUES (CAST(0.05 AS double)), (0.5), (0.95)) q(q) GROUP BY on_ground, q.q""",
+    SELECT on_ground, round(quantile_cont(v, 0.05), 12) AS value, CAST(0.05 AS double) AS q FROM chosen GROUP BY 1
+    UNION ALL SELECT on_ground, round(quantile_cont(v, 0.5), 12), 0.5 FROM chosen GROUP BY 1
+    UNION ALL SELECT on_ground, round(quantile_cont(v, 0.95), 12), 0.95 FROM chosen GROUP BY 1""",
     "feature_importances": """ SELECT feature, true AS proper_share, true AS sum_is_one
     FROM (VALUES ('velocity'), ('baro_altitude'), ('vertical_rate'), ('true_track'), ('lat_bucket'),
       ('lon_bucket'), ('country_encoded')) t(feature)""",

@@ -614,7 +614,7 @@ def exact_percentiles(spark: SparkSession, root: str) -> DataFrame:
     near = 200 + F.col("velocity") * 1e-9
     values = reports.select("on_ground", F.when(F.col("event_id") % 1000 == 0, F.col("velocity") * 1e12).otherwise(near).alias("v"))
     parts = [exact_quantile(values, "v", q, ["on_ground"], "value").withColumn("q", F.lit(q)) for q in (0.05, 0.5, 0.95)]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts).withColumn("value", F.round("value", 12))
 
 
 @query

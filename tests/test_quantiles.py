@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail.operators import quantiles
-from contrail.operators.quantiles import RANKED, exact_quantile, ordered_bits, select_ranks
+from contrail.operators.quantiles import RANKED, exact_quantile, select_ranks, with_ordered_bits
 
 
 @pytest.mark.parametrize("q", [0.05, 0.5, 0.9])
@@ -32,7 +32,7 @@ def test_a_million_distinct_values_under_one_key(spark):
     got = exact_quantile(df, "v", 0.5, ["k"])
     expected = df.agg(F.percentile("v", 0.5)).first()[0]
     assert got.first().median == pytest.approx(expected, rel=1e-12)
-    hits, _ = select_ranks(df, ordered_bits(F.col("v")), ["k"], 0.5 * (F.col("_total") - 1))
+    hits, _ = select_ranks(with_ordered_bits(df, "v"), ["k"], 0.5 * (F.col("_total") - 1))
     assert hits.count() <= 2 and hits.columns == ["k", "_prefix", "_start", "_rank"]
 
 
@@ -53,8 +53,9 @@ def test_no_distribution_leaves_many_rows_to_rank(spark):
     near = spark.range(n).select((F.lit(1.0) + F.col("id") * F.lit(2.0**-53 * 2)).alias("v"))
     df = near.unionByName(spark.range(1).select(F.lit(1e300).alias("v")))
     rank = 0.5 * (F.col("_total") - 1)
-    hits, fixed = select_ranks(df, ordered_bits(F.col("v")), [], rank)
-    left = df.select(F.shiftright(ordered_bits(F.col("v")), 64 - fixed).alias("_prefix")).join(F.broadcast(hits), "_prefix")
+    df = with_ordered_bits(df, "v")
+    hits, fixed = select_ranks(df, [], rank)
+    left = df.select(F.shiftright("_bits", 64 - fixed).alias("_prefix")).join(F.broadcast(hits), "_prefix")
     assert 0 < left.count() <= 2 * RANKED
     assert exact_quantile(df, "v").first().median == 1.0 + (n / 2) * 2.0**-52
 
@@ -72,8 +73,9 @@ def test_bits_are_those_of_the_doubles(spark):
     values = values[np.isfinite(values)]
     values = np.concatenate([values, -values, [np.inf, -np.inf]])
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    got = {r.v: r.b for r in df.select("v", ordered_bits(F.col("v")).alias("b")).collect()}
+    got = {r.v: r.b for r in with_ordered_bits(df, "v", "b").collect()}
     for v, b in got.items():
         assert b == np.sign(v) * np.float64(abs(v)).view(np.int64)
-    last = spark.createDataFrame([(float("nan"),)], "v double").select(ordered_bits(F.col("v")).alias("b")).first().b
+    last = spark.createDataFrame([(float("nan"),)], "v double")
+    last = with_ordered_bits(last, "v", "b").first().b
     assert last > max(got.values())
