@@ -35,7 +35,7 @@ BLOCK = (
     "block long, chunks array<string>, holders array<int>, langs array<string>, sources array<string>, doc_group array<int>, doc_size array<int>,"
     " low array<smallint>, high array<smallint>, counts array<int>"
 )
-TERM_ROWS = "lang string, term string, docs int, sources array<string>, n array<int>"
+TERM_ROWS = "lang string, term string, docs int, at array<int>, n array<int>"
 
 
 class _Block:
@@ -112,16 +112,27 @@ def chunk_terms(chunks: DataFrame, min_documents: int) -> DataFrame:
     return each.withColumn("at_most", at_most).where(F.col("at_most") >= min_documents).select("chunk", "term", "k")
 
 
-def block_terms(blocks: DataFrame, terms: DataFrame) -> DataFrame:
-    """`lang`, `term` of each block with `docs` that hold it, and the `sources` that do with their occurrences `n`."""
-    places = blocks.select(F.col("block").alias("of_block"), F.posexplode("chunks").alias("pos", "chunk"))
-    found = places.join(terms, "chunk").select("of_block", "pos", "term", "k")
-    return blocks.drop("chunks", "holders").groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(_block_terms, TERM_ROWS)
+def source_places(blocks: DataFrame) -> DataFrame:
+    """`lang`, `source` and `at`, the place of the source among those of its language, for every group of documents."""
+    groups = blocks.select(F.explode(F.arrays_zip("langs", "sources")).alias("g")).select(F.col("g.langs").alias("lang"), F.col("g.sources").alias("source"))
+    order = Window.partitionBy("lang").orderBy("source")
+    return groups.distinct().withColumn("at", F.row_number().over(order) - 1)
+
+
+def block_terms(blocks: DataFrame, terms: DataFrame, places: DataFrame) -> DataFrame:
+    """`lang`, `term` of each block with `docs` that hold it, and the places `at` of the sources that do with their occurrences `n`."""
+    chunks = blocks.select(F.col("block").alias("of_block"), F.posexplode("chunks").alias("pos", "chunk"))
+    found = chunks.join(terms, "chunk").select("of_block", "pos", "term", "k")
+    groups = blocks.select("block", F.posexplode(F.arrays_zip("langs", "sources")).alias("nth", "g"))
+    groups = groups.select("block", "nth", F.col("g.langs").alias("lang"), F.col("g.sources").alias("source")).join(places, ["lang", "source"])
+    numbered = groups.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("nth", "at"))).alias("groups"))
+    counted = blocks.drop("chunks", "holders", "sources").join(numbered.select("block", F.col("groups.at").alias("places")), "block")
+    return counted.groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(_block_terms, TERM_ROWS)
 
 
 def _block_terms(counted: pa.Table, found: pa.Table) -> pa.Table:
-    kinds = [pa.string(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32())]
-    schema = pa.schema(list(zip(["lang", "term", "docs", "sources", "n"], kinds, strict=True)))
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    schema = pa.schema(list(zip(["lang", "term", "docs", "at", "n"], kinds, strict=True)))
     if not counted.num_rows or not found.num_rows:
         return schema.empty_table()
     column = {c: counted.column(c).combine_chunks().flatten() for c in counted.column_names if c != "block"}
@@ -141,7 +152,7 @@ def _block_terms(counted: pa.Table, found: pa.Table) -> pa.Table:
     # a document counts once for a term, however many of its chunks hold the term
     key, n = _added(doc * n_terms + term, n)
     group, term = doc_group[key // n_terms].astype(np.int64), key % n_terms
-    langs, sources = column["langs"].to_pylist(), column["sources"].to_pylist()
+    langs, places = column["langs"].to_pylist(), column["places"].to_numpy().astype(np.int32)
     names = sorted(set(langs))
     lang_of = np.asarray([names.index(x) for x in langs], dtype=np.int64)
     key, n, docs = _added((lang_of[group] * n_terms + term) * len(langs) + group, n, count=True)
@@ -151,7 +162,7 @@ def _block_terms(counted: pa.Table, found: pa.Table) -> pa.Table:
         pa.array(names, pa.string()).take(pa.array(row // n_terms)),
         spelled.dictionary.take(pa.array(row % n_terms)),
         pa.array(np.add.reduceat(docs, starts) if len(docs) else docs, pa.int32()),
-        pa.ListArray.from_arrays(offsets, pa.array(sources, pa.string()).take(pa.array(key % len(langs)))),
+        pa.ListArray.from_arrays(offsets, pa.array(places[key % len(langs)])),
         pa.ListArray.from_arrays(offsets, pa.array(n, pa.int32())),
     ]
     return pa.Table.from_arrays(columns, schema=schema)
@@ -166,26 +177,25 @@ def _added(key: np.ndarray, n: np.ndarray, count: bool = False) -> tuple[np.ndar
 
 
 def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
-    """Two settled tables: `lang`, `term`, `total`, `of` (source, n) of the kept terms, and every (`lang`, `source`)."""
+    """Two settled tables: `lang`, `term`, `total`, `of` (at, n) of the kept terms, and `source_places`."""
     blocks = settle(chunk_blocks(docs), "chunk-blocks", compression="zstd")
+    places = settle(source_places(blocks), "source-places")
     held = blocks.select(F.explode(F.arrays_zip("chunks", "holders")).alias("c")).select(F.col("c.chunks").alias("chunk"), "c.holders")
     terms = settle(chunk_terms(held, min_documents), "chunk-terms", compression="zstd")
     forget(docs.sparkSession)
     # dealt by term once; both groupings and the choice of terms follow that dealing
-    dealt = block_terms(blocks, terms).repartition("lang", "term")
-    each = dealt.select("lang", "term", "docs", F.posexplode(F.arrays_zip("sources", "n")).alias("at", "o"))
-    by_source = each.groupBy("lang", "term", F.col("o.sources").alias("source")).agg(
-        F.sum("o.n").alias("n"), F.sum(F.when(F.col("at") == 0, F.col("docs"))).alias("docs")
+    dealt = block_terms(blocks, terms, places).repartition("lang", "term")
+    each = dealt.select("lang", "term", "docs", F.posexplode(F.arrays_zip("at", "n")).alias("nth", "o"))
+    by_source = each.groupBy("lang", "term", F.col("o.at").alias("at")).agg(
+        F.sum("o.n").alias("n"), F.sum(F.when(F.col("nth") == 0, F.col("docs"))).alias("docs")
     )
     by_term = by_source.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("of")
+        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("at", "n")).alias("of")
     )
     kept = settle(by_term.where(F.col("docs") >= min_documents).drop("docs"), "kept-terms")
-    groups = blocks.select(F.explode(F.arrays_zip("langs", "sources")).alias("g")).select("g.langs", "g.sources").toDF("lang", "source")
-    groups = settle(groups.distinct(), "groups")
     for done in (blocks, terms):
         discard(done)
-    return kept, groups
+    return kept, places
 
 
 def _share(count: str, n: str, v: str) -> str:
@@ -209,30 +219,29 @@ def source_divergence(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top_t
     rows, a source that is alone in its language no pairs. Other columns are not
     read. Eager: the terms are counted when called.
     """
-    kept, groups = term_counts(docs, min_documents)
-    used = kept.select("lang", "term", "total", F.explode("of").alias("o")).select("lang", "term", "total", "o.source", "o.n")
-    sizes = used.groupBy("lang", "source").agg(F.sum("n").alias("n_group"))
+    kept, places = term_counts(docs, min_documents)
+    used = kept.select("lang", "term", "total", F.explode("of").alias("o")).select("lang", "term", "total", "o.at", "o.n")
+    sizes = used.groupBy("lang", "at").agg(F.sum("n").alias("n_group"))
     langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("n_lang"))
-    named = groups.join(sizes, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0)
+    named = places.join(sizes, ["lang", "at"], "left").join(langs, "lang", "left").na.fill(0)
     named = settle(named, "source-sizes")
     return _pairs(kept, named).unionByName(_terms(used, named, top_terms))
 
 
 def _terms(used: DataFrame, named: DataFrame, top: int) -> DataFrame:
-    shares = used.join(named, ["lang", "source"]).withColumns({"p": F.expr(_share("n", "n_group", "v")), "q": F.expr(_share("total", "n_lang", "v"))})
+    shares = used.join(named, ["lang", "at"]).withColumns({"p": F.expr(_share("n", "n_group", "v")), "q": F.expr(_share("total", "n_lang", "v"))})
     found = shares.where("n > 0 and p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
     return _ranked(found).where(F.col("rank") <= top)
 
 
 def _pairs(kept: DataFrame, named: DataFrame) -> DataFrame:
-    each = named.groupBy("lang", "v").agg(F.array_sort(F.collect_list(F.struct("source", "n_group"))).alias("sources"))
+    each = named.groupBy("lang", "v").agg(F.array_sort(F.collect_list(F.struct("at", "n_group"))).alias("sizes"))
     counts = kept.select("lang", F.map_from_entries("of").alias("of")).join(each, "lang")
-    share = _share("coalesce(try_element_at(of, s.source), 0)", "s.n_group", "v")
-    values = counts.select("lang", F.expr(f"transform(sources, s -> {share})").alias("p"))
+    share = _share("coalesce(try_element_at(of, s.at), 0)", "s.n_group", "v")
+    values = counts.select("lang", F.expr(f"transform(sizes, s -> {share})").alias("p"))
     apart = values.mapInArrow(_differences, "lang string, a int, b int, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
-    places = each.select("lang", F.posexplode("sources").alias("at", "s")).select("lang", "at", "s.source")
-    left = places.select("lang", F.col("at").alias("a"), "source")
-    right = places.select("lang", F.col("at").alias("b"), F.col("source").alias("item"))
+    left = named.select("lang", F.col("at").alias("a"), "source")
+    right = named.select("lang", F.col("at").alias("b"), F.col("source").alias("item"))
     every = left.join(right, "lang").where("a <> b")
     summed = every.join(apart, ["lang", "a", "b"], "left")
     return _ranked(summed.select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0).cast("long")).alias("value")))
