@@ -526,6 +526,27 @@ ORACLES: dict[str, str] = {
       SELECT 'begun' AS moment, * FROM totals WHERE delivery = 0
       UNION ALL SELECT 'restored', * FROM totals WHERE delivery = 0
       UNION ALL SELECT 'loaded', * FROM merged) x""",
+    "flight_sessions": REPORTS
+    + """, marked AS (
+      SELECT *, CASE WHEN date_diff('second', lag(time_position) OVER w, time_position) <= 3600 THEN 0 ELSE 1 END AS begins
+      FROM reports WHERE time_position IS NOT NULL WINDOW w AS (PARTITION BY icao24 ORDER BY time_position)),
+    numbered AS (
+      SELECT *, sum(begins) OVER (PARTITION BY icao24 ORDER BY time_position RANGE UNBOUNDED PRECEDING) AS session FROM marked)
+    SELECT icao24, min(time_position) AS first_seen, max(time_position) AS last_seen, count(*) AS reports,
+      max(velocity) AS max_velocity
+    FROM numbered GROUP BY icao24, session""",
+    "watermarked_totals": REPORTS
+    + f""", timed AS (
+      SELECT *, event_id % 7 = 0 AS late, date_trunc('hour', time_position) AS window_start
+      FROM reports WHERE delivery = 0 AND time_position IS NOT NULL),
+    marks AS (
+      SELECT max(CASE WHEN NOT late THEN time_position END) - INTERVAL '2' DAY AS before_late,
+        max(time_position) - INTERVAL '2' DAY AS at_end FROM timed)
+    SELECT window_start, origin_country, count(*) AS total_flights, count(velocity) AS known_velocities,
+      {r6('avg(velocity)', 'avg_velocity')}, CAST(sum(CASE WHEN on_ground THEN 1 ELSE 0 END) AS bigint) AS on_ground
+    FROM timed, marks
+    WHERE (NOT late OR window_start + INTERVAL '1' HOUR > before_late) AND window_start + INTERVAL '1' HOUR <= at_end
+    GROUP BY 1, 2""",
     "gated_silver": REPORTS
     + """ SELECT icao24, count(*) AS reports, min(time_position) AS first_seen, max(time_position) AS last_seen
     FROM (SELECT DISTINCT icao24, time_position FROM reports WHERE delivery = 0) x GROUP BY 1""",

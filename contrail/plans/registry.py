@@ -42,11 +42,12 @@ from contrail.schemas import (
     SILVER,
 )
 from contrail.session import scratch_path, settle
-from contrail.sources import tables
+from contrail.sources import tables, versions
 from contrail.sources.derived import EVENTS_PER_DOCUMENT, raw_documents, rule_predictions, valid_reports
 from contrail.sources.events import event_reports
 from contrail.sources.files import read_silver_dir, write_layer
 from contrail.streaming.ingest import ingest_stream, stream_documents
+from contrail.streaming.windows import flight_sessions, store_closed, stream_reports, windowed_totals
 
 NOW = datetime(2024, 1, 31)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -550,6 +551,25 @@ def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
     return tables.read_table(spark, home, "silver_flights").select(*SILVER.names)
 
 
+@query
+def run_flight_sessions(spark: SparkSession, root: str) -> DataFrame:
+    """Sessions of each aircraft, split where more than an hour passes between reports."""
+    return flight_sessions(event_reports(spark, root))
+
+
+@query
+def watermarked_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Closed hourly totals of a stream whose last arrivals are late: some still count, some come after the watermark."""
+    home = scratch_path(spark, "watermark")
+    reports = event_reports(spark, root).where("delivery = 0").select("event_id", "icao24", "origin_country", "time_position", "velocity", "on_ground")
+    late, early = F.col("event_id") % 7 == 0, F.col("time_position") < F.lit(datetime(2024, 1, 10)).cast("timestamp_ntz")
+    for arriving in (~late & early, ~late & ~early, late):
+        reports.where(arriving).write.mode("append").parquet(f"{home}/incoming")
+        totals = windowed_totals(stream_reports(spark, f"{home}/incoming", reports), delay="2 days")
+        store_closed(totals, f"{home}/closed", f"{home}/progress").awaitTermination()
+    return rounded(versions.read(spark, f"{home}/closed").drop("ingestion_batch"), "avg_velocity")
+
+
 # Models -------------------------------------------------------------------------
 
 

@@ -26,6 +26,7 @@ def build_session(app: str = "contrail", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
         **conf,
     }
     for key, value in settings.items():
