@@ -258,6 +258,9 @@ SILVER_FILE = f"""icao24, origin_country, latitude, longitude, {EPOCHS}, velocit
 
 PLACED_VALID = "latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND time_position IS NOT NULL"
 
+FLAGGED = REPORTS.replace("reports AS (", "every AS (") + """,
+reports AS (SELECT * FROM every WHERE event_id % 19 <> 0)"""
+
 KEEPS_RULES = """coalesce(latitude BETWEEN -90 AND 90, true) AND coalesce(longitude BETWEEN -180 AND 180, true)
   AND coalesce(velocity >= 0, true) AND (latitude IS NULL OR longitude IS NULL OR time_position IS NOT NULL)"""
 
@@ -634,6 +637,12 @@ ORACLES: dict[str, str] = {
     FROM classes""",
 }
 
+ORACLES["landed_batch"] = f"""WITH silver AS ({ORACLES["stream_ingest"]})
+SELECT 'landed' AS part, * FROM silver UNION ALL SELECT 'silver', * FROM silver"""
+ORACLES["silver_file"] = ORACLES["flatten_states"]
+ORACLES["prediction_files"] = PREDICTIONS + f" SELECT {PREDICTION_COLUMNS} FROM predictions"
+ORACLES["flagged_features"] = ORACLES["feature_matrix"].replace(REPORTS, FLAGGED)
+
 ORACLES["report_averages"] = f"""WITH report AS ({ORACLES["classification_report"]}),
 means AS (
   SELECT sum(recall * support) / sum(support) AS accuracy, avg(precision) AS mp, avg(recall) AS mr, avg(f1) AS mf,

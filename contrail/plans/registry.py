@@ -33,6 +33,7 @@ from contrail.plans.pipeline import (
     refresh_arrived,
     refresh_models,
     release_batch,
+    run_batch,
 )
 from contrail.schemas import (
     COUNTRY_TOTALS_KEYS,
@@ -45,7 +46,7 @@ from contrail.session import scratch_path, settle
 from contrail.sources import tables, versions
 from contrail.sources.derived import EVENTS_PER_DOCUMENT, raw_documents, rule_predictions, valid_reports
 from contrail.sources.events import event_reports
-from contrail.sources.files import read_silver_dir, write_layer
+from contrail.sources.files import read_bronze_json, read_predictions, read_silver, read_silver_dir, write_layer
 from contrail.streaming.ingest import ingest_stream, stream_documents
 from contrail.streaming.windows import flight_sessions, store_closed, stream_reports, windowed_totals
 
@@ -540,6 +541,43 @@ def silver_folder(spark: SparkSession, root: str) -> DataFrame:
     return read.select(*SILVER.names)
 
 
+@query
+def landed_batch(spark: SparkSession, root: str) -> DataFrame:
+    """Silver rows of raw files that were landed, read back and run as one batch, twice."""
+    home = scratch_path(spark, "landed")
+    documents = raw_documents(valid_reports(event_reports(spark, root)))
+    documents.select("raw_data").write.option("maxRecordsPerFile", 1).text(f"{home}/incoming")
+    for _ in range(2):
+        run_batch(spark, f"{home}/incoming", home, "batch", now=NOW)
+    landed = to_silver(read_bronze_json(spark, f"{home}/landing/ingestion_batch=batch"))
+    stored = tables.read_table(spark, home, "silver_flights")
+    names = SILVER.names
+    return landed.select(F.lit("landed").alias("part"), *names).unionByName(stored.select(F.lit("silver").alias("part"), *names))
+
+
+@query
+def silver_file(spark: SparkSession, root: str) -> DataFrame:
+    """Silver written as one CSV layer and read back by its header."""
+    rows = to_silver(raw_documents(event_reports(spark, root))).select(*SILVER.names)
+    return read_silver(spark, write_layer(rows, f"{scratch_path(spark, 'silver-file')}/flight_silver.csv"))
+
+
+@query
+def prediction_files(spark: SparkSession, root: str) -> DataFrame:
+    """Predictions written as CSV with windows two hours ahead of UTC, read back and prepared for their table."""
+    ahead = F.date_format(F.col("window_start") + F.expr("INTERVAL '2' HOUR"), "yyyy-MM-dd'T'HH:mm:ss'+02:00'")
+    rows = _predictions(spark, root).withColumn("window_start", ahead)
+    read = read_predictions(spark, write_layer(rows, f"{scratch_path(spark, 'predictions')}/ml_predictions.csv"))
+    return tables.prepare_predictions(read)
+
+
+@query
+def flagged_features(spark: SparkSession, root: str) -> DataFrame:
+    """Feature rows when some reports lack the ground flag: these are left out, before medians and codes are taken."""
+    reports = event_reports(spark, root).withColumn("on_ground", F.when(F.col("event_id") % 19 != 0, F.col("on_ground")))
+    return features.engineer_features(reports, ids=["event_id", "delivery"])[0].drop("meta")
+
+
 @query
 def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
     """Silver rows after a file stream of raw documents ran through the batch flow."""

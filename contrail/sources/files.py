@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import csv
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from contrail.functions.columns import to_boolean
 from contrail.operators.silver import coerce_numeric
@@ -45,28 +42,37 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 def read_silver_dir(spark: SparkSession, path: str, pattern: str = "flight_silver_*.csv") -> DataFrame:
     """All silver CSVs of a folder, united by column name; unreadable files are passed over.
 
-    The first line of each file is found by a scan; files with the same header
-    are read together, with the columns it names. Columns that a file lacks are
-    NULL, columns that no file has are absent, unknown ones are left out. Eager
-    as far as the headers go. No readable file raises `ValueError`.
+    One scan finds the first line of each file, another reads all rows, however
+    many headers there are: each line meets the header of its file (a table of a
+    row a file, whose real size decides how they are joined), is cut into fields,
+    and gives every column the field that stands where its name does. Columns
+    that a file lacks are NULL, columns that no file has are absent, unknown ones
+    are left out. Eager as far as the headers go. No readable file raises
+    `ValueError`.
     """
     if "*" not in path:
         _require(prepare(spark), path, "silver folder")
     reader = spark.read.option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True)
-    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
-    lines = reader.text(path).select("value", *place).where("at = 0").withColumn("row", F.monotonically_increasing_id())
-    headers = settle(lines.groupBy("file").agg(F.min_by("value", "row").alias("header")).where("header <> ''"), "headers")
-    united = None
-    for row in headers.select("header").distinct().orderBy("header").collect():  # a few layouts
-        names = next(csv.reader([row.header.lstrip("\ufeff")]))
-        text = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        same = headers.where(F.col("header") == row.header).select("file")
-        part = reader.schema(text).option("header", True).csv(path).withColumn("file", F.col("_metadata.file_path"))
-        part = part.join(same, "file", "left_semi").select(*[n for n in names if n in SILVER.names])
-        united = part if united is None else united.unionByName(part, allowMissingColumns=True)
-    if united is None or not united.columns:
+    lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    first = lines.where("at = 0").withColumn("row", F.monotonically_increasing_id())
+    headers = first.groupBy("file").agg(F.min_by("value", "row").alias("header")).where("header <> ''")
+    headers = settle(headers, "headers")
+    fields = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 0
+    names = _fields(F.ltrim(F.col("header"), F.lit("\ufeff")), fields)
+    known = headers.select(F.explode(names).alias("name")).where(F.col("name").isin(SILVER.names)).distinct()
+    present = {r.name for r in known.collect()}  # at most the columns of silver
+    if not present:
         raise ValueError(f"no readable {pattern} in {path}")
-    return _typed_silver(united.select(*[n for n in SILVER.names if n in united.columns]))
+    rows = lines.join(headers, "file").where("value <> header AND value <> ''").select(names.alias("names"), _fields(F.col("value"), fields).alias("given"))
+    picked = [F.get("given", (F.array_position("names", n) - 1).cast("int")).alias(n) for n in SILVER.names if n in present]
+    return _typed_silver(rows.select(*picked))
+
+
+def _fields(line: Column, n: int) -> Column:
+    """The fields of a CSV line, as an array of `n` texts, those that are missing or empty NULL."""
+    names = [f"c{i}" for i in range(n)]
+    parsed = F.from_csv(line, ", ".join(f"{c} string" for c in names) or "c0 string")
+    return F.array(*[parsed[c] for c in names])
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -170,6 +170,21 @@ def test_silver_csv(spark, tmp_path):
     assert both == {"abc": None, "def": None, "ghi": 77.0}
 
 
+def test_many_headers_take_one_scan_of_the_rows(spark, tmp_path):
+    names = SILVER_HEADER.split(",")
+    for i in range(12):
+        own = names[i % 11 :] + names[: i % 11] + [f"extra_{i}"]
+        values = {n: "" for n in own} | {"icao24": f'"a,{i}"', "velocity": str(i), "on_ground": "True", f"extra_{i}": '"say ""x"""'}
+        line = ",".join(values[n] for n in own)
+        mark = "\ufeff" if i == 3 else ""
+        (tmp_path / f"flight_silver_{i}.csv").write_text(f"{mark}{','.join(own)}\n\n{line}\n{line}\n", encoding="utf-8")
+    (tmp_path / "flight_silver_empty.csv").write_text("")
+    read = read_silver_dir(spark, str(tmp_path))
+    assert sorted((r.icao24, r.velocity, r.on_ground, r.latitude) for r in read.collect()) == sorted((f"a,{i}", float(i), True, None) for i in range(12) for _ in range(2))
+    plan = read._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan text") == 1
+
+
 def test_missing_inputs_raise(spark, tmp_path):
     for read in (read_bronze_json, read_silver, read_silver_dir, read_predictions):
         with pytest.raises(FileNotFoundError):
