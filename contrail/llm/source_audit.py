@@ -74,7 +74,7 @@ class _Block:
 
 def _chunk_numbers(low: pa.Array, high: pa.Array) -> np.ndarray:
     steps = np.stack([low.to_numpy(zero_copy_only=False), high.to_numpy(zero_copy_only=False)], axis=1).astype(np.int16)
-    return np.cumsum(np.ascontiguousarray(steps).view(np.int32).ravel(), dtype=np.int64)
+    return np.cumsum(np.ascontiguousarray(steps).view(np.int32).ravel(), dtype=np.int32)
 
 
 def chunk_blocks(docs: DataFrame, entries: int = BLOCK_ENTRIES) -> DataFrame:
@@ -142,15 +142,18 @@ def _block_terms(counted: pa.Table, found: pa.Table) -> pa.Table:
     pos = found.column("pos").to_numpy()
     order = np.argsort(pos, kind="stable")  # the terms of a chunk stand together
     codes, times, n_terms = spelled.indices.to_numpy()[order], found.column("k").to_numpy()[order], len(spelled.dictionary)
-    size = np.bincount(pos, minlength=int(ids.max(initial=0)) + 1)
-    first = np.cumsum(size) - size
+    size = np.bincount(pos, minlength=int(ids.max(initial=0)) + 1).astype(np.int32)
+    first = np.cumsum(size, dtype=np.int32) - size
     each = size[ids]
-    ends = np.cumsum(each)
-    at = np.repeat(first[ids] - ends + each, each) + np.arange(each.sum())
-    term, n = codes[at], np.repeat(counts, each).astype(np.int64) * times[at]
-    doc = np.repeat(np.repeat(np.arange(len(doc_size)), doc_size), each)
+    at = np.repeat(first[ids] - np.cumsum(each, dtype=np.int32) + each, each)
+    at += np.arange(len(at), dtype=np.int32)
+    n = np.repeat(counts, each) * times[at]
+    key = np.repeat(np.repeat(np.arange(len(doc_size)), doc_size), each)
+    key *= n_terms
+    key += codes[at]
+    del ids, each, at, order, codes, times, pos, found  # large arrays, and two of these tasks share an executor
     # a document counts once for a term, however many of its chunks hold the term
-    key, n = _added(doc * n_terms + term, n)
+    key, n = _added(key, n)
     group, term = doc_group[key // n_terms].astype(np.int64), key % n_terms
     langs, places = column["langs"].to_pylist(), column["places"].to_numpy().astype(np.int32)
     names = sorted(set(langs))
@@ -171,18 +174,21 @@ def _block_terms(counted: pa.Table, found: pa.Table) -> pa.Table:
 def _added(key: np.ndarray, n: np.ndarray, count: bool = False) -> tuple[np.ndarray, ...]:
     """Distinct keys with the sums of their `n`, and how many rows each has."""
     order = np.argsort(key, kind="stable")
-    key, starts, rows = np.unique(key[order], return_index=True, return_counts=True)
-    sums = np.add.reduceat(n[order], starts) if len(n) else n
-    return (key, sums, rows) if count else (key, sums)
+    key, n = key[order], n[order]
+    del order
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, dtype=np.int64)
+    sums = np.add.reduceat(n, starts) if len(n) else n
+    return (key[starts], sums, np.diff(starts, append=len(n))) if count else (key[starts], sums)
 
 
 def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """Two settled tables: `lang`, `term`, `total`, `of` (at, n) of the kept terms, and `source_places`."""
     blocks = settle(chunk_blocks(docs), "chunk-blocks", compression="zstd")
-    places = settle(source_places(blocks), "source-places")
     held = blocks.select(F.explode(F.arrays_zip("chunks", "holders")).alias("c")).select(F.col("c.chunks").alias("chunk"), "c.holders")
     terms = settle(chunk_terms(held, min_documents), "chunk-terms", compression="zstd")
     forget(docs.sparkSession)
+    places = settle(source_places(blocks), "source-places")
+    forget(docs.sparkSession)  # the shuffle files of the terms are free once the collector has been round again
     # dealt by term once; both groupings and the choice of terms follow that dealing
     dealt = block_terms(blocks, terms, places).repartition("lang", "term")
     each = dealt.select("lang", "term", "docs", F.posexplode(F.arrays_zip("at", "n")).alias("nth", "o"))
