@@ -100,9 +100,10 @@ def engineer_features(
     """Feature rows and the encoder that was used or newly fitted.
 
     The rows hold `ids`, the features as doubles, `label` (1 = on ground) and
-    `meta`, the untouched columns that go with a prediction.
+    `meta`, the untouched columns that go with a prediction. Eager: the input is
+    written once, so that it is derived once.
     """
-    rows = df.na.drop(subset=["on_ground"])
+    rows = settle(df.na.drop(subset=["on_ground"]), "feature-rows")  # read by the median, the codes and the rows
     if rows.isEmpty():
         raise ValueError("no rows with a ground flag")
     if encoder is None:

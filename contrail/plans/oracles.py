@@ -573,6 +573,9 @@ ORACLES: dict[str, str] = {
       CAST(floor(count(*) * 0.2 + 0.5) AS bigint) AS support,
       true AS high_precision, true AS high_recall, true AS high_f1
     FROM silver WHERE velocity IS NOT NULL AND baro_altitude IS NOT NULL GROUP BY 1""",
+    "planted_importances": """ SELECT feature, feature IN ('velocity', 'baro_altitude') AS weighs
+    FROM (VALUES ('velocity'), ('baro_altitude'), ('vertical_rate'), ('true_track'), ('lat_bucket'),
+      ('lon_bucket'), ('country_encoded')) t(feature)""",
     "stratified_split": REPORTS
     + """, numbered AS (
       SELECT event_id, delivery, origin_country, count(*) OVER (PARTITION BY origin_country) AS total,
