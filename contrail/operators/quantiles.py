@@ -86,18 +86,27 @@ def exact_quantile(
 ) -> DataFrame:
     """Interpolated quantile of the non-NULL values, one row per key.
 
-    The rows that hold the wanted ranks are found by `select_ranks`; of each key
-    at most 65,536 are then ranked, equal values counted first. Without keys the
-    answer is a single row, NULL on empty input. `df` is read once a pass and once
-    more, and should be cheap to read. Eager as far as the passes go.
+    Where no key has more than 65,536 rows, these are ranked as they are. Else the
+    rows that hold the wanted ranks are found by `select_ranks`, and of each key
+    no more than that many are then ranked. Equal values are counted first.
+    Without keys the answer is a single row, NULL on empty input. `df` is read
+    once for the sizes, once a pass, and once more, and should be cheap to read.
+    Eager as far as sizes and passes go.
     """
-    keys = list(keys)
+    keys, count = list(keys), F.count(F.lit(1))
     v = F.col("_v")
-    rows = with_ordered_bits(df.select(*keys, (F.col(value).cast("double") + 0.0).alias("_v")).where(v.isNotNull()), "_v")
-    hits, fixed = select_ranks(rows, keys, q * (F.col("_total") - 1))
-    path = [*keys, "_prefix"]
-    meant = rows.withColumn("_prefix", F.shiftright("_bits", 64 - fixed)).join(hits if keys else F.broadcast(hits), path)
-    values = meant.groupBy(*path, "_start", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.select(*keys, (F.col(value).cast("double") + 0.0).alias("_v")).where(v.isNotNull())
+    largest = rows.groupBy(*keys).agg(count.alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if largest <= RANKED:
+        path, whole = keys, Window.partitionBy(*keys)
+        values = rows.groupBy(*keys, "_v").agg(count.alias("_n"))
+        values = values.withColumns({"_start": F.lit(0).cast("bigint"), "_rank": q * (F.sum("_n").over(whole) - 1)})
+    else:
+        numbered = with_ordered_bits(rows, "_v")
+        hits, fixed = select_ranks(numbered, keys, q * (F.col("_total") - 1))
+        path = [*keys, "_prefix"]
+        meant = numbered.withColumn("_prefix", F.shiftright("_bits", 64 - fixed)).join(hits if keys else F.broadcast(hits), path)
+        values = meant.groupBy(*path, "_start", "_rank", "_v").agg(count.alias("_n"))
     running = Window.partitionBy(*path).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ends = (
         values.withColumn("_last", F.col("_start") + F.sum("_n").over(running) - 1)
