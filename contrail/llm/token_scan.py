@@ -30,6 +30,9 @@ RANGE_BLOCKS = 64
 #: The vocabulary's own end-of-text identifier; ids are 16 bits wide.
 END_OF_TEXT = 50256
 
+#: Schemes of paths that Arrow opens at any place.
+SEEKABLE = ("file", "hdfs", "s3", "s3a", "gs")
+
 BLOCKS = "file string, block long, ids binary, labels array<long>"
 SUMMARY = "file string, block long, n_ids long, ends array<long>, labels array<long>"
 
@@ -69,8 +72,10 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = END_OF_TEXT) ->
     """Write a flat file of 16-bit ids for each partition of `docs`; which document is where: `part`, `ordinal`, `doc_id`.
 
     `docs` is read twice, so it must give the same rows in the same partitions each
-    time, as a scan of files does. Spark's text writer ends each document with the
-    bytes of `end_id`. Eager.
+    time, as a scan of files does; whatever is more than that is written to the
+    shared folder first. Spark's text writer ends each document with the bytes of
+    `end_id`. NULL and empty texts are a separator alone, repeated rows are written
+    as often as they occur, and an empty table gives no document. Eager.
     """
     words, ranks = tokenizer_path(), tokenizer_path(RANKS)
 
@@ -80,6 +85,8 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = END_OF_TEXT) ->
             yield pa.RecordBatch.from_arrays([pa.array([e.astype("<u2").tobytes() for e in encoded], pa.binary())], ["ids"])
 
     docs = texts(docs)
+    if not scans_files(docs):
+        docs = settle(docs, "token-documents")
     end = int(end_id).to_bytes(2, "little").decode("latin-1")
     values = docs.mapInArrow(run, "ids binary").select(F.col("ids").cast("string").alias("value"))
     values.write.option("encoding", "ISO-8859-1").option("lineSep", end).option("compression", "none").text(path)
@@ -87,7 +94,19 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = END_OF_TEXT) ->
     return docs.select(F.spark_partition_id().alias("part"), place.alias("ordinal"), "doc_id")
 
 
-def _open(path: str):
+def scans_files(df: DataFrame) -> bool:
+    """Whether a frame is one scan of files, filtered and projected by what depends on its rows alone."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.deterministic():
+        name, children = plan.nodeName(), plan.children()
+        if name in ("Project", "Filter"):
+            plan = children.apply(0)
+        else:
+            return name == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation"
+    return False
+
+
+def open_path(path: str):
     """A file for reading at any place."""
     if path.startswith("file:"):
         return pa.OSFile("/" + path[5:].lstrip("/"))
@@ -108,7 +127,7 @@ def read_token_files(spark: SparkSession, path: str, width: int = 2, block_ids:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, at, upto in zip(*(batch.column(c).to_pylist() for c in ("path", "at", "upto")), strict=True):
-                with _open(path) as file:
+                with open_path(path) as file:
                     file.seek(at)
                     for start in range(at, upto, step):
                         part = file.read(min(step, upto - start))
@@ -127,7 +146,7 @@ def read_token_files(spark: SparkSession, path: str, width: int = 2, block_ids:
     ship(spark)
     files = spark.read.format("binaryFile").load(path)
     first = files.select("path").head()
-    if first and first[0].split(":", 1)[0] not in ("file", "hdfs", "s3", "s3a", "gs"):
+    if first and first[0].split(":", 1)[0] not in SEEKABLE:
         return files.select("path", "content").mapInArrow(run, BLOCKS)
     usable = F.expr(f"length - length % {width}")
     starts = F.explode(F.sequence(F.lit(0).cast("long"), usable - 1, F.lit(step * range_blocks).cast("long")))
@@ -137,7 +156,12 @@ def read_token_files(spark: SparkSession, path: str, width: int = 2, block_ids:
 
 
 def token_file_scan(docs: DataFrame) -> DataFrame:
-    """Flat files of `docs` in the scratch folder, scanned; `doc_id` is joined by part and ordinal once they are found. Eager."""
+    """Flat files of `docs` in the scratch folder, scanned; `doc_id` is joined by part and ordinal once they are found.
+
+    One row per row of `docs`, with the columns of `document_tokens`. NULL and empty
+    texts have 0 tokens, repeated rows a row each; a NULL id stays NULL; an empty
+    table gives no rows. Eager.
+    """
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "token-files")
     names = settle(write_token_files(docs, path), "token-names")
     found = document_tokens(read_token_files(spark, path)).drop("doc_id")

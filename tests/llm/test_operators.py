@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from contrail.llm import chunk_dedup, decontaminate, grouping, line_dedup, minhash, packing, pii, substring, token_scan, toxicity, training_order
 from contrail.llm.components import components
-from contrail.llm.tokens import WordTokenizer, tokenizer_path
+from contrail.llm.tokens import RANKS, WordTokenizer, tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, kept boolean, n_words long, component_id long, file string"
@@ -51,6 +51,7 @@ ODD = [(1, None), (2, ""), (3, "  \n "), (4, "one"), (5, "one"), (None, "one"),
         pii.personal_spans,
         pii.sanitise,
         lambda d: token_scan.document_tokens(token_scan.token_stream(d)),
+        token_scan.token_file_scan,
         lambda d: decontaminate.contamination(d, d.select(F.col("doc_id").alias("item_id"), "text").limit(0)),
         lambda d: toxicity.toxicity(d, d.select("doc_id", F.lit(1).alias("toxic")).limit(0)),
     ],
@@ -74,6 +75,17 @@ def test_word_cache_gives_the_tokenizers_ids():
         assert [e.tolist() for e in own.encode(part)] == expected
 
 
+def test_a_rank_file_gives_the_same_ids_within_its_bytes():
+    r = random.Random(3)
+    whole = WordTokenizer(tokenizer_path()).tokenizer
+    whole.encode_special_tokens = True
+    own = WordTokenizer("", plain=tokenizer_path(RANKS), cache_bytes=20_000)
+    for turn in range(20):
+        texts = [" ".join(r.choice(["lake", "stone's", "x" * r.randint(1, 900), "漢字", "<|endoftext|>", f"{r.random()}"]) for _ in range(30)) for _ in range(5)]
+        assert [e.tolist() for e in own.encode(texts)] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+        assert turn == 0 or own.held < 20_000 + 150 * 1500
+
+
 def check_packed(pieces, texts, window):
     tokenizer = WordTokenizer(tokenizer_path()).tokenizer
     by_doc = {i: g.sort_values("start") for i, g in pieces.groupby("doc_id")}
@@ -444,6 +456,22 @@ def test_a_file_is_read_by_many_tasks_and_the_query_reads_files(spark, docs, tmp
     assert all(g["ended"] and g["file"].startswith("file:") for g in found.values())
 
 
+def test_documents_of_a_derived_frame_keep_their_ids(spark, docs):
+    """Two jobs over a shuffle may see other partitions; the ids must stay with the texts."""
+    texts = [(i, "lake stone " * (i % 50)) for i in range(600)]
+    derived = docs(*texts).repartition(7).groupBy("doc_id").agg(F.max("text").alias("text")).where("length(text) >= 0")
+    found = token_scan.token_file_scan(derived).collect()
+    tokenizer = WordTokenizer(tokenizer_path()).tokenizer
+    assert {x.doc_id: x.n_tokens for x in found} == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in texts}
+    assert len(found) == len(texts)
+
+
+def test_token_files_of_odd_rows(docs):
+    tokenizer = WordTokenizer(tokenizer_path()).tokenizer
+    expected = sorted((i is None, i or 0, len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t in ODD)
+    assert sorted((x.doc_id is None, x.doc_id or 0, x.n_tokens) for x in token_scan.token_file_scan(docs(*ODD)).collect()) == expected
+
+
 def test_streams_count_every_document(docs):
     texts = [(i, "lake stone " * (i % 50)) for i in range(200)] + [(900, None), (901, "<|endoftext|> in text")]
     stream = token_scan.token_stream(docs(*texts).repartition(3), block_ids=64)
@@ -463,14 +491,39 @@ def test_permutation_and_its_inverse(n):
 
 def test_shards_hold_all_tokens(spark, docs, tmp_path):
     texts = [(i, "lake stone " * (i % 50)) for i in range(200)] + [(900, None)]
-    path = str(tmp_path / "shards")
-    n = training_order.write_training_order(docs(*texts).repartition(3), path, size=63, slots_per_shard=20)
-    held = training_order.read_training_order(spark, path, n, size=63, slots_per_shard=20).toPandas()
-    assert sorted(held["slot"]) == list(range(n)) == sorted(held["sequence_id"])
-    tokenizer = WordTokenizer(tokenizer_path()).tokenizer
-    assert held["n_tokens"].sum() == sum(len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in texts)
-    sizes = sorted(f.stat().st_size for f in (tmp_path / "shards").glob("part-*") if f.stat().st_size)
+    path, source = str(tmp_path / "shards"), str(tmp_path / "docs")
+    docs(*texts).repartition(3).write.parquet(source)
+    stored = spark.read.parquet(source)
+    n = training_order.write_training_order(stored, path, size=63, slots_per_shard=20)
+    held = training_order.read_training_order(spark, path).toPandas().sort_values("slot")
+    assert held["slot"].tolist() == list(range(n)) and sorted(held["sequence_id"]) == list(range(n))
+    assert held["sequence_id"].tolist() == training_order.permuted(np.arange(n), n, inverse=True).tolist()
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "shards").rglob("part-*") if f.stat().st_size)
     assert sizes[-1] == 20 * 128 and sum(sizes) == n * 128
+    # each record holds the ids of its sequence: the partitions' streams, cut
+    tokenizer = WordTokenizer(tokenizer_path()).tokenizer
+    streams = {}
+    for x in stored.select(F.spark_partition_id().alias("part"), "text").collect():
+        streams.setdefault(x.part, []).extend([*tokenizer.encode(x.text or "", add_special_tokens=False).ids, training_order.END_OF_TEXT])
+    cut = [s[at : at + 63] for _, s in sorted(streams.items()) for at in range(0, len(s), 63)]
+    assert len(cut) == n
+    for x in held.itertuples():
+        ids = np.asarray(cut[x.sequence_id], "<u2").tobytes()
+        assert (x.ids, x.n_tokens, x.ids_crc32) == (ids, len(ids) // 2, zlib.crc32(ids))
+        assert (x.shard, x.row) == divmod(x.slot, 20)
+    # a reader starts and stops at any slot
+    for start, stop in [(0, 1), (19, 21), (25, None), (n - 1, n + 5), (n, None), (-3, 20)]:
+        got = training_order.read_training_order(spark, path, start, stop).toPandas().sort_values("slot")
+        want = held[(held["slot"] >= start) & (held["slot"] < (n if stop is None else stop))]
+        assert got.values.tolist() == want.values.tolist()
+
+
+def test_an_unfinished_order_is_not_read(spark, docs, tmp_path):
+    path = str(tmp_path / "shards")
+    training_order.write_training_order(docs((1, "lake"), (2, "stone")), path, size=3, slots_per_shard=1)
+    (tmp_path / "shards" / training_order.HEADER).unlink()
+    with pytest.raises(Exception, match="header"):
+        training_order.read_training_order(spark, path)
 
 
 # benchmark
