@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import fmix, forget, numbered, slices, texts, utf8
-from contrail.session import settle
+from contrail.session import discard, settle
 
 WINDOW_WORDS = 20
 #: Words of a group; its least hash in a window names the window's shard.
@@ -34,7 +34,7 @@ PASSAGE_WINDOWS = 14
 AUTOMATON_PASSAGES = 2000
 
 RUNS = "doc_id long, row_hash long, n_words long, kept_sha256 string, hashes array<long>, starts array<int>, counts array<int>, again array<long>"
-PASSAGES = "hash long, doc_id long, row_hash long, start int, often boolean, passage binary"
+PASSAGES = "hash long, doc_id long, row_hash long, start int, passage binary"
 SPANS = "doc_id long, row_hash long, start int, end int"
 RESULT = "doc_id long, row_hash long, n_removed long, kept_sha256 string, text string"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -253,9 +253,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, group: int = GRO
     )
     found = settle(occurrences.join(shared, "hash").groupBy("doc_id", "row_hash").agg(F.collect_set(F.struct("hash", "at", "often")).alias("runs")), "found")
     del counted, occurrences
+    discard(shared)
     forget(spark)
     same = [docs[c].eqNullSafe(found[c]) for c in ("doc_id", "row_hash")]
     known = settle(docs.join(found, same).select(docs.doc_id, docs.row_hash, "text", "runs"), "passage-texts")
+    discard(found)
     forget(spark)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,18 +267,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, group: int = GRO
                     doc_id, row_hash, ws = doc_id.as_py(), row_hash.as_py(), words(text.as_py())
                     for r in runs.as_py():
                         start, n = divmod(r["at"], 16)
-                        yield r["hash"], doc_id, row_hash, start, r["often"], b" ".join(ws[start : start + n + window - 1])
+                        yield r["hash"], doc_id, row_hash, start, b" ".join(ws[start : start + n + window - 1])
 
         yield from _batches(rows(), PASSAGES, 5000)
 
-    passages = known.mapInArrow(cut, PASSAGES)
+    def passages(frequent: bool) -> DataFrame:
+        mine = known.withColumn("runs", F.filter("runs", lambda r: r["often"] == F.lit(frequent))).where(F.size("runs") > 0)
+        return mine.mapInArrow(cut, PASSAGES)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("hash", "doc_id", "row_hash", "start", "passage")), strict=True))
         yield from _batches(repeated_words(rows, window), SPANS)
 
-    few = passages.where("not often").repartition("hash").sortWithinPartitions("hash", F.asc_nulls_first("doc_id"), "row_hash", "start").mapInArrow(match, SPANS)
-    spans = few.unionByName(_often(passages.where("often"), window))
+    few = passages(False).repartition("hash").sortWithinPartitions("hash", F.asc_nulls_first("doc_id"), "row_hash", "start").mapInArrow(match, SPANS)
+    few = settle(few, "spans")
+    forget(spark)  # the passages are shuffled one kind after the other
+    spans = settle(few.unionByName(_often(passages(True), window)), "all-spans")
+    discard(few)
+    forget(spark)
     spans = spans.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
