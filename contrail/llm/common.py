@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.session import discard
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,6 +44,13 @@ def forget(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def discard_all(*frames: DataFrame | None) -> None:
+    """Delete the files of those of the frames that were settled; nothing may read them any more."""
+    for frame in frames:
+        if getattr(frame, "_scratch", None):
+            discard(frame)
+
+
 def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", null: str | None = "") -> DataFrame:
     """The two columns the operators read, as `doc_id` and `text`; NULL text reads as `null`."""
     ship(docs.sparkSession)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import ship
-from contrail.session import settle
+from contrail.session import discard, settle
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -32,7 +32,9 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = settle(small.select("e.a", "e.b").where("a > b").distinct(), "stars")
+        merged = settle(small.select("e.a", "e.b").where("a > b").distinct(), "stars")
+        discard(edges)
+        edges = merged
         state = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
         if state == seen:
             break

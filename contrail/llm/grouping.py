@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.common import discard_all, forget
 from contrail.llm.components import components
 from contrail.session import settle
 
@@ -24,11 +25,12 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
     `confirm` returns those of the pairs `a`, `b` that are links.
     Links between members that others connect may be missing, no connection is.
     """
-    docs = sizes.select("doc")
-    labels, links = docs.select("doc", F.col("doc").alias("label")), None
+    spark, docs = sizes.sparkSession, sizes.select("doc")
+    labels, links, named = docs.select("doc", F.col("doc").alias("label")), None, None
     for turn in range(hub_rounds + 1):
-        named = settle(mixed(members.select("band", "doc").join(labels, "doc")), "named")
-        members = named
+        members = settle(mixed(members.select("band", "doc").join(labels, "doc")), "named")
+        discard_all(named)
+        named = members
         if turn == hub_rounds or pairs_left(named) <= PAIRS_PER_MEMBER * named.count():
             break
         order = F.struct(F.xxhash64("doc", F.lit(turn)).alias("order"), F.col("doc").alias("hub"), F.col("label").alias("hub_label"))
@@ -37,25 +39,41 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
         tried = settle(chosen.select(F.col("doc").alias("a"), F.col("h.hub").alias("b"), "label", F.col("h.hub_label").alias("hub_label")), "tried")
         found = settle(confirm(tried.select("a", "b")), "links")
         productive = found.count() >= LINKED_SHARE * tried.count()
-        links = found if links is None else settle(links.unionByName(found), "links")
         # a label goes over to the smallest one that a link of this round joins it to
         ends = found.join(tried, ["a", "b"]).select(F.greatest("label", "hub_label").alias("label"), F.least("label", "hub_label").alias("low"))
-        labels = labels.join(ends.groupBy("label").agg(F.min("low").alias("low")), "label", "left")
-        labels = settle(labels.select("doc", F.coalesce("low", "label").alias("label")), "labels")
+        renamed = labels.join(ends.groupBy("label").agg(F.min("low").alias("low")), "label", "left")
+        renamed = settle(renamed.select("doc", F.coalesce("low", "label").alias("label")), "labels")
+        discard_all(labels, tried)
+        labels = renamed
+        if links is not None:
+            links, parts = settle(links.unionByName(found), "links"), (links, found)
+            discard_all(*parts)
+        else:
+            links = found
+        del chosen, hubs, ends, renamed
+        forget(spark)
         if not productive:
             members = mixed(members.select("band", "doc").join(labels, "doc"))
             break
     left = settle(members.join(sizes, "doc"), "apart")
+    discard_all(named, labels)
     other = left.select("band", *(F.col(c).alias(f"{c}_b") for c in left.columns if c != "band"))
     pairs = left.join(other, "band").where(f"doc < doc_b and label <> label_b and {compatible}")
     found = confirm(pairs.select(F.col("doc").alias("a"), F.col("doc_b").alias("b")).distinct())
-    links = settle(found if links is None else links.unionByName(found), "links")
-    return links, components(links)
+    every = settle(found if links is None else links.unionByName(found), "links")
+    discard_all(left, links)
+    forget(spark)
+    return every, components(every)
 
 
 def mixed(named: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one label."""
-    bands = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
+    """Members of the buckets that hold more than one label; of buckets with the same members one is enough.
+
+    Two buckets are the same if their members agree in number, smallest and largest label and two 64-bit sums.
+    """
+    sums = [F.bit_xor(F.xxhash64("doc", F.lit(i))).alias(f"sum{i}") for i in range(2)]
+    bands = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"), *sums).where("low < high")
+    bands = bands.groupBy("low", "high", "n", "sum0", "sum1").agg(F.min("band").alias("band")).select("band")
     return named.join(bands, "band")
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import fmix, numbered, slices, texts, utf8
+from contrail.llm.common import discard_all, fmix, numbered, slices, texts, utf8
 from contrail.llm.grouping import HUB_ROUNDS, linked_groups
 from contrail.session import settle
 
@@ -167,6 +167,7 @@ def near_duplicates(
         lambda pairs: confirmed(pairs, facts, size, percent, bands * rows),
         hub_rounds,
     )
+    discard_all(members, involved, facts)
     grouped = grouped.select(F.col("node").alias("class_id"), "component")
     classes = classes.select("set_key", "class_id").join(grouped, "class_id", "left")
     return (
