@@ -11,10 +11,9 @@ from contrail.llm.common import discard_all, forget
 from contrail.llm.components import components
 from contrail.session import settle
 
-#: Rounds of comparing with a hub end when less than this share of a round's comparisons were links (what is left
-#: is mostly apart), or when the pairs left are at most so many times the bucket members, or after so many rounds.
-#: What is left is compared in pairs, whatever its number.
-LINKED_SHARE, PAIRS_PER_MEMBER, HUB_ROUNDS = 0.2, 1, 10
+#: Rounds of comparing with a hub end when the pairs left are at most so many times the bucket members, or after so
+#: many rounds. What is left is compared in pairs, whatever its number.
+PAIRS_PER_MEMBER, HUB_ROUNDS = 1, 24
 
 
 def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm: Callable[[DataFrame], DataFrame], hub_rounds: int = HUB_ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -24,38 +23,42 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
     condition for pairs, names plain for one member and with `_b` for the other.
     `confirm` returns those of the pairs `a`, `b` that are links.
     Links between members that others connect may be missing, no connection is.
+
+    In each round every bucket names a hub, the member that meets the most others, and the rest of the bucket is
+    compared with it: no more pairs than there are members. Linked groups are merged; the hub, now settled with all the
+    others, leaves the bucket; buckets of one group are done.
     """
     spark, docs = sizes.sparkSession, sizes.select("doc")
     labels, links, named = docs.select("doc", F.col("doc").alias("label")), None, None
+    others = sizes.select(*(F.col(c).alias(f"{c}_b") for c in sizes.columns))
     for turn in range(hub_rounds + 1):
-        members = settle(mixed(members.select("band", "doc").join(labels, "doc")), "named")
+        rest = settle(mixed(members.select("band", "doc").join(labels, "doc")), "named")
         discard_all(named)
-        named = members
+        named = rest
         if turn == hub_rounds or pairs_left(named) <= PAIRS_PER_MEMBER * named.count():
             break
-        order = F.struct(F.xxhash64("doc", F.lit(turn)).alias("order"), F.col("doc").alias("hub"), F.col("label").alias("hub_label"))
-        hubs = named.groupBy("band").agg(F.min(order).alias("h")).select("band", "h.*")
-        chosen = named.join(hubs, "band").where("label <> hub_label").groupBy("doc", "label").agg(F.min(F.struct("order", "hub", "hub_label")).alias("h"))
-        tried = settle(chosen.select(F.col("doc").alias("a"), F.col("h.hub").alias("b"), "label", F.col("h.hub_label").alias("hub_label")), "tried")
+        met = named.join(named.groupBy("band").agg(F.count("*").alias("n")), "band").groupBy("doc").agg(F.sum("n").alias("met"))
+        order = F.struct((-F.col("met")).alias("met"), F.xxhash64("doc").alias("order"), F.col("doc").alias("hub"), F.col("label").alias("hub_label"))
+        hubs = settle(named.join(met, "doc").groupBy("band").agg(F.min(order).alias("h")).select("band", "h.hub", "h.hub_label"), "hubs")
+        tried = named.join(hubs, "band").where("label <> hub_label").select("doc", "label", "hub", "hub_label").distinct()
+        fit = tried.join(sizes, "doc").join(others, F.col("hub") == F.col("doc_b")).where(compatible)
+        tried = settle(fit.select(F.col("doc").alias("a"), F.col("hub").alias("b"), "label", "hub_label"), "tried")
         found = settle(confirm(tried.select("a", "b")), "links")
-        productive = found.count() >= LINKED_SHARE * tried.count()
         # a label goes over to the smallest one that a link of this round joins it to
         ends = found.join(tried, ["a", "b"]).select(F.greatest("label", "hub_label").alias("label"), F.least("label", "hub_label").alias("low"))
         renamed = labels.join(ends.groupBy("label").agg(F.min("low").alias("low")), "label", "left")
         renamed = settle(renamed.select("doc", F.coalesce("low", "label").alias("label")), "labels")
-        discard_all(labels, tried)
-        labels = renamed
+        members = settle(named.join(hubs, "band").where("doc <> hub").select("band", "doc"), "unsettled")
+        discard_all(labels, tried, hubs, named)
+        labels, named = renamed, members
         if links is not None:
             links, parts = settle(links.unionByName(found), "links"), (links, found)
             discard_all(*parts)
         else:
             links = found
-        del chosen, hubs, ends, renamed
+        del met, hubs, ends, renamed, fit
         forget(spark)
-        if not productive:
-            members = mixed(members.select("band", "doc").join(labels, "doc"))
-            break
-    left = settle(members.join(sizes, "doc"), "apart")
+    left = settle(named.join(sizes, "doc"), "apart")
     discard_all(named, labels)
     other = left.select("band", *(F.col(c).alias(f"{c}_b") for c in left.columns if c != "band"))
     pairs = left.join(other, "band").where(f"doc < doc_b and label <> label_b and {compatible}")
