@@ -11,9 +11,10 @@ from contrail.llm.common import discard_all, forget
 from contrail.llm.components import components
 from contrail.session import settle
 
-#: Rounds of comparing with a hub end when the pairs left are at most so many times the bucket members, or after so
-#: many rounds. What is left is compared in pairs, whatever its number.
-PAIRS_PER_MEMBER, HUB_ROUNDS = 1, 24
+#: Rounds of comparing with a hub end when less than this share of a round's comparisons were links (what is left is
+#: mostly apart), when the pairs left are at most so many times the bucket members, or after so many rounds.
+#: What is left is compared in pairs, whatever its number.
+LINKED_SHARE, PAIRS_PER_MEMBER, HUB_ROUNDS = 0.05, 1, 10
 
 
 def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm: Callable[[DataFrame], DataFrame], hub_rounds: int = HUB_ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -29,13 +30,11 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
     others, leaves the bucket; buckets of one group are done.
     """
     spark, docs = sizes.sparkSession, sizes.select("doc")
-    labels, links, named = docs.select("doc", F.col("doc").alias("label")), None, None
+    labels, links = docs.select("doc", F.col("doc").alias("label")), None
     others = sizes.select(*(F.col(c).alias(f"{c}_b") for c in sizes.columns))
-    for turn in range(hub_rounds + 1):
-        rest = settle(mixed(members.select("band", "doc").join(labels, "doc")), "named")
-        discard_all(named)
-        named = rest
-        if turn == hub_rounds or pairs_left(named) <= PAIRS_PER_MEMBER * named.count():
+    named = settle(mixed(members.select("band", "doc").join(labels, "doc")), "named")
+    for _ in range(hub_rounds):
+        if pairs_left(named) <= PAIRS_PER_MEMBER * named.count():
             break
         met = named.join(named.groupBy("band").agg(F.count("*").alias("n")), "band").groupBy("doc").agg(F.sum("n").alias("met"))
         order = F.struct((-F.col("met")).alias("met"), F.xxhash64("doc").alias("order"), F.col("doc").alias("hub"), F.col("label").alias("hub_label"))
@@ -44,11 +43,12 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
         fit = tried.join(sizes, "doc").join(others, F.col("hub") == F.col("doc_b")).where(compatible)
         tried = settle(fit.select(F.col("doc").alias("a"), F.col("hub").alias("b"), "label", "hub_label"), "tried")
         found = settle(confirm(tried.select("a", "b")), "links")
+        productive = found.count() > LINKED_SHARE * tried.count()
         # a label goes over to the smallest one that a link of this round joins it to
         ends = found.join(tried, ["a", "b"]).select(F.greatest("label", "hub_label").alias("label"), F.least("label", "hub_label").alias("low"))
         renamed = labels.join(ends.groupBy("label").agg(F.min("low").alias("low")), "label", "left")
         renamed = settle(renamed.select("doc", F.coalesce("low", "label").alias("label")), "labels")
-        members = settle(named.join(hubs, "band").where("doc <> hub").select("band", "doc"), "unsettled")
+        members = settle(mixed(named.join(hubs, "band").where("doc <> hub").select("band", "doc").join(renamed, "doc")), "named")
         discard_all(labels, tried, hubs, named)
         labels, named = renamed, members
         if links is not None:
@@ -58,6 +58,8 @@ def linked_groups(members: DataFrame, sizes: DataFrame, compatible: str, confirm
             links = found
         del met, hubs, ends, renamed, fit
         forget(spark)
+        if not productive:
+            break
     left = settle(named.join(sizes, "doc"), "apart")
     discard_all(named, labels)
     other = left.select("band", *(F.col(c).alias(f"{c}_b") for c in left.columns if c != "band"))
