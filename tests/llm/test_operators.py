@@ -217,6 +217,31 @@ def test_near_lines_by_their_length(docs):
     assert got == want and len(lines) - 5 in got
 
 
+def test_linked_lines_have_a_key_in_common():
+    """Four to six edits in long lines without blanks or with few; words changed in lines of any number."""
+    r = random.Random(5)
+    pairs = []
+    for length, edits in itertools.product((596, 598, 602, 640, 760, 1000), range(3, 7)):
+        for gap in (0, 40, 90):
+            x = "".join(" " if gap and r.random() < 1 / gap else r.choice("abcdefgh") for _ in range(length))
+            y = x
+            for _ in range(edits):
+                at = r.randrange(len(y))
+                y = y[:at] + r.choice(["", "z", " "]) + y[at + r.randint(0, 1) :]
+            pairs.append((x, y))
+    for n in range(4, 80):
+        x = [r.choice("of the stone lake table thou wolde a erly".split()) for _ in range(n)]
+        y = list(x)
+        for i in r.sample(range(n), max(1, n // 10)):
+            y[i] = r.choice(["", "replaced", x[i] + "x", x[i] + " y"])
+        pairs.append((" ".join(x), " ".join(y)))
+    linked = line_dedup.alike([x for x, _ in pairs], [y for _, y in pairs], None).tolist()
+    assert sum(linked[:72]) >= 30 and sum(linked[72:]) >= 50
+    for (x, y), link in zip(pairs, linked, strict=True):
+        line, key = line_dedup.line_keys([x, y], None)
+        assert not link or len(x) < line_dedup.MIN_CHARS or set(key[line == 0].tolist()) & set(key[line == 1].tolist())
+
+
 def test_a_document_goes_only_if_one_earlier_one_holds_it(docs, spark):
     a, b, c = "First line of some length, alone.", "Second thing, which is quite other.", "Third of them: nothing like those."
     texts = [(1, f"{a}\nx"), (2, f"{b}\n{c}"), (3, f"{a}\n\n{b}"), (4, f"{b}\n{a}"), (5, c), (6, "x"), (7, f"x\n{c}"), (8, "\n"), (9, None), (None, a)]
