@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators.features import FEATURES
 from contrail.operators.sampling import stratified_split
+from contrail.session import listed
 
 # Model settings.
 TREES = 200
@@ -20,6 +24,8 @@ MIN_LEAF = 5
 TEST_SIZE = 0.2
 SEED = 42
 CLASS_NAMES = {0: "airborne", 1: "on_ground"}
+#: Trees grown in one run over the rows: Spark keeps a draw of each row for every one of them, and counts for every node.
+GROVE = 20
 
 
 def assemble(matrix: DataFrame) -> DataFrame:
@@ -34,30 +40,72 @@ def class_weights(matrix: DataFrame) -> DataFrame:
     return sizes.select("label", "support", (n / (classes * F.col("support"))).alias("weight"))
 
 
+@dataclass
+class OngroundForest:
+    """A forest as groups of trees; each tree has the same weight, as in one forest of them all."""
+
+    groves: list[RandomForestClassificationModel]
+
+    @property
+    def getNumTrees(self) -> int:
+        return sum(g.getNumTrees for g in self.groves)
+
+    @property
+    def featureImportances(self) -> np.ndarray:
+        """Mean of the groups by their trees, as shares of one."""
+        whole = sum(g.getNumTrees * g.featureImportances.toArray() for g in self.groves)
+        return whole / (whole.sum() or 1.0)
+
+    def save(self, path: str) -> None:
+        for i, grove in enumerate(self.groves):
+            grove.write().overwrite().save(f"{path}/grove={i:04d}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> OngroundForest:
+        """What `save` left at the path; a model that lies there by itself is a forest of one group."""
+        names = sorted(name for name, _ in listed(spark, path) if name.startswith("grove="))
+        return cls([RandomForestClassificationModel.load(f"{path}/{n}" if n else path) for n in names or [""]])
+
+
 def train_onground(
     matrix: DataFrame, keys: Sequence[str] = ("icao24", "time_position"), trees: int = TREES
-) -> tuple[RandomForestClassificationModel, DataFrame]:
-    """Fit on 80 % of the rows; returns the model and the held-out rows, predicted."""
+) -> tuple[OngroundForest, DataFrame]:
+    """Fit on 80 % of the rows; returns the model and the held-out rows, predicted.
+
+    Every tree sees all of these rows. A few trees are grown at a time, so that
+    what a row and a node take in memory does not grow with the number of trees.
+    """
     train, test = stratified_split(matrix, keys, TEST_SIZE, SEED)
     weights = F.broadcast(class_weights(train).select("label", "weight"))  # one row per class
-    forest = RandomForestClassifier(
-        featuresCol="features",
-        labelCol="label",
-        weightCol="weight",
-        numTrees=trees,
-        maxDepth=DEPTH,
-        minInstancesPerNode=MIN_LEAF,
-        seed=SEED,
-    )
-    model = forest.fit(assemble(train).join(weights, "label").select("features", "label", "weight"))
+    rows = assemble(train).join(weights, "label").select("features", "label", "weight").persist()
+    groves = []
+    for first in range(0, trees, GROVE):
+        forest = RandomForestClassifier(
+            featuresCol="features",
+            labelCol="label",
+            weightCol="weight",
+            numTrees=min(GROVE, trees - first),
+            maxDepth=DEPTH,
+            minInstancesPerNode=MIN_LEAF,
+            seed=SEED + first,
+        )
+        groves.append(forest.fit(rows))
+    rows.unpersist()
+    model = OngroundForest(groves)
     return model, predict_onground(model, test)
 
 
-def predict_onground(model: RandomForestClassificationModel, matrix: DataFrame) -> DataFrame:
-    scored = model.transform(assemble(matrix))
-    return scored.withColumn("onground_probability", vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability"
-    )
+def predict_onground(model: OngroundForest, matrix: DataFrame) -> DataFrame:
+    """Adds the class and its probability, the mean over all trees."""
+    scored, shares = assemble(matrix), []
+    for i, grove in enumerate(model.groves):
+        alone = grove.copy().setRawPredictionCol("").setPredictionCol("").setProbabilityCol(f"_grove{i}")
+        scored = alone.transform(scored)
+        shares.append(vector_to_array(f"_grove{i}")[1] * grove.getNumTrees)
+    probability = reduce(lambda a, b: a + b, shares) / model.getNumTrees
+    scored = scored.withColumn("onground_probability", probability)
+    scored = scored.withColumn("prediction", (F.col("onground_probability") > 0.5).cast("double"))
+    return scored.drop("features", *[f"_grove{i}" for i in range(len(model.groves))])
 
 
 def classification_report(
@@ -110,7 +158,7 @@ def report_averages(report: DataFrame) -> DataFrame:
     return means.select(F.inline(F.array(*structs)))
 
 
-def feature_importances(spark: SparkSession, model: RandomForestClassificationModel) -> DataFrame:
+def feature_importances(spark: SparkSession, model: OngroundForest) -> DataFrame:
     """Importance of each feature, highest first."""
-    rows = [(name, float(v)) for name, v in zip(FEATURES, model.featureImportances.toArray())]
+    rows = [(name, float(v)) for name, v in zip(FEATURES, model.featureImportances)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))

@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.classifier import (
     TREES,
+    OngroundForest,
     classification_report,
     feature_importances,
     predict_onground,
@@ -31,12 +31,13 @@ from contrail.sources.tables import read_table, utc_now
 log = logging.getLogger(__name__)
 
 MAX_AGE_HOURS = 24.0
-ROWS_PER_PARTITION = 200_000
+#: Each partition brings its own counts of every node to a shuffle, so there are few large ones.
+ROWS_PER_PARTITION, PARTITIONS = 1_000_000, 12
 
 
 @dataclass
 class Models:
-    classifier: RandomForestClassificationModel
+    classifier: OngroundForest
     forest: IsolationForest
     encoder: DataFrame
 
@@ -61,7 +62,7 @@ def arranged(matrix: DataFrame, ids: Sequence[str] = ("icao24", "time_position")
     neither on the files of its input nor on the number of cores.
     """
     ids = [c for c in ids if c in matrix.columns]
-    parts = max(8, -(-matrix.count() // ROWS_PER_PARTITION))
+    parts = max(PARTITIONS, -(-matrix.count() // ROWS_PER_PARTITION))
     rest = [c for c in matrix.columns if c not in (*ids, "meta")]
     return matrix.repartition(parts, *ids).sortWithinPartitions(*ids, *rest)
 
@@ -86,7 +87,7 @@ def save_models(models: Models, path: str, now: datetime | None = None) -> None:
     now = now or utc_now()
     version = now.strftime("%Y%m%d_%H%M%S_%f")
     home = f"{path}/{version}"
-    models.classifier.write().overwrite().save(f"{home}/onground")
+    models.classifier.save(f"{home}/onground")
     spark.createDataFrame(models.forest.nodes).write.mode("overwrite").parquet(f"{home}/forest")
     models.encoder.write.mode("overwrite").parquet(f"{home}/encoder")
     pointer = [(version, now, models.forest.sample, float(models.forest.offset), models.forest.anomaly_share)]
@@ -104,7 +105,7 @@ def load_models(spark: SparkSession, path: str) -> Models:
     home = f"{path}/{current.version}"
     nodes = spark.read.parquet(f"{home}/forest").toPandas()  # bounded by trees and sample size
     return Models(
-        RandomForestClassificationModel.load(f"{home}/onground"),
+        OngroundForest.load(spark, f"{home}/onground"),
         IsolationForest(nodes, current.sample, current.offset, current.anomaly_share),
         spark.read.parquet(f"{home}/encoder"),
     )

@@ -3,12 +3,13 @@ from __future__ import annotations
 from datetime import timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from contrail.operators import features
+from contrail.operators import classifier, features
 from contrail.operators.classifier import classification_report
-from contrail.operators.iforest import SIGNALS, average_path, grow_tree, sample_per_tree, train_iforest
+from contrail.operators.iforest import SIGNALS, IsolationForest, average_path, grow_tree, sample_per_tree, train_iforest
 from contrail.operators.ordinal import sorted_positions
 from contrail.operators.sampling import sample_n, stratified_split
 from contrail.plans import models
@@ -271,3 +272,45 @@ def test_ml_batch_can_run_again(spark, silver, tmp_path):
     first = run()
     assert first["rows"] == silver.count() == first["loaded"] and run() == first
     assert read_table(spark, root, "gold_ml_predictions").count() == first["loaded"]
+
+
+def test_a_forest_in_groups_is_the_mean_of_its_trees(spark, silver, tmp_path, monkeypatch):
+    """No fit grows more trees than a group has, and the groups count by their trees, stored or not."""
+    matrix, _ = features.engineer_features(silver)
+    monkeypatch.setattr(classifier, "GROVE", 4)
+    model, _ = classifier.train_onground(models.arranged(matrix), trees=10)
+    assert [g.getNumTrees for g in model.groves] == [4, 4, 2] and model.getNumTrees == 10
+    assert len({t.toDebugString for g in model.groves for t in g.trees}) > 4
+    model.save(str(tmp_path / "onground"))
+    again = classifier.OngroundForest.load(spark, str(tmp_path / "onground"))
+    got = classifier.predict_onground(again, matrix).select("icao24", "onground_probability", "prediction").collect()
+    rows = classifier.assemble(matrix).select("icao24", "features").collect()
+    trees = [t for g in model.groves for t in g.trees]
+    for r in rows[:25]:
+        mean = float(np.mean([t.predictProbability(r.features)[1] for t in trees]))
+        mine = next(g for g in got if g.icao24 == r.icao24)
+        assert mine.onground_probability == pytest.approx(mean) and mine.prediction == float(mean > 0.5)
+    shares = np.sum([t.featureImportances.toArray() for t in trees], axis=0) / len(trees)
+    assert model.featureImportances == pytest.approx(shares)
+
+
+def test_block_scores_follow_every_path(spark):
+    """Rows across blocks get the score that walking each tree by hand gives, thresholds below zero included."""
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(1300, 3))
+    nodes = pd.DataFrame(
+        [n for t in range(5) for n in grow_tree(points[:64], t, 42, 6)],
+        columns=["tree", "node", "feature", "threshold", "low", "high", "path"],
+    )
+    forest = IsolationForest(nodes, 64, -0.5)
+    rows = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], ["key", *SIGNALS]).coalesce(1)
+    got = {r.key: r.anomaly_score for r in forest.score(rows).collect()}
+    by = {(n.tree, n.node): n for n in nodes.itertuples()}
+    for i, p in enumerate(points):
+        paths = []
+        for t in range(5):
+            n = by[t, 0]
+            while n.feature >= 0:
+                n = by[t, n.low if p[n.feature] <= n.threshold else n.high]
+            paths.append(n.path)
+        assert got[i] == pytest.approx(0.5 - 2 ** (-np.mean(paths) / float(average_path(64))))
