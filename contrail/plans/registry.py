@@ -42,7 +42,7 @@ from contrail.schemas import (
     PREDICTION_UPDATES,
     SILVER,
 )
-from contrail.session import scratch_path, settle
+from contrail.session import listed, scratch_path, settle
 from contrail.sources import tables, versions
 from contrail.sources.derived import EVENTS_PER_DOCUMENT, raw_documents, rule_predictions, valid_reports
 from contrail.sources.events import event_reports
@@ -397,6 +397,13 @@ def retained_batches(spark: SparkSession, root: str) -> DataFrame:
 
 
 DAY = 86_400
+#: Files that a micro-batch takes at least, and micro-batches that a backlog of more files is cut into.
+LEAST_FILES, MICRO_BATCHES = 8, 8
+
+
+def files_per_batch(files: int) -> int:
+    """Files a micro-batch takes, so that the steps of a backlog do not grow with it, only their size."""
+    return max(LEAST_FILES, -(-files // MICRO_BATCHES))
 
 
 @query
@@ -405,7 +412,8 @@ def stream_totals(spark: SparkSession, root: str) -> DataFrame:
     home = scratch_path(spark, "stream-totals")
     documents = raw_documents(valid_reports(event_reports(spark, root)), period=DAY)
     documents.select("raw_data").write.option("maxRecordsPerFile", 1).text(f"{home}/incoming")
-    stream = stream_documents(spark, f"{home}/incoming", files_per_batch=8)
+    files = sum(name.startswith("part-") for name, _ in listed(spark, f"{home}/incoming"))
+    stream = stream_documents(spark, f"{home}/incoming", files_per_batch(files))
     ingest_stream(stream, home, f"{home}/progress", clock=lambda: NOW).awaitTermination()
     first = tables.read_table(spark, home, "bronze_flights").where("ingestion_batch = 'stream-00000000'")
     process_documents(first.select("raw_data", "source_file"), home, "stream-00000000", now=NOW)

@@ -20,6 +20,7 @@ from contrail.plans.pipeline import (
     undo_batch,
     undo_load,
 )
+from contrail.plans.registry import files_per_batch
 from contrail.sources import tables, versions
 from contrail.sources.files import read_bronze_json
 from contrail.streaming.ingest import ingest_stream, stream_documents
@@ -257,3 +258,10 @@ def test_the_newest_window_is_read_from_one_date(spark, tmp_path, at):
     assert newest.count() == 2
     with pytest.raises(FileNotFoundError):
         tables.read_newest(spark, root, "gold_speed_anomalies")
+
+
+def test_a_backlog_is_cut_into_a_bounded_number_of_micro_batches():
+    """The totals of a window are added up at each step, so steps that grow with the backlog would cost its square."""
+    assert files_per_batch(3) == files_per_batch(64) == 8
+    assert files_per_batch(200) == 25
+    assert all(-(-n // files_per_batch(n)) <= 8 for n in (1, 8, 63, 65, 1_200, 12_000, 72_001))
