@@ -314,3 +314,9 @@ def test_block_scores_follow_every_path(spark):
                 n = by[t, n.low if p[n.feature] <= n.threshold else n.high]
             paths.append(n.path)
         assert got[i] == pytest.approx(0.5 - 2 ** (-np.mean(paths) / float(average_path(64))))
+
+
+def test_rows_are_arranged_in_few_large_partitions(spark):
+    """Each partition sends counts of all nodes, so partitions grow with a million rows, not with fewer."""
+    rows = spark.range(3_000_000).withColumnRenamed("id", "icao24")
+    assert models.arranged(rows).rdd.getNumPartitions() == 12
