@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,16 @@ RECENT_MODELS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "gold_top_busiest_countries": gold.gold_top_busiest_countries,
 }
 
+#: Models that are built at a time: each leaves cores free while it is planned, published, or ends on few tasks.
+AT_ONCE = 4
+
+
+def side_by_side(steps: Mapping[str, Callable[[], Any]]) -> dict[str, Any]:
+    """Results of steps that do not need each other; the first error is raised once all have ended."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        begun = {name: pool.submit(step) for name, step in steps.items()}
+    return {name: step.result() for name, step in begun.items()}
+
 
 def load_country_totals(
     silver: DataFrame, root: str, window_start: datetime, now: datetime | None = None
@@ -320,12 +332,15 @@ def refresh_models(
     cleaned = materialize(clean_silver(view), root, "silver_flights_cleaned", now=now, since=since)
     built = {"silver_flights_cleaned": cleaned}
     recent = cleaned if since is None else cleaned.where(F.col("window_date") >= F.lit(since))
-    for name, model in RECENT_MODELS.items():
-        built[name] = materialize(model(recent), root, name, now=now, since=since)
-    links = gold.gold_flight_trajectories(cleaned, since=since)
-    built["gold_flight_trajectories"] = materialize(links, root, "gold_flight_trajectories", now=now, since=since)
-    activity = gold.gold_aircraft_activity(cleaned)
-    built["gold_aircraft_activity"] = materialize(activity, root, "gold_aircraft_activity", now=now)
+
+    def build(name: str, model: Callable[[], DataFrame], since: date | None = since) -> Callable[[], DataFrame]:
+        return lambda: materialize(model(), root, name, now=now, since=since)
+
+    steps = {name: build(name, lambda model=model: model(recent)) for name, model in RECENT_MODELS.items()}
+    links, activity = "gold_flight_trajectories", "gold_aircraft_activity"
+    steps[links] = build(links, lambda: gold.gold_flight_trajectories(cleaned, since=since))
+    steps[activity] = build(activity, lambda: gold.gold_aircraft_activity(cleaned), None)
+    built |= side_by_side(steps)
     daily = gold.gold_country_daily_summary(built["gold_flight_aggregations"])
     built["gold_country_daily_summary"] = materialize(
         daily, root, "gold_country_daily_summary", now=now, since=since
@@ -350,8 +365,8 @@ def refresh_arrived(spark: SparkSession, root: str, now: datetime | None = None)
         raise FileNotFoundError(f"no table silver_flights in {root}")
     if done is None:
         built = refresh_models(spark, root, now=now)
-        for name, state in (("aircraft_days", gold.aircraft_days), ("aircraft_last_points", gold.closing_points)):
-            materialize(state(built["silver_flights_cleaned"]), root, name, now=now)
+        cleaned, states = built["silver_flights_cleaned"], {"aircraft_days": gold.aircraft_days, "aircraft_last_points": gold.closing_points}
+        side_by_side({name: lambda name=name, state=state: materialize(state(cleaned), root, name, now=now) for name, state in states.items()})
     else:
         moved = [part.select(_report_day()).distinct() for part in versions.difference(spark, path, done, newest)]
         days = _days(reduce(lambda a, b: a.unionByName(b), moved)) if moved else []
@@ -384,8 +399,17 @@ def _refresh_days(spark: SparkSession, root: str, silver: versions.Version, days
     if not dated:
         return
     recent = read_table(spark, root, "silver_flights_cleaned", dated)
-    for name, model in RECENT_MODELS.items():
-        materialize(model(recent), root, name, now=now, days=dated)
+    steps = {
+        name: lambda name=name, model=model: materialize(model(recent), root, name, now=now, days=dated)
+        for name, model in RECENT_MODELS.items()
+    }
+    steps["gold_flight_trajectories"] = lambda: _refresh_links(spark, root, recent, dated, now)
+    steps["gold_aircraft_activity"] = lambda: _refresh_activity(spark, root, recent, dated, now)
+    side_by_side(steps)
+    _refresh_daily_summary(spark, root, dated, now)
+
+
+def _refresh_links(spark: SparkSession, root: str, recent: DataFrame, dated: list[str], now: datetime | None) -> None:
     following = _new_last_points(spark, root, recent, dated, now)
     linked = sorted({*dated, *following})
     points = read_table(spark, root, "aircraft_last_points").where(F.col("window_date") <= F.lit(date.fromisoformat(linked[-1])))
@@ -393,10 +417,12 @@ def _refresh_days(spark: SparkSession, root: str, silver: versions.Version, days
     points = points.join(active.select("icao24").distinct(), "icao24", "left_semi").drop("window_date", "load_time")
     links = gold.gold_flight_trajectories(active, closing=points)
     materialize(links, root, "gold_flight_trajectories", now=now, days=linked)
+
+
+def _refresh_activity(spark: SparkSession, root: str, recent: DataFrame, dated: list[str], now: datetime | None) -> None:
     materialize(gold.aircraft_days(recent), root, "aircraft_days", now=now, days=dated)
     activity = gold.activity_of_days(read_table(spark, root, "aircraft_days"))
     materialize(activity, root, "gold_aircraft_activity", now=now)
-    _refresh_daily_summary(spark, root, dated, now)
 
 
 def _new_last_points(spark: SparkSession, root: str, recent: DataFrame, days: list[str], now: datetime | None) -> list[str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from threading import Barrier
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,3 +267,24 @@ def test_a_backlog_is_cut_into_a_bounded_number_of_micro_batches():
     assert files_per_batch(3) == files_per_batch(64) == 8
     assert files_per_batch(200) == 25
     assert all(-(-n // files_per_batch(n)) <= 8 for n in (1, 8, 63, 65, 1_200, 12_000, 72_001))
+
+
+def test_independent_models_are_built_side_by_side(spark, tmp_path, at, monkeypatch):
+    """Two models that wait for each other end: neither is planned after the other is stored."""
+    met = Barrier(2, timeout=60)
+
+    def waiting(model):
+        def build(silver):
+            met.wait()
+            return model(silver)
+
+        return build
+
+    two = ("gold_altitude_distribution", "gold_top_busiest_countries")
+    monkeypatch.setattr(pipeline, "RECENT_MODELS", {n: waiting(pipeline.RECENT_MODELS[n]) for n in two} | {"gold_flight_aggregations": pipeline.RECENT_MODELS["gold_flight_aggregations"]})
+    root = str(tmp_path / "wh")
+    feed(spark, tmp_path, root, "a", [state(1), state(2, DAY)], at(1))
+    assert refresh_arrived(spark, root, at(2))["gold_top_busiest_countries"].agg(F.sum("total_flights")).first()[0] == 2
+    feed(spark, tmp_path, root, "b", [state(3, DAY)], at(3))
+    refresh_arrived(spark, root, at(4))
+    assert tables.read_table(spark, root, two[1]).agg(F.sum("total_flights")).first()[0] == 3
