@@ -96,6 +96,12 @@ def chunk_blocks(docs: DataFrame, entries: int = BLOCK_ENTRIES) -> DataFrame:
     return shaped.mapInArrow(count, BLOCK)
 
 
+def held_chunks(blocks: DataFrame) -> DataFrame:
+    """`chunk` and `holders` for every chunk of each block, both read in place: no pair is built for a chunk."""
+    placed = blocks.select("holders", F.posexplode("chunks").alias("pos", "chunk"))
+    return placed.select("chunk", F.get("holders", F.col("pos")).alias("holders"))
+
+
 def chunk_terms(chunks: DataFrame, min_documents: int) -> DataFrame:
     """`chunk`, `term` and how often it is in there (`k`); every distinct chunk is cut once.
 
@@ -184,8 +190,7 @@ def _added(key: np.ndarray, n: np.ndarray, count: bool = False) -> tuple[np.ndar
 def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """Two settled tables: `lang`, `term`, `total`, `of` (at, n) of the kept terms, and `source_places`."""
     blocks = settle(chunk_blocks(docs), "chunk-blocks", compression="zstd")
-    held = blocks.select(F.explode(F.arrays_zip("chunks", "holders")).alias("c")).select(F.col("c.chunks").alias("chunk"), "c.holders")
-    terms = settle(chunk_terms(held, min_documents), "chunk-terms", compression="zstd")
+    terms = settle(chunk_terms(held_chunks(blocks), min_documents), "chunk-terms", compression="zstd")
     forget(docs.sparkSession)
     places = settle(source_places(blocks), "source-places")
     forget(docs.sparkSession)  # the shuffle files of the terms are free once the collector has been round again

@@ -238,3 +238,11 @@ def test_chunks_are_cut_once_and_hopeless_terms_left_out(spark):
     chunks = spark.createDataFrame(rows, "chunk string, holders int")
     got = {(x.chunk, x.term, x.k) for x in source_audit.chunk_terms(chunks, 4).collect()}
     assert got == {("a,B", "b", 1), ("b-b", "b", 2), ("c", "c", 1), ("c!", "c", 1)}
+
+
+def test_chunks_of_a_block_are_read_in_place(spark):
+    """Each chunk comes with its own holders, and no array of pairs is built on the way."""
+    blocks = spark.createDataFrame([(0, ["a", "b"], [3, 1]), (1, ["b"], [2]), (2, [], [])], "block long, chunks array<string>, holders array<int>")
+    held = source_audit.held_chunks(blocks)
+    assert sorted(map(tuple, held.collect())) == [("a", 3), ("b", 1), ("b", 2)]
+    assert "arrays_zip" not in held._jdf.queryExecution().toString()
