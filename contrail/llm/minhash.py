@@ -9,8 +9,9 @@ draw for each element.
 
 Documents with the same set are one class. Classes that agree on a band are
 candidates. Where buckets are large, all members are first compared with one hub
-of the bucket, in rounds with other hubs, and linked ones are merged; only
-classes that this leaves in different groups are then compared in pairs.
+of the bucket, in rounds with other hubs, and linked ones are merged. Classes
+that this leaves in different groups are mostly versions of one text, each too
+far from it: they meet by what they do not share with a hub (`unlike_hub`).
 Every link is confirmed on the full sets of the texts.
 """
 
@@ -21,11 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.llm.common import discard_all, fmix, numbered, slices, texts, utf8
-from contrail.llm.grouping import HUB_ROUNDS, linked_groups
+from contrail.llm.grouping import linked_groups
 from contrail.session import settle
 
 SHINGLE_WORDS = 5
@@ -34,6 +35,8 @@ PERCENT = 80
 BANDS, ROWS = 40, 5
 #: A pair goes on to its texts if so many standard deviations below the expected number of equal slots.
 DEVIATIONS = 7
+#: A round merges what is linked to the best connected member of a bucket; `unlike_hub` is quick with all the rest.
+HUB_ROUNDS = 1
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<long>, slots binary"
@@ -166,6 +169,7 @@ def near_duplicates(
         f"100 * least(n, n_b) >= {percent} * greatest(n, n_b)",
         lambda pairs: confirmed(pairs, facts, size, percent, bands * rows),
         hub_rounds,
+        lambda around: unlike_hub(around, facts, size, percent),
     )
     discard_all(members, involved, facts)
     grouped = grouped.select(F.col("node").alias("class_id"), "component")
@@ -211,3 +215,57 @@ def confirmed(pairs: DataFrame, facts: DataFrame, size: int, percent: int, slots
     first = facts.select(F.col("doc").alias("a"), F.col("text").alias("text_a"))
     second = facts.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
     return near.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, schema)
+
+
+def unlike_hub(around: DataFrame, facts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs `a`, `b` that may be links, none missing, of different labels that stand around one hub.
+
+    Let D be the shingles in which a set differs from the hub's. Sets x and y are linked if
+    they differ in at most (100 - p) / (100 + p) of |x| + |y| shingles, and they differ in
+    |Dx| + |Dy| less twice what Dx and Dy share. So Dx and Dy share at least (Ex + Ey) / 2 (100 + p)
+    shingles, E being (100 + p) |D| - (100 - p) |set|. That is above 0 unless both are linked
+    to the hub, and have its label; then the first shared one, rare ones first, stands among as
+    many first ones of either D as leave fewer behind them. What one label has alone comes before
+    all others and is no key: in versions of one text that is most of what an edit puts in.
+    """
+    near, far = 100 + percent, 100 - percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                hubs = dict(zip(part.column("hub").to_pylist(), part.column("text_b").to_pylist(), strict=True))
+                hubs = dict(zip(hubs, shingle_hashes([words(t) for t in hubs.values()], size), strict=True))
+                sets = shingle_hashes([words(t) for t in part.column("text_a").to_pylist()], size)
+                others = [hubs[h] for h in part.column("hub").to_pylist()]
+                unlike = [np.setxor1d(x, h, assume_unique=True) for x, h in zip(sets, others, strict=True)]
+                counts = [pa.array([len(x) for x in lists], pa.int64()) for lists in (sets, others, unlike)]
+                bounds = np.cumsum([0, *(len(x) for x in unlike)]).astype(np.int32)
+                elements = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(unlike).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in named), *counts, elements], [*named, "n", "n_hub", "m", "elements"])
+
+    named = ["doc", "label", "hub", "hub_label"]
+    first = facts.select("doc", F.col("text").alias("text_a"))
+    second = facts.select(F.col("doc").alias("hub"), F.col("text").alias("text_b"))
+    schema = ", ".join(f"{c} long" for c in (*named, "n", "n_hub", "m")) + ", elements array<long>"
+    unlike = settle(around.join(first, "doc").join(second, "hub").select(*named, "text_a", "text_b").mapInArrow(run, schema), "unlike")
+    linked = F.expr(f"{near} * m <= {far} * (n + n_hub)")
+    own = unlike.withColumns({"old": F.col("label"), "label": F.when(linked, F.col("hub_label")).otherwise(F.col("label"))})
+    own = own.withColumns({"out": F.col("label") != F.col("hub_label"), "excess": F.expr(f"{near} * m - {far} * n")})
+    direct = own.where("not out and old <> hub_label").select(F.col("doc").alias("a"), F.col("hub").alias("b"))
+    lows = own.groupBy("hub").agg(F.min("excess").alias("low"), F.min(F.when(F.col("out"), F.col("excess"))).alias("low_out")).where("low_out is not null")
+    shared = "({0} + {1} + " + f"{2 * near - 1}) div {2 * near}"
+    least = F.expr(shared.format("excess", "if(out, low, low_out)")).alias("least")
+    elements = own.join(lows, "hub").select("hub", "doc", "label", "out", "excess", "m", least, F.explode("elements").alias("element"))
+    common = elements.groupBy("hub", "element").agg(F.count("*").alias("f"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    each = Window.partitionBy("hub", "doc")
+    place = F.col("m") - F.count("*").over(each) + F.row_number().over(each.orderBy("f", "element")) - 1
+    ranked = elements.join(common.select("hub", "element", "f"), ["hub", "element"]).withColumn("place", place)
+    keys = settle(ranked.where("place <= m - least").select("hub", "element", "doc", "label", "out", "excess", "m", "place"), "unlike-keys")
+    others = keys.select("hub", "element", *(F.col(c).alias(f"{c}_b") for c in keys.columns[2:]))
+    both = shared.format("excess", "excess_b")
+    met = keys.where("out").join(others, ["hub", "element"])
+    met = met.where(f"label <> label_b and (not out_b or doc < doc_b) and place <= m - {both} and place_b <= m_b - {both}")
+    pairs = settle(met.select(F.col("doc").alias("a"), F.col("doc_b").alias("b")).unionByName(direct).distinct(), "pairs")
+    discard_all(unlike, keys)
+    return pairs

@@ -320,6 +320,32 @@ def test_near_duplicates_of_a_large_group_and_small_ones(docs, size):
     assert all(g["kept"] == (i == g["component_id"]) for i, g in got.items())
 
 
+def test_versions_too_far_from_their_text_are_not_compared_in_pairs(docs, monkeypatch):
+    """Some near enough to the text, most of them not, two of these near each other: few comparisons, no link lost."""
+    r = random.Random(8)
+    text = [f"w{i}" for i in range(200)]
+
+    def version(of, edits):
+        out = list(of)
+        for at in r.sample(range(len(out)), edits):
+            out[at] = f"x{r.random()}"
+        return out
+
+    copies = [text] + [version(text, 8) for _ in range(20)] + [version(text, 14) for _ in range(60)]
+    copies.append(version(copies[-1], 4))
+    texts = [(i, " ".join(c)) for i, c in enumerate(copies)]
+    compared, confirmed = [], minhash.confirmed
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return confirmed(pairs, *args)
+
+    monkeypatch.setattr(minhash, "confirmed", counted)
+    got = rows(minhash.near_duplicates(docs(*texts), 2))
+    assert {i: (g["n_shingles"], g["component_id"]) for i, g in got.items()} == near_components(texts, 2)
+    assert sum(compared) < 6 * len(texts)
+
+
 def test_hub_rounds_lose_no_connection(spark):
     """A path of links inside one bucket, where no hub is linked to all."""
     members = spark.createDataFrame([(1, i) for i in range(30)] + [(2, i) for i in range(0, 30, 2)], "band long, doc long")
