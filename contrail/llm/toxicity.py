@@ -5,7 +5,7 @@ trigrams, so unseen compounds are known by their parts. Windows of words overlap
 each is read in both directions, its states are pooled by attention, and a text
 scores as its most toxic window.
 
-The network is fitted on the driver to a bounded sample of labelled documents,
+The network is fitted in one task to a bounded sample of labelled documents,
 first on all windows, then on each document's most toxic ones as the network
 itself sees them (toxic documents are mostly clean). Scoring runs where the
 texts are.
@@ -13,6 +13,7 @@ texts are.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -272,13 +273,25 @@ def train(sample: pd.DataFrame, rounds: int = ROUNDS, seed: int = 7) -> Network
     return net
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int, chars: int) -> pd.DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int, chars: int) -> DataFrame:
     """At most `toxic` and `clean` labelled documents of the training folds, those with the smallest id hash."""
     marked = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     known = docs.where(~held_out(F.col("doc_id")) & F.length("text").between(1, chars)).select("doc_id").join(marked, "doc_id")
     parts = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((1, toxic), (0, clean))]
     few = parts[0].unionByName(parts[1])  # bounded by the two limits
-    return docs.join(F.broadcast(few), "doc_id").orderBy("doc_id", "text").toPandas()
+    return docs.join(F.broadcast(few), "doc_id")
+
+
+def fitted(sample: DataFrame) -> Network | float:
+    """What `train` makes of the rows, whose number is bounded, in a task: their texts never reach the driver."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([pd.DataFrame({"text": [], "toxic": []}), *frames], ignore_index=True)
+        yield pd.DataFrame({"network": [pickle.dumps(train(rows))]})
+
+    rows = sample.select("doc_id", "text", "toxic").repartition(1).sortWithinPartitions("doc_id", "text")
+    made = rows.mapInPandas(run, "network binary").first()
+    return pickle.loads(made[0]) if made else 0.0  # no rows may leave no task
 
 
 def held_out(doc_id):
@@ -295,7 +308,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clea
     network is fitted when called.
     """
     docs = texts(docs)
-    net = train(labelled_sample(docs, labels, toxic, clean, chars))
+    net = fitted(labelled_sample(docs, labels, toxic, clean, chars))
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

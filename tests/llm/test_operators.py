@@ -612,6 +612,19 @@ def test_contamination(spark, docs, block_bytes):
 # toxicity
 
 
+def test_the_network_is_fitted_in_a_task(spark, docs, monkeypatch):
+    """No table comes to the driver, and without rows the score is 0."""
+    sample = docs(*[(i, f"good day {i}") for i in range(30)], *[(i, f"foul day {i}") for i in range(30, 60)])
+    sample = sample.withColumn("toxic", (F.col("doc_id") >= 30).cast("int"))
+    here = toxicity.train(sample.orderBy("doc_id").toPandas())
+    monkeypatch.setattr(type(sample), "toPandas", None)
+    there = toxicity.fitted(sample)
+    assert all(np.array_equal(here.p[k], there.p[k]) for k in here.p)
+    assert toxicity.fitted(sample.limit(0)) == 0.0
+    labels = sample.select("doc_id", "toxic")
+    assert toxicity.toxicity(sample, labels).count() == 60
+
+
 def test_gradients():
     lists = [[b"good", b"day"], [b"bad", b"bad", b"night", b"bad"], [b"so"]]
     net = toxicity.Network(1)
