@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -14,8 +15,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from contrail.llm import chunk_dedup, decontaminate, grouping, line_dedup, minhash, packing, pii, substring, token_scan, toxicity, training_order
+from contrail.llm.common import forget
 from contrail.llm.components import components
 from contrail.llm.tokens import RANKS, WordTokenizer, tokenizer_path
+from contrail.session import settle
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, kept boolean, n_words long, component_id long, file string"
@@ -346,6 +349,21 @@ def test_versions_too_far_from_their_text_are_not_compared_in_pairs(docs, monkey
     assert sum(compared) < 6 * len(texts)
 
 
+def test_forget_lets_shuffle_files_of_the_last_frame_go(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    for _ in range(3):
+        forget(spark)
+    time.sleep(1)
+    before = shuffled()
+    stored = settle(spark.range(1000).repartition(7, "id"), "forgotten")
+    forget(spark)
+    time.sleep(1)
+    assert shuffled() <= before and stored.count() == 1000
+
+
 def test_hub_rounds_lose_no_connection(spark):
     """A path of links inside one bucket, where no hub is linked to all."""
     members = spark.createDataFrame([(1, i) for i in range(30)] + [(2, i) for i in range(0, 30, 2)], "band long, doc long")
