@@ -245,6 +245,72 @@ def test_linked_lines_have_a_key_in_common():
         assert not link or len(x) < line_dedup.MIN_CHARS or set(key[line == 0].tolist()) & set(key[line == 1].tolist())
 
 
+@pytest.fixture()
+def passage_lines():
+    """Lines that hold one passage and nothing else in common, and two that are linked."""
+    random = np.random.default_rng(5)
+    word = lambda: "".join(random.choice(list("abcdefghijklmnop"), 6))
+    passage = [word() + "longest" for _ in range(7)]
+    lines = [" ".join([*(word() for _ in range(20)), *passage, *(word() for _ in range(20))]) for _ in range(60)]
+    return [*lines, lines[0].rsplit(" ", 1)[0] + " other"]
+
+
+def test_lines_of_a_passage_meet_only_if_linked(spark, passage_lines):
+    lines = spark.createDataFrame(list(enumerate(passage_lines)), "doc long, line string")
+    line, key = line_dedup.line_keys(passage_lines, None)
+    every = line_dedup.meeting(spark.createDataFrame([*zip(line.tolist(), key.tolist(), strict=True)], "doc long, band long"))
+    assert every.select("doc").distinct().count() == 61
+    left = line_dedup.meeting(line_dedup.rarer_keys(every, lines, None))
+    assert {r.doc for r in left.select("doc").distinct().collect()} == {0, 60}
+    docs = spark.createDataFrame(list(enumerate(passage_lines)), "doc_id long, text string")
+    assert {r.doc_id for r in line_dedup.line_duplicates(docs).collect()} == {0, 60}
+
+
+def test_linked_lines_share_a_key_whatever_is_common():
+    random = np.random.default_rng(6)
+    for n in (8, 25, 60):
+        x = [str(random.integers(10**6)) for _ in range(n)]
+        for _ in range(20):
+            y = list(x)
+            for i in random.choice(n, line_dedup.allowed_words(n), replace=False):
+                y[i] = str(random.integers(10**6))
+            pair = [" ".join(x), " ".join(y)]
+            _, key = line_dedup.line_keys(pair, None)
+            common = np.unique(random.choice(key, len(key) // 2, replace=False))
+            line, key = line_dedup.line_keys(pair, None, common)
+            assert set(key[line == 0]) & set(key[line == 1])
+
+
+def test_words_are_cut_as_split_does():
+    odd = ["a b\x1cc\xa0d", "", "   ", "\u3000x" * 4, "\ud800 b\x85", "üöß \u2003 ñ"]
+    names, sizes, counts = line_dedup.word_hashes(odd)
+    words = [w for line in odd for w in line.split()]
+    assert counts.tolist() == [len(line.split()) for line in odd] and sizes.tolist() == list(map(len, words))
+    assert len(set(zip(words, names.tolist(), strict=True))) == len(set(words)) == len(set(names.tolist()))
+
+
+@pytest.mark.parametrize("cell", [4, 8192])
+def test_near_pairs_are_all_that_may_be_linked(spark, monkeypatch, cell):
+    monkeypatch.setattr(line_dedup, "CELL", cell)
+    random = np.random.default_rng(7)
+    base = [str(random.integers(1000)) for _ in range(30)]
+    lines = []
+    for _ in range(25):
+        y = list(base)
+        for i in random.choice(30, random.integers(0, 6), replace=False):
+            y[i] = str(random.integers(1000))
+        lines.append(" ".join(y))
+    lines = list(dict.fromkeys(lines))
+    facts = line_dedup.measures(spark.createDataFrame(list(enumerate(lines)), "doc long, line string")).drop("line")
+    members = spark.createDataFrame([(band, i, i % 5) for band in (1, 2) for i in range(len(lines))], "band long, doc long, label long")
+    found = {(r.a, r.b) for r in line_dedup.near_pairs(members, facts, None, False).collect()}
+    every = [(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines)) if a % 5 != b % 5]
+    linked = line_dedup.alike([lines[a] for a, _ in every], [lines[b] for _, b in every], None)
+    assert {p for p, near in zip(every, linked, strict=True) if near} <= found <= set(every)
+    best = line_dedup.near_pairs(members, facts, None, True).collect()
+    assert {(r.a, r.b) for r in best} <= found and {(r.label, r.label_b) for r in best} == {(r.a % 5, r.b % 5) for r in best}
+
+
 def test_a_document_goes_only_if_one_earlier_one_holds_it(docs, spark):
     a, b, c = "First line of some length, alone.", "Second thing, which is quite other.", "Third of them: nothing like those."
     texts = [(1, f"{a}\nx"), (2, f"{b}\n{c}"), (3, f"{a}\n\n{b}"), (4, f"{b}\n{a}"), (5, c), (6, "x"), (7, f"x\n{c}"), (8, "\n"), (9, None), (None, a)]
