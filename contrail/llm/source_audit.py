@@ -29,6 +29,8 @@ SMOOTHING, WHOLE = 5, 1_000_000_000
 TOP_TERMS = 50
 #: Different (document, chunk) pairs from which a block is closed.
 BLOCK_ENTRIES = 2_000_000
+#: Characters that are cut at a time, and (document, chunk) pairs of a block that are spelled out in terms at a time.
+SLICE_CHARS, SLICE_ENTRIES = 1_000_000, 250_000
 
 BLOCK_COLUMNS = ["block", "chunks", "holders", "langs", "sources", "doc_group", "doc_size", "low", "high", "counts"]
 BLOCK = (
@@ -54,8 +56,8 @@ class _Block:
         pairs, counts = np.unique(doc << 32 | own[flat] if len(flat) else doc, return_counts=True)
         self.doc_group.append(np.asarray([self.groups.setdefault(g, len(self.groups)) for g in zip(langs, sources, strict=True)]))
         self.doc_size.append(np.bincount(pairs >> 32, minlength=len(bodies)))
-        self.ids.append(pairs & 0xFFFFFFFF)
-        self.counts.append(counts)
+        self.ids.append((pairs & 0xFFFFFFFF).astype(np.int32))
+        self.counts.append(counts.astype(np.int32))
         self.entries += len(pairs)
 
     def row(self, number: int) -> pa.RecordBatch:
@@ -63,7 +65,7 @@ class _Block:
         langs, sources = zip(*self.groups, strict=True)
         names = pa.array(list(self.chunks), pa.binary()).cast(pa.string())
         ids = np.concatenate(self.ids)
-        steps = np.diff(ids, prepend=0).astype(np.int32).view(np.int16).reshape(-1, 2)
+        steps = np.diff(ids, prepend=np.int32(0)).astype(np.int32).view(np.int16).reshape(-1, 2)
         whole = [pa.array(np.concatenate(x).astype(np.int32)) for x in (self.doc_group, self.doc_size, self.counts)]
         short = [pa.array(np.ascontiguousarray(steps[:, i])) for i in (0, 1)]
         holders = pa.array(np.bincount(ids, minlength=len(names)).astype(np.int32))
@@ -84,7 +86,7 @@ def chunk_blocks(docs: DataFrame, entries: int = BLOCK_ENTRIES) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, first = _Block(), TaskContext.get().partitionId() << 32
-        for groups, bodies in slices(batches):
+        for groups, bodies in slices(batches, SLICE_CHARS):
             block.add([g["lang"] for g in groups], [g["source"] for g in groups], bodies)
             if block.entries >= entries:
                 yield block.row(first)
@@ -96,6 +98,11 @@ def chunk_blocks(docs: DataFrame, entries: int = BLOCK_ENTRIES) -> DataFrame:
     return shaped.mapInArrow(count, BLOCK)
 
 
+def stored_blocks(blocks: DataFrame) -> DataFrame:
+    """What `chunk_blocks` returns, settled. A block is a row group of its own, so that one at a time is held by who writes or reads them."""
+    return settle(blocks, "chunk-blocks", **{"compression": "zstd", "parquet.block.row.count.limit": "1"})
+
+
 def held_chunks(blocks: DataFrame) -> DataFrame:
     """`chunk` and `holders` for every chunk of each block, both read in place: no pair is built for a chunk."""
     placed = blocks.select("holders", F.posexplode("chunks").alias("pos", "chunk"))
@@ -150,21 +157,30 @@ def _block_terms(counted: pa.Table, found: pa.Table) -> pa.Table:
     codes, times, n_terms = spelled.indices.to_numpy()[order], found.column("k").to_numpy()[order], len(spelled.dictionary)
     size = np.bincount(pos, minlength=int(ids.max(initial=0)) + 1).astype(np.int32)
     first = np.cumsum(size, dtype=np.int32) - size
-    each = size[ids]
-    at = np.repeat(first[ids] - np.cumsum(each, dtype=np.int32) + each, each)
-    at += np.arange(len(at), dtype=np.int32)
-    n = np.repeat(counts, each) * times[at]
-    key = np.repeat(np.repeat(np.arange(len(doc_size)), doc_size), each)
-    key *= n_terms
-    key += codes[at]
-    del ids, each, at, order, codes, times, pos, found  # large arrays, and two of these tasks share an executor
-    # a document counts once for a term, however many of its chunks hold the term
-    key, n = _added(key, n)
-    group, term = doc_group[key // n_terms].astype(np.int64), key % n_terms
     langs, places = column["langs"].to_pylist(), column["places"].to_numpy().astype(np.int32)
     names = sorted(set(langs))
     lang_of = np.asarray([names.index(x) for x in langs], dtype=np.int64)
-    key, n, docs = _added((lang_of[group] * n_terms + term) * len(langs) + group, n, count=True)
+    ends, parts, doc = np.cumsum(doc_size, dtype=np.int64), [], 0
+    while doc < len(doc_size):  # some documents at a time, as two of these tasks share an executor
+        start = int(ends[doc - 1]) if doc else 0
+        last = max(doc + 1, int(np.searchsorted(ends, start + SLICE_ENTRIES, side="right")))
+        own = slice(start, int(ends[last - 1]))
+        each = size[ids[own]]
+        at = np.repeat(first[ids[own]] - np.cumsum(each, dtype=np.int32) + each, each)
+        at += np.arange(len(at), dtype=np.int32)
+        n = np.repeat(counts[own], each) * times[at]
+        key = np.repeat(np.repeat(np.arange(last - doc), doc_size[doc:last]), each) * n_terms + codes[at]
+        # a document counts once for a term, however many of its chunks hold the term
+        key, n = _added(key, n)
+        group, term = doc_group[doc + key // n_terms].astype(np.int64), key % n_terms
+        parts.append(_added((lang_of[group] * n_terms + term) * len(langs) + group, n, count=True))
+        doc = last
+    key, n, docs = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(key, kind="stable")
+    key, n, docs = key[order], n[order], docs[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, dtype=np.int64)
+    n, docs = (np.add.reduceat(x, starts) if len(x) else x for x in (n, docs))
+    key = key[starts]
     row, starts = np.unique(key // len(langs), return_index=True)
     offsets = pa.array(np.append(starts, len(key)), pa.int32())
     columns = [
@@ -189,7 +205,7 @@ def _added(key: np.ndarray, n: np.ndarray, count: bool = False) -> tuple[np.ndar
 
 def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """Two settled tables: `lang`, `term`, `total`, `of` (at, n) of the kept terms, and `source_places`."""
-    blocks = settle(chunk_blocks(docs), "chunk-blocks", compression="zstd")
+    blocks = stored_blocks(chunk_blocks(docs))
     terms = settle(chunk_terms(held_chunks(blocks), min_documents), "chunk-terms", compression="zstd")
     forget(docs.sparkSession)
     places = settle(source_places(blocks), "source-places")

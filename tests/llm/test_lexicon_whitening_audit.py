@@ -5,10 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -246,3 +250,27 @@ def test_chunks_of_a_block_are_read_in_place(spark):
     held = source_audit.held_chunks(blocks)
     assert sorted(map(tuple, held.collect())) == [("a", 3), ("b", 1), ("b", 2)]
     assert "arrays_zip" not in held._jdf.queryExecution().toString()
+
+
+def test_blocks_are_stored_and_spelled_out_piece_by_piece(spark, monkeypatch):
+    docs = spark.createDataFrame([(f"w{i % 50} x{i} common w{i % 7}", "en", f"s{i % 3}") for i in range(40)], "text string, lang string, source string").coalesce(1)
+    blocks = source_audit.stored_blocks(source_audit.chunk_blocks(docs, 1))
+    files = [pq.ParquetFile(f).metadata for f in Path(blocks._scratch.removeprefix("file:")).glob("*.parquet")]
+    assert blocks.count() == sum(f.num_row_groups for f in files)
+    n_docs, width = 2000, 100
+    rng = np.random.default_rng(3)
+    ids = np.sort(rng.integers(0, 5000, (n_docs, width)), axis=1)
+    steps = np.diff(ids.ravel(), prepend=0).astype(np.int32).view(np.int16).reshape(-1, 2)
+    lists = {"langs": ["en", "de"], "places": [0, 0], "doc_group": rng.integers(0, 2, n_docs).astype(np.int32), "doc_size": np.full(n_docs, width, np.int32)}
+    lists |= {"low": steps[:, 0].copy(), "high": steps[:, 1].copy(), "counts": rng.integers(1, 5, n_docs * width).astype(np.int32)}
+    counted = pa.table({"block": [0]} | {k: pa.array([v]) if isinstance(v, list) else pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v)) for k, v in lists.items()})
+    found = pa.table({"pos": pa.array(np.arange(5000), pa.int32()), "term": [f"t{i % 900}" for i in range(5000)], "k": pa.array(np.ones(5000), pa.int32())})
+    made = {}
+    for size in (5_000, 10**9):
+        monkeypatch.setattr(source_audit, "SLICE_ENTRIES", size)
+        tracemalloc.start()
+        made[size] = source_audit._block_terms(counted, found), tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    (small, peak), (whole, most) = made.values()
+    assert small.equals(whole) and sum(map(sum, small["n"].to_pylist())) == lists["counts"].sum()
+    assert peak < most / 2
